@@ -504,19 +504,19 @@ def iterative_labels(
             enough = present_count(features) >= completeness_threshold(state, features, percentile)
             focus, rest = state.where(enough), state.where(~enough)
         gap_flags = F.array(*[F.col(quoted(c)).isNull() for c in columns])
-        filled = KnnLabelImputer(columns, key, features, least, k, **options).fit(focus).transform(focus.withColumn("__gaps", gap_flags))
+        filled = KnnLabelImputer(columns, key, features, least, k, **options).fit(focus).transform(focus.withColumn("__label_null", gap_flags))
         new = F.array_compact(
             F.array(
                 *[
                     F.when(
-                        F.get("__gaps", F.lit(i)) & F.col(quoted(c)).isNotNull(),
+                        F.get("__label_null", F.lit(i)) & F.col(quoted(c)).isNotNull(),
                         F.struct(F.lit(c).alias("column"), F.lit(confidence).alias("confidence"), F.lit(stage).alias("stage")),
                     )
                     for i, c in enumerate(columns)
                 ]
             )
         ).cast(entry)
-        filled = filled.withColumn("__conf", F.concat("__conf", new)).drop("__gaps")
+        filled = filled.withColumn("__conf", F.concat("__conf", new)).drop("__label_null")
         state = cut(filled if rest is None else filled.unionByName(rest))
     table = state.select(F.col(quoted(key)), F.explode("__conf").alias("i")).select(quoted(key), "i.*")
     return state.drop("__conf"), table
