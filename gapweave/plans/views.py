@@ -49,6 +49,22 @@ FROM (SELECT o_orderkey AS k FROM {orders}) t""",
   CASE WHEN p_partkey % 5 = 0 THEN upper(p_name) WHEN p_partkey % 7 = 0 THEN replace(p_name, ' ', '-') WHEN p_partkey % 3 = 1 THEN concat(p_name, 's') ELSE p_name END AS label,
   CASE WHEN p_partkey % 17 = 4 THEN 'unknown' WHEN p_partkey % 8 = 1 THEN NULL ELSE p_type END AS parent
 FROM {part}""",
+    # Case variants of a few clearly different labels.
+    "type_spellings": """SELECT p_partkey, CASE WHEN p_partkey % 4 = 1 THEN lower(p_type) WHEN p_partkey % 9 = 2 THEN concat(p_type, '-') ELSE p_type END AS label
+FROM {part}""",
+    # Names whose words are swapped now and then.
+    "swapped_names": """SELECT p_partkey, CASE WHEN p_partkey % 40 = 7 THEN concat(split_part(p_name, ' ', 2), ' ', split_part(p_name, ' ', 1)) WHEN p_partkey % 500 = 11 THEN 'zzzz' ELSE p_name END AS label
+FROM {part}""",
+    # Three numeric features with gaps.
+    "part_n": """SELECT p_partkey, CAST(p_size AS DOUBLE) AS size,
+  CASE WHEN p_partkey % 5 = 2 THEN NULL ELSE p_retailprice END AS price,
+  CASE WHEN p_partkey % 7 = 4 THEN NULL ELSE (p_partkey * 37 % 500) / 10e0 END AS weight
+FROM {part}""",
+    # 2-D points: account balances on one line per nation.
+    "points": """SELECT c_custkey, c_acctbal AS x, c_nationkey * 1000e0 AS y FROM {customer}""",
+    # Labels with a rule as prediction.
+    "predicted": """SELECT event_id, event_type AS label, CASE WHEN event_id % 3 = 0 THEN 'click' WHEN event_id % 7 = 1 THEN 'other' ELSE event_type END AS prediction,
+  value, value * 9e-1 + event_id % 5 AS guess FROM {events}""",
     # Two text fields of the orders, with gaps, as a combination to group.
     "order_labels": """SELECT o_orderkey, o_custkey % 3 AS a,
   CASE WHEN o_orderkey % 9 = 4 THEN NULL WHEN o_orderkey % 4 = 0 THEN lower(o_orderpriority) ELSE o_orderpriority END AS b,
@@ -56,7 +72,7 @@ FROM {part}""",
 FROM {orders}""",
     # Events with a unix time and a partly missing, partly wrong text time.
     "event_times": """SELECT event_id, event_id * 3600 + 1700000000 AS created_t,
-  CASE WHEN event_id % 6 = 1 THEN NULL WHEN event_id % 10 = 7 THEN 'not a time' WHEN event_id % 15 = 2 THEN '2020-02-29T12:00:00Z' ELSE NULL END AS created_datetime,
+  CASE WHEN event_id % 6 = 1 THEN NULL WHEN event_id % 10 = 7 THEN 'not a time' WHEN event_id % 15 = 2 THEN '2020-02-29T12:00:00Z' ELSE '2023-11-20T08:30:00Z' END AS created_datetime,
   value
 FROM {events}""",
 }

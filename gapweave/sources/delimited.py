@@ -60,7 +60,9 @@ def load_frames(
     return frames
 
 
-def scan_tolerant(spark: SparkSession, path: str | Sequence[str], names: Sequence[str], separator: str = ",") -> tuple[DataFrame, DataFrame]:
+def scan_tolerant(
+    spark: SparkSession, path: str | Sequence[str], names: Sequence[str], separator: str = ",", header: bool = True
+) -> tuple[DataFrame, DataFrame]:
     """(rows, quarantine). Lines with too many fields are set aside as text; short lines are padded with nulls."""
     names = list(names)
     extra = ["__x1", "__x2"]
@@ -70,7 +72,7 @@ def scan_tolerant(spark: SparkSession, path: str | Sequence[str], names: Sequenc
         .option("columnNameOfCorruptRecord", "__line")
         .option("nullValue", _NO_NULL)
         .option("emptyValue", "")
-        .csv(path, sep=separator, header=True, schema=schema, enforceSchema=True, escape='"')
+        .csv(path, sep=separator, header=header, schema=schema, enforceSchema=True, escape='"')
     )
     too_long = F.col("__x1").isNotNull()
     cells = [F.when(F.col(quoted(n)) != "", F.col(quoted(n))).alias(n) for n in names]
