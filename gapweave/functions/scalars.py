@@ -91,7 +91,8 @@ def grade_to_number(c: str | Column) -> Column:
 def number_to_grade(c: str | Column) -> Column:
     """Half-even rounding, clamped to the known grades."""
     position = clip(F.bround(_col(c)), 1, len(GRADES)).cast("int")
-    return F.element_at(F.array(*[F.lit(g) for g in GRADES]), position)
+    # `get`, not `element_at`: the latter returns the last item for a null index of a null-free array.
+    return F.get(F.array(*[F.lit(g) for g in GRADES]), position - 1)
 
 
 def score_to_grade(c: str | Column) -> Column:
@@ -131,7 +132,7 @@ def clip(c: str | Column, low, high) -> Column:
 
 def tags(c: str | Column) -> Column:
     """Comma list to an array of trimmed tags; empty text gives an empty array."""
-    return F.filter(F.transform(F.split(_col(c), ","), F.trim), lambda t: t != "")
+    return F.filter(F.transform(F.split(_col(c), ","), lambda t: F.trim(t)), lambda t: t != "")
 
 
 def same_prefix(a: str | Column, b: str | Column, length: int = 3) -> Column:
@@ -140,7 +141,8 @@ def same_prefix(a: str | Column, b: str | Column, length: int = 3) -> Column:
 
 def change_label(percent: str | Column, is_new: Column) -> Column:
     """``New``, or the percentage with one digit."""
-    return F.when(is_new, "New").otherwise(F.format_string("%.1f%%", F.bround(_col(percent), 1)))
+    value = F.bround(_col(percent), 1)
+    return F.when(is_new, "New").when(value.isNotNull(), F.format_string("%.1f%%", value))
 
 
 def null_if(c: str | Column, token) -> Column:

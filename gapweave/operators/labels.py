@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from gapweave.functions.scalars import clean_text, normalize_label, quoted, token_sorted
 from gapweave.functions.similarity import TargetScorer, ratio
-from gapweave.operators.joins import map_values
+from gapweave.operators.joins import lookup_join, map_values
 from gapweave.operators.stats import combination_counts, mode_by
 from gapweave.session import cut, partitions
 
@@ -181,7 +181,7 @@ def merge_similar(counts: DataFrame, cutoff: int = 85) -> DataFrame:
         counts.select(F.col("label").alias("id"), clean_text("label").alias("text"), "n"), cutoff, best=False, key_first=False
     ).select(F.col("id").alias("label"), "n", F.col("leader").alias("standard"))
     totals = groups.groupBy("standard").agg(F.sum("n").alias("total"))
-    return groups.join(totals, "standard").select("label", "n", "standard", "total")
+    return lookup_join(groups, totals, ["standard"], "inner").select("label", "n", "standard", "total")
 
 
 def rare_label_mapping(counts: DataFrame, min_size: int = 100, parents: DataFrame | None = None, cutoff: int = 70) -> DataFrame:
@@ -221,7 +221,7 @@ def simplify_categories(
     normal = df.select(*[normalize_label(c).alias(c) if c in (parent, child) else F.col(quoted(c)) for c in df.columns])
     merged = merge_similar(label_counts(normal, parent), similar)
     standard = rare_label_mapping(merged.select(F.col("standard").alias("label"), F.col("total").alias("n")).distinct(), min_size)
-    parent_map = merged.select("label", "standard").join(standard.withColumnRenamed("label", "standard"), "standard").select("label", "target")
+    parent_map = lookup_join(merged.select("label", "standard"), standard.withColumnRenamed("label", "standard"), ["standard"], "inner").select("label", "target")
     child_map = rare_label_mapping(label_counts(normal, child), min_size, commonest_parent(normal, child, parent))
     out = map_values(map_values(normal, parent, parent_map, "label", "target"), child, child_map, "label", "target")
     return out, {parent: parent_map, child: child_map}
@@ -256,11 +256,11 @@ def group_combinations(
         log.select(F.col("__id").alias("id"), clean_text("__key").alias("text"), F.col("frequency").alias("n")), cutoff, batch=batch
     ).select(F.col("id").alias("__id"), F.col("leader").alias("__leader"))
     heads = log.select(F.col("__id").alias("__leader"), F.col("__key").alias("group"))
-    joined = log.join(groups, "__id").join(heads, "__leader")
+    joined = lookup_join(log.join(groups, "__id"), heads.join(groups.select("__leader").distinct(), "__leader", "left_semi"), ["__leader"], "inner")
     total = log.agg(F.sum("frequency")).first()[0] or 1
     totals = joined.groupBy("__leader").agg(F.sum("frequency").alias("total_frequency"))
     score = F.when(F.col("__id") == F.col("__leader"), F.lit(100)).otherwise(ratio(F.col("__whole"), F.col("group")))
-    return joined.join(totals, "__leader").select(
+    return lookup_join(joined, totals, ["__leader"], "inner").select(
         "group",
         *[F.col(quoted(f)) for f in fields],
         "frequency",
@@ -276,8 +276,11 @@ def group_field_sets(df: DataFrame, checks: Sequence[tuple[Sequence[str], str]],
     return {name: group_combinations(df, fields, cutoff) for fields, name in checks}
 
 
-def nest_groups(groups: DataFrame, fields: Sequence[str]) -> DataFrame:
-    """Groups with their members as an array of structs, most frequent first."""
+def nest_groups(groups: DataFrame, fields: Sequence[str], members: int = 10_000) -> DataFrame:
+    """Groups with their members as an array of structs, most frequent first.
+
+    A group of more than ``members`` combinations comes in several rows, told apart by ``part``, so that
+    no array grows without bound."""
     member = F.struct(
         (-F.col("frequency")).alias("order"),
         F.array(*[F.col(quoted(f)).cast("string") for f in fields]).alias("combination"),
@@ -285,10 +288,13 @@ def nest_groups(groups: DataFrame, fields: Sequence[str]) -> DataFrame:
         F.col("frequency"),
         F.col("score").alias("fuzzy_score"),
     )
-    nested = groups.groupBy("group", "total_frequency", "total_percentage").agg(F.array_sort(F.collect_list(member)).alias("m"))
+    sizes = groups.groupBy("group").agg(F.ceil(F.count("*") / F.lit(members)).alias("__parts"))
+    placed = lookup_join(groups, sizes, ["group"], "inner").withColumn("part", F.pmod(F.xxhash64(*[F.col(quoted(f)) for f in fields]), F.col("__parts")))
+    nested = placed.groupBy("group", "part", "total_frequency", "total_percentage").agg(F.array_sort(F.collect_list(member)).alias("m"))
     keep = ("combination", "combination_percentage", "frequency", "fuzzy_score")
     return nested.select(
         "group",
+        "part",
         F.transform("m", lambda x: F.struct(*[x[k].alias(k) for k in keep])).alias("combinations"),
         "total_percentage",
         "total_frequency",
@@ -300,5 +306,5 @@ def canonical_combinations(groups: DataFrame, fields: Sequence[str], group: str
     fields = list(fields)
     head = F.min(F.struct((-F.col(quoted(frequency))).alias("__n"), *[F.col(quoted(f)) for f in fields])).alias("__head")
     best = groups.groupBy(F.col(quoted(group)).alias(group)).agg(head)
-    joined = groups.join(best, group)
+    joined = lookup_join(groups, best, [group], "inner")
     return joined.select(*[F.col(f"__head.{quoted(c)}").alias(c) if c in fields else F.col(quoted(c)) for c in groups.columns])

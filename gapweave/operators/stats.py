@@ -256,7 +256,7 @@ def cross_counts(df: DataFrame, a: str, b: str, ignore: Sequence = ()) -> DataFr
 
 def cross_table(df: DataFrame, a: str, b: str, values: Sequence) -> DataFrame:
     """Wide cross-tabulation with one column per listed value of ``b``, zeros where nothing occurs."""
-    wide = df.groupBy(F.col(quoted(a)).alias(a)).pivot(b, list(values)).agg(F.count("*"))
+    wide = df.groupBy(F.col(quoted(a)).alias(a)).pivot(b, list(values)).agg(F.count(F.lit(1)))
     return wide.select(F.col(a), *[F.coalesce(F.col(quoted(str(v))), F.lit(0).cast("long")).alias(str(v)) for v in values])
 
 

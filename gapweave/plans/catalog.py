@@ -122,17 +122,9 @@ def cast_by_suffix(spark, sf):
 def nested_groups(spark, sf):
     fields = ["o_orderpriority", "o_orderstatus"]
     counted = stats.combination_counts(view(spark, sf, "orders_m"), fields)
-    totals = counted.groupBy("o_orderpriority").agg(F.sum("frequency").alias("total_frequency"))
-    grouped = counted.join(totals, counted["o_orderpriority"].eqNullSafe(totals["o_orderpriority"])).select(
-        F.coalesce(counted["o_orderpriority"], F.lit("nan")).alias("group"),
-        counted["o_orderpriority"].alias("o_orderpriority"),
-        "o_orderstatus",
-        "frequency",
-        (F.col("frequency") * 1.0).alias("percentage"),
-        F.lit(100).alias("score"),
-        "total_frequency",
-        (F.col("total_frequency") * 1.0).alias("total_percentage"),
-    )
+    totals = counted.groupBy(F.coalesce("o_orderpriority", F.lit("nan")).alias("group")).agg(F.sum("frequency").alias("total_frequency"))
+    grouped = counted.withColumn("group", F.coalesce("o_orderpriority", F.lit("nan"))).join(totals, "group")
+    grouped = grouped.withColumns({"percentage": F.col("frequency") * 1.0, "score": F.lit(100), "total_percentage": F.col("total_frequency") * 1.0})
     path = scratch_path(spark, "groups")
     nested = labels.nest_groups(grouped, fields)
     tables.write_table(nested, path, "json")

@@ -126,7 +126,7 @@ _add(
 # --- scalar functions ---------------------------------------------------------------------------
 
 _NORMAL = r"trim(regexp_replace(regexp_replace(lower({0}), '-', ' ', 'g'), '\s+', ' ', 'g'))"
-_TOKENS = r"array_to_string(list_sort(list_filter(string_split_regex(lower(regexp_replace({0}, '\W', ' ', 'g')), '\s+'), x -> x <> '')), ' ')"
+_TOKENS = r"array_to_string(list_sort([w FOR w IN string_split_regex(lower(regexp_replace({0}, '\W', ' ', 'g')), '\s+') IF w <> '']), ' ')"
 _add(
     "label_functions",
     "part_labels",
@@ -178,7 +178,7 @@ _add(
     "nearest_vectors",
     "",
     f"SELECT vec_id, r AS rank, donor, {_r('d')} AS distance FROM k WHERE r <= 5",
-    """p AS (SELECT q.vec_id, e.vec_id AS donor, list_sum(list_transform(generate_series(1, 64), i -> (CAST(q.embedding[i] AS DOUBLE) - CAST(e.embedding[i] AS DOUBLE)) * (CAST(q.embedding[i] AS DOUBLE) - CAST(e.embedding[i] AS DOUBLE)))) AS s
+    """p AS (SELECT q.vec_id, e.vec_id AS donor, list_sum([(CAST(q.embedding[i] AS DOUBLE) - CAST(e.embedding[i] AS DOUBLE)) * (CAST(q.embedding[i] AS DOUBLE) - CAST(e.embedding[i] AS DOUBLE)) FOR i IN generate_series(1, 64)]) AS s
  FROM embeddings q JOIN embeddings e ON q.vec_id % 5 = 0 AND e.vec_id % 5 <> 0)""",
     "k AS (SELECT vec_id, donor, sqrt(s) AS d, row_number() OVER (PARTITION BY vec_id ORDER BY round(s, 9), donor) AS r FROM p)",
 )
@@ -813,7 +813,7 @@ _add(
     "detected_tasks",
     "part_m",
     _union(
-        f"SELECT '{c}' AS \"column\", CASE WHEN {'true' if t == 'string' else f'count(DISTINCT {c}) < 10'} THEN 'classification' ELSE 'regression' END AS task FROM d"
+        f"SELECT '{c}' AS \"column\", CASE WHEN {'count(*) >= 0' if t == 'string' else f'count(DISTINCT {c}) < 10'} THEN 'classification' ELSE 'regression' END AS task FROM d"
         for c, t in {**_PART_TYPES, "few": "bigint"}.items()
     ),
     "d AS (SELECT *, p_partkey % 4 AS few FROM part_m)",

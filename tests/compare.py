@@ -47,8 +47,8 @@ def check(spark, con, name: str, sf_dir: str) -> tuple[str, int, list]:
     if sorted(names) != sorted(df.columns):
         return "columns differ", len(got), [sorted(names), sorted(df.columns)]
     if got != want:
-        missing = [r for r in want if r not in set(got)][:2]
-        extra = [r for r in got if r not in set(want)][:2]
+        missing = sorted(set(want) - set(got))[:2]
+        extra = sorted(set(got) - set(want))[:2]
         return "values differ", len(got), [len(want), missing, extra]
     return "ok", len(got), []
 
