@@ -13,9 +13,11 @@ from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from gapweave.functions.scalars import quoted
 from gapweave.operators.joins import lookup_join, running_total
+from gapweave.operators.windows import frame_digest
 from gapweave.session import cut
 
-_SALTS = 8
+# Distinct points of one cell that share a join key.
+_SLICE = 4096
 _DIRECT_PAIRS = 1024
 _MAX_LEVEL = 24
 
@@ -44,14 +46,16 @@ def _around(df: DataFrame) -> DataFrame:
 
 
 def _meet(few: DataFrame, many: DataFrame, eps: float) -> DataFrame:
-    """Rows of ``few`` next to rows of ``many`` at a distance of at most eps. A crowded cell of ``many`` is
-    spread over salts; ``few`` holds fewer than ``min_samples`` points per cell."""
+    """Rows of ``few`` next to rows of ``many`` at a distance of at most eps. ``few`` holds fewer than
+    ``min_samples`` points per cell; a crowded cell of ``many`` is read in slices, each its own join key."""
+    slices = many.groupBy("cx", "cy").agg(F.ceil(F.count("*") / F.lit(_SLICE)).cast("int").alias("slices"))
+    b = lookup_join(many, slices, ["cx", "cy"], "inner").withColumn("slice", F.pmod(F.xxhash64("x", "y"), F.col("slices")).cast("int"))
+    b = b.drop("slices").withColumnsRenamed({"cx": "tx", "cy": "ty", "x": "bx", "y": "by"})
     a = _around(few.select("cx", "cy", F.col("x").alias("ax"), F.col("y").alias("ay"))).drop("cx", "cy")
-    a = a.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(_SALTS - 1))))
-    b = many.withColumn("salt", F.pmod(F.xxhash64("x", "y"), F.lit(_SALTS)).cast("int"))
-    b = b.withColumnsRenamed({"cx": "tx", "cy": "ty", "x": "bx", "y": "by"})
+    a = lookup_join(a, slices.withColumnsRenamed({"cx": "tx", "cy": "ty"}), ["tx", "ty"], "inner")
+    a = a.withColumn("slice", F.explode(F.sequence(F.lit(0), F.col("slices") - 1))).drop("slices")
     dx, dy = F.col("ax") - F.col("bx"), F.col("ay") - F.col("by")
-    return a.join(b, ["tx", "ty", "salt"]).where(dx * dx + dy * dy <= eps * eps)
+    return a.join(b, ["tx", "ty", "slice"]).where(dx * dx + dy * dy <= eps * eps)
 
 
 def _with_core(points: DataFrame, eps: float, min_samples: int) -> DataFrame:
@@ -113,7 +117,7 @@ def _touching_cells(core: DataFrame, eps: float) -> DataFrame:
     b = _prefixed(boxes, "b", names).withColumnsRenamed({"cx": "tx", "cy": "ty"})
     judged = cut(_judge(a.drop("cx", "cy").join(b, ["tx", "ty"]).drop("tx", "ty"), eps))
     found = judged.where("sure").select("a_node", "b_node")
-    nodes = core.join(boxes.select("cx", "cy", "node"), ["cx", "cy"]).select("node", "x", "y", "u", "v")
+    nodes = lookup_join(core, boxes.select("cx", "cy", "node"), ["cx", "cy"], "inner").drop("key").select("node", "x", "y", "u", "v")
     # Sub-boxes of level L are cells of 1/4^L the side; powers of four keep the nesting exact.
     open_pairs = judged.where("not sure").withColumns({f"{p}_{i}": F.lit(None).cast("long") for p in ("a", "b") for i in ("iu", "iv")})
     nodes = cut(nodes)
@@ -177,7 +181,7 @@ def components(edges: DataFrame, a: str = "a", b: str = "b", edge_rows: int = 20
         small = lookup_join(large, lowest, ["u"], "inner").select(F.greatest("v", "m").alias("u"), F.least("v", "m").alias("v"), "m", F.col("u").alias("o"))
         small = small.select("u", "v").where(F.col("u") != F.col("v")).unionByName(lowest.select("u", F.col("m").alias("v"))).distinct()
         new = cut(small)
-        same = new.exceptAll(links).limit(1).count() == 0 and links.exceptAll(new).limit(1).count() == 0
+        same = frame_digest(new.select("u", "v")) == frame_digest(links.select("u", "v"))
         links = new
         if same:
             break

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from gapweave.functions.scalars import quoted
@@ -14,12 +15,19 @@ BROADCAST_ROWS = 100_000
 _SALTS = 16
 
 
-def bounded_local(df: DataFrame, rows: int = BROADCAST_ROWS) -> DataFrame | None:
-    """The frame as a local relation if it has at most ``rows`` rows, else None."""
-    table = df.limit(rows + 1).toArrow()
+def settle(df: DataFrame, rows: int = BROADCAST_ROWS) -> tuple[DataFrame, bool]:
+    """(frame, is_small): a local relation if the frame has at most ``rows`` rows.
+
+    A larger frame comes back with what was computed so far kept on the executors' disks, so that the
+    size check never costs a second pass over the source."""
+    known = df.storageLevel.useDisk or df.storageLevel.useMemory
+    kept = df if known else df.persist(StorageLevel.DISK_ONLY)
+    table = kept.limit(rows + 1).toArrow()
     if table.num_rows > rows:
-        return None
-    return df.sparkSession.createDataFrame(table, schema=df.schema)
+        return kept, False
+    if not known:
+        kept.unpersist()
+    return df.sparkSession.createDataFrame(table, schema=df.schema), True
 
 
 def lookup_join(
@@ -28,15 +36,14 @@ def lookup_join(
     """Equi-join with a table of unique keys.
 
     A lookup of checked size is broadcast. A larger one is joined on (keys, salt): the left side is
-    spread over the salts by a hash of its whole row, so a hot or null key never fills one task.
-    """
+    spread over the salts by a hash of its whole row, so a hot or null key never fills one task."""
     on = list(on)
-    small = bounded_local(lookup, rows)
-    if small is not None:
-        return left.join(F.broadcast(small), on, how)
+    table, small = settle(lookup, rows)
+    if small:
+        return left.join(F.broadcast(table), on, how)
     columns = [F.col(quoted(c)) for c in left.columns]
     salted = left.withColumn("__salt", F.pmod(F.xxhash64(*columns), F.lit(_SALTS)).cast("int"))
-    copies = lookup.withColumn("__salt", F.explode(F.sequence(F.lit(0), F.lit(_SALTS - 1))))
+    copies = table.withColumn("__salt", F.explode(F.sequence(F.lit(0), F.lit(_SALTS - 1))))
     return salted.join(copies, on + ["__salt"], how).drop("__salt")
 
 
@@ -94,12 +101,12 @@ def running_total(
     Small tables use one window. Larger ones are range-partitioned by the order, summed inside each
     range, and shifted by the sum of the ranges before it, so no task ever sees the whole table.
     """
-    small = bounded_local(df, rows)
-    if small is not None:
+    table, small = settle(df, rows)
+    if small:
         w = Window.orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
-        return small.withColumn(out, F.sum(value).over(w))
+        return table.withColumn(out, F.sum(value).over(w))
     ranged = cut(
-        df.repartitionByRange(partitions(df.sparkSession), *order).withColumn("__part", F.spark_partition_id())
+        table.repartitionByRange(partitions(df.sparkSession), *order).withColumn("__part", F.spark_partition_id())
     )
     sums = ranged.groupBy("__part").agg(F.sum(value).alias("__sum"))
     before = Window.orderBy("__part").rowsBetween(Window.unboundedPreceding, -1)

@@ -17,6 +17,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, Window, functions as F
 
 from gapweave.functions.scalars import quoted
+from gapweave.operators.joins import settle
 from gapweave.session import cut, partitions
 
 DONOR_ROWS = 200_000
@@ -121,9 +122,9 @@ def nearest(
     queries = queries.groupBy("vec").agg(F.array_distinct(F.flatten(F.collect_set("wanted"))).alias("wanted"))
     queries = queries.repartition(partitions(spark), "vec")
     donors = _distinct_donors(donors.select("key", "vec", "values"), k)
-    table = donors.limit(donor_rows + 1).toPandas()
-    if len(table) <= donor_rows:
-        table = _key_order(table)
+    donors, small = settle(donors, donor_rows)
+    if small:
+        table = _key_order(donors.toPandas())
         shared = spark.sparkContext.broadcast(
             (table["key"].tolist(), [list(v) for v in table["vec"]], [list(v) for v in table["values"]])
         )

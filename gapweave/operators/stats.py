@@ -8,7 +8,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from gapweave.functions.scalars import change_label, clip, quoted
-from gapweave.operators.joins import lookup_join, outer_counts, running_total
+from gapweave.operators.joins import lookup_join, outer_counts, running_total, settle
 from gapweave.operators.quantiles import long_values, quantile_map, quantiles
 
 
@@ -264,10 +264,10 @@ def frequent_combinations(df: DataFrame, fields: Sequence[str], threshold: float
     """Combinations in descending frequency while their running share stays within the threshold.
 
     The comparison is made on whole counts, so a share of exactly the threshold is kept."""
-    counted = combination_counts(df, fields)
+    counted, _ = settle(combination_counts(df, fields))
     order = [F.desc("frequency"), *[F.col(quoted(f)).asc_nulls_first() for f in fields]]
     ranked = running_total(counted, order, "frequency", "running")
-    total = df.count()
+    total = counted.agg(F.sum("frequency")).first()[0] or 0
     return ranked.where(F.col("running") <= F.lit(threshold) * F.lit(total)).withColumn(
         "cumulative_pct", F.col("running") * 100.0 / F.lit(max(total, 1))
     )

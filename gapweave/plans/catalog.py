@@ -63,7 +63,7 @@ def scan_delimited(spark, sf):
 @query
 def scan_separator_fallback(spark, sf):
     path = scratch_path(spark, "csvs")
-    tables.write_table(view(spark, sf, "orders_m").select("o_orderkey", "o_orderstatus", "o_orderpriority").coalesce(1), path, "csv", ",")
+    tables.write_table(view(spark, sf, "orders_m").select("o_orderkey", "o_orderstatus", "o_orderpriority"), path, "csv", ",")
     frames = delimited.load_frames(spark, path)
     return windows.union_tagged(frames).drop("frame")
 
@@ -269,7 +269,8 @@ def similarity_scores(spark, sf):
 
 @query
 def map_labels(spark, sf):
-    nation = table(spark, sf, "nation").join(F.broadcast(table(spark, sf, "region").limit(1000)), F.col("n_regionkey") == F.col("r_regionkey"))
+    region = table(spark, sf, "region").withColumnRenamed("r_regionkey", "n_regionkey")
+    nation = joins.lookup_join(table(spark, sf, "nation"), region, ["n_regionkey"])
     return joins.map_values(view(spark, sf, "customer_geo").select("c_custkey", "n_name"), "n_name", nation.select("n_name", "r_name"), "n_name", "r_name", "region")
 
 

@@ -18,6 +18,8 @@ def build_session(app: str = "gapweave", cores: str = "*", memory: str = "8g") -
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.driver.memory", memory)
+        # The JVM compiles no method above 8,000 bytes: larger generated code is better split up.
+        .config("spark.sql.codegen.hugeMethodLimit", "8000")
         .config("spark.ui.enabled", "false")
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
         .getOrCreate()
