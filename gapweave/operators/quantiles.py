@@ -12,6 +12,8 @@ from gapweave.operators.joins import lookup_join
 # Up to this many rows per group the built-in exact percentile is used directly.
 EXACT_ROWS = 2_000_000
 _ACCURACY = 10_000
+# Below this size a bracket of a few rows would be finer than the sketch; the whole group is ordered.
+_SMALL_GROUP = 5 * _ACCURACY
 
 
 def long_values(df: DataFrame, columns: Sequence[str], by: Sequence[str] = ()) -> DataFrame:
@@ -73,8 +75,8 @@ def _bracketed(values: DataFrame, keys: list[str], probs: Sequence[float]) -> Da
             F.struct(
                 F.lit(float(p)).alias("prob"),
                 (F.lit(float(p)) * (F.col("n") - 1)).alias("pos"),
-                (F.col("lowest") if points[2 * i] == 0.0 else F.get("s", F.lit(2 * i))).alias("lo"),
-                (F.col("highest") if points[2 * i + 1] == 1.0 else F.get("s", F.lit(2 * i + 1))).alias("hi"),
+                F.when((F.col("n") <= _SMALL_GROUP) | F.lit(points[2 * i] == 0.0), F.col("lowest")).otherwise(F.get("s", F.lit(2 * i))).alias("lo"),
+                F.when((F.col("n") <= _SMALL_GROUP) | F.lit(points[2 * i + 1] == 1.0), F.col("highest")).otherwise(F.get("s", F.lit(2 * i + 1))).alias("hi"),
             )
             for i, p in enumerate(probs)
         ]

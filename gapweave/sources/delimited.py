@@ -9,9 +9,6 @@ from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from gapweave.functions.scalars import quoted
 
-# A text no export contains, so that empty fields stay apart from absent ones.
-_NO_NULL = "\u0001"
-
 
 def list_files(spark: SparkSession, directory: str, pattern: str = "*.csv") -> list[str]:
     """Files of a directory by name pattern; only names are read, no content."""
@@ -70,11 +67,14 @@ def scan_tolerant(
     raw = (
         spark.read.option("mode", "PERMISSIVE")
         .option("columnNameOfCorruptRecord", "__line")
-        .option("nullValue", _NO_NULL)
-        .option("emptyValue", "")
+        .option("columnPruning", "false")  # fields are counted, so all of them must be parsed
         .csv(path, sep=separator, header=header, schema=schema, enforceSchema=True, escape='"')
     )
-    too_long = F.col("__x1").isNotNull()
+    # The raw line is kept for every row whose field count is not that of the padded schema, which no
+    # good row has; an unquoted empty field at the end counts as a field.
+    unquoted = F.regexp_replace("__line", r'"(?:[^"]|"")*"', "q")
+    fields = F.length(unquoted) - F.length(F.replace(unquoted, F.lit(separator))) + 1
+    too_long = F.col("__line").isNull() | (fields > len(names))
     cells = [F.when(F.col(quoted(n)) != "", F.col(quoted(n))).alias(n) for n in names]
     line = F.coalesce(F.col("__line"), F.concat_ws(separator, *[F.col(quoted(n)) for n in [*names, *extra]]))
     return raw.where(~too_long).select(*cells), raw.where(too_long).select(line.alias("line"))
