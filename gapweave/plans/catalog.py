@@ -826,7 +826,7 @@ def compared_models(spark, sf):
 def compared_regressions(spark, sf):
     line = models.LinearRegression()
     choices = {"ElasticNet": (line, ParamGridBuilder().addGrid(line.regParam, [0.1, 1.0]).build())}
-    return models.compare_models(view(spark, sf, "products"), "fr_score", ["code"], MACROS, ["grp"], choices, folds=2).results
+    return models.compare_models(view(spark, sf, "products"), "energy", ["code"], FEATURES, ["grp", "grade"], choices, folds=2).results
 
 
 @query
