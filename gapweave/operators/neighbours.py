@@ -30,35 +30,18 @@ def _matrix(vectors) -> np.ndarray:
     return np.array([[np.nan if x is None else x for x in v] for v in vectors], dtype=float)
 
 
-def _squared_distances(q: np.ndarray, d: np.ndarray) -> np.ndarray:
-    """Scaled squared distances over shared features; infinite without a shared feature."""
-    total = np.zeros((len(q), len(d)))
-    if not (np.isnan(q).any() or np.isnan(d).any()):
-        for j in range(q.shape[1]):
-            diff = q[:, j, None] - d[None, :, j]
-            total += diff * diff
-        return total
-    shared = np.zeros(total.shape)
-    for j in range(q.shape[1]):
-        diff = q[:, j, None] - d[None, :, j]
-        present = ~np.isnan(diff)
-        total += np.where(present, diff * diff, 0.0)
-        shared += present
-    with np.errstate(divide="ignore", invalid="ignore"):
-        return np.where(shared > 0, total * (q.shape[1] / shared), np.inf)
-
-
-def _nearest(dist: np.ndarray, k: int) -> list[np.ndarray]:
-    """Positions of the k smallest finite distances per row; donors are in key order, so ties keep it."""
-    out = []
+def _nearest(dist: np.ndarray, k: int, digits: int) -> list[np.ndarray]:
+    """Positions of the k smallest finite distances per row, compared after rounding; donors are in key
+    order, so ties keep it. Only the rows at the edge of the k-th distance are rounded and sorted."""
     k = min(k, dist.shape[1])
     if k == 0:
         return [np.array([], dtype=int)] * len(dist)
-    limit = np.partition(dist, k - 1, axis=1)[:, k - 1]
+    limit = np.partition(dist, k - 1, axis=1)[:, k - 1] + 2 * 10.0**-digits
+    out = []
     for row, top in zip(dist, limit):
         near = np.flatnonzero(row <= top)
-        near = near[np.argsort(row[near], kind="stable")][:k]
-        out.append(near[np.isfinite(row[near])])
+        near = near[np.isfinite(row[near])]
+        out.append(near[np.argsort(np.round(row[near], digits), kind="stable")][:k])
     return out
 
 
@@ -67,32 +50,61 @@ class _Donors:
 
     def __init__(self, keys: list, vectors, values: list, digits: int):
         self.keys = keys
-        self.matrix = _matrix(vectors)
+        matrix = _matrix(vectors)
+        self.present = ~np.isnan(matrix)
+        self.columns = np.ascontiguousarray(np.nan_to_num(matrix).T) if keys else matrix.T
         self.values = values
         self.digits = digits
         count = len(values[0]) if values else 0
         self.usable = [np.array([v[t] is not None for v in values], dtype=bool) for t in range(count)]
 
-    def search(self, vectors, wanted, k: int, chunk_cells: int = 8_000_000) -> Iterator[pd.DataFrame]:
-        if not self.keys:
+    def squared(self, q: np.ndarray) -> np.ndarray:
+        """Scaled squared distances of query rows with one gap pattern; infinite without a shared feature."""
+        features = np.flatnonzero(~np.isnan(q[0])) if len(q) else []
+        total = np.zeros((len(q), len(self.keys)))
+        shared = np.zeros(len(self.keys))
+        for j in features:
+            diff = q[:, j, None] - self.columns[j][None, :]
+            diff *= diff
+            if not self.present[:, j].all():
+                diff *= self.present[:, j]
+            total += diff
+            shared += self.present[:, j]
+        if len(features) < q.shape[1] or (shared < q.shape[1]).any():
+            with np.errstate(divide="ignore"):
+                total *= np.where(shared > 0, q.shape[1] / np.maximum(shared, 1), 1.0)
+            total[:, shared == 0] = np.inf
+        return total
+
+    def search(self, vectors, wanted, k: int, chunk_cells: int = 400_000) -> Iterator[pd.DataFrame]:
+        """Hits of the query vectors, in slices small enough to stay in the processor cache."""
+        if not self.keys or not len(vectors):
             return
+        queries = _matrix(vectors)
+        patterns: dict[tuple, list[int]] = {}
+        for i, gaps in enumerate(np.isnan(queries)):
+            patterns.setdefault((tuple(gaps), tuple(sorted(wanted[i]))), []).append(i)
         step = max(1, chunk_cells // len(self.keys))
-        for start in range(0, len(vectors), step):
-            part = list(vectors[start : start + step])
-            need = list(wanted[start : start + step])
-            squared = _squared_distances(_matrix(part), self.matrix)
-            rows = []
-            for t, usable in enumerate(self.usable):
-                ask = np.array([t in w for w in need], dtype=bool)
-                if not ask.any() or not usable.any():
-                    continue
-                places = np.flatnonzero(usable)
-                block = np.round(squared[np.ix_(ask, usable)], self.digits)
-                for i, near in zip(np.flatnonzero(ask), _nearest(block, k)):
-                    for p in places[near]:
-                        near_by = round(float(squared[i, p]), self.digits)
-                        rows.append((part[i], t, near_by, float(np.sqrt(squared[i, p])), str(self.keys[p]), self.values[p][t]))
-            yield pd.DataFrame(rows, columns=["vec", "target", "near", "distance", "donor", "value"])
+        names = ["vec", "target", "near", "distance", "donor", "value"]
+        rows: list = []
+        for (_, targets), places in patterns.items():
+            for start in range(0, len(places), step):
+                part = places[start : start + step]
+                squared = self.squared(queries[part])
+                for t in targets:
+                    usable = self.usable[t]
+                    if not usable.any():
+                        continue
+                    block = squared if usable.all() else np.where(usable, squared, np.inf)
+                    for i, (row, near) in enumerate(zip(squared, _nearest(block, k, self.digits))):
+                        vec = vectors[part[i]]
+                        for p in near:
+                            near_by = round(float(row[p]), self.digits)
+                            rows.append((vec, t, near_by, float(np.sqrt(row[p])), str(self.keys[p]), self.values[p][t]))
+                if len(rows) >= 20_000:
+                    yield pd.DataFrame(rows, columns=names)
+                    rows = []
+        yield pd.DataFrame(rows, columns=names)
 
 
 def _distinct_donors(donors: DataFrame, k: int) -> DataFrame:
@@ -120,7 +132,9 @@ def nearest(
     Squared distances are compared after rounding to ``digits``, so the choice among equals is stable."""
     spark = queries.sparkSession
     queries = queries.groupBy("vec").agg(F.array_distinct(F.flatten(F.collect_set("wanted"))).alias("wanted"))
-    queries = queries.repartition(partitions(spark), "vec")
+    # Round robin: a hash repartition on the grouping key would be dropped and the few bytes coalesced
+    # into one task, although each row is a long search.
+    queries = queries.repartition(partitions(spark))
     donors = _distinct_donors(donors.select("key", "vec", "values"), k)
     donors, small = settle(donors, donor_rows)
     if small:
