@@ -35,11 +35,15 @@ def encode_labels(df: DataFrame, columns: Sequence[str], null_text: str = "nan")
     return encoded, {c: list(model.labelsArray[i]) for i, c in enumerate(columns)}
 
 
+def _sampled(df: DataFrame, rows: int | None, key: Sequence[str], seed: int) -> DataFrame:
+    return df if rows is None else exact_sample(df, rows, key, seed=seed)
+
+
 def feature_relations(
     df: DataFrame,
     key: Sequence[str],
     columns: Sequence[str] | None = None,
-    sample_rows: int = 5000,
+    sample_rows: int | None = 5000,
     max_targets: int = 15,
     trees: int = 50,
     depth: int = 5,
@@ -49,13 +53,13 @@ def feature_relations(
 ) -> DataFrame:
     """(target, feature, importance, model_type): forest importances above ``floor``, at most ``top`` per target.
 
-    Targets are the first ``max_targets`` columns with less than half of their cells missing."""
+    ``sample_rows=None`` learns from all rows. Targets are the first ``max_targets`` columns with less than half of their cells missing."""
     spark = df.sparkSession
     columns = [c for c in (columns or df.columns) if c not in key]
     usable = [c for c, fill in fill_percentages(df, columns).items() if fill > 50]
     numbers = [c for c in columns_of_kind(df, "number") if c in usable]
     texts = [c for c in usable if c not in numbers]
-    rows = exact_sample(df.select(*[quoted(c) for c in (*key, *usable)]), sample_rows, key, seed=seed).persist()
+    rows = _sampled(df.select(*[quoted(c) for c in (*key, *usable)]), sample_rows, key, seed).persist()
     try:
         known = fill_percentages(rows, usable)
         total = rows.count()
@@ -90,15 +94,16 @@ def _scale_of(df: DataFrame, columns: Sequence[str], fill: Mapping[str, float] |
 
 
 def stratify(
-    df: DataFrame, key: Sequence[str], columns: Sequence[str] | None = None, sample_rows: int = 5000, out: str = "stratum", seed: int = 42
+    df: DataFrame, key: Sequence[str], columns: Sequence[str] | None = None, sample_rows: int | None = 5000, out: str = "stratum", seed: int = 42
 ) -> DataFrame | None:
     """Frame with a stratum per row: K-means over standardised, well-filled numeric columns, k chosen by
-    silhouette. None when fewer than 3 columns or 100 complete rows qualify."""
+    silhouette; ``sample_rows=None`` learns from all rows. None when fewer than 3 columns or 100 complete
+    rows qualify."""
     numbers = [c for c in (columns or columns_of_kind(df, "number")) if c not in key]
     usable = [c for c, fill in fill_percentages(df, numbers).items() if fill > 60]
     if len(usable) < 3:
         return None
-    complete = exact_sample(df.select(*[quoted(c) for c in (*key, *usable)]), sample_rows, key, seed=seed).na.drop().persist()
+    complete = _sampled(df.select(*[quoted(c) for c in (*key, *usable)]), sample_rows, key, seed).na.drop().persist()
     try:
         n = complete.count()
         if n < 100:

@@ -688,6 +688,45 @@ def iterative_label_confidence(spark, sf):
     return impute.iterative_labels(view(spark, sf, "products"), ["grp"], "code", MACROS)[1]
 
 
+@query
+def label_passes(spark, sf):
+    return impute.iterative_labels(view(spark, sf, "part_l"), ["p_type"], "p_partkey", ["size", "price", "weight"])[0].select("p_partkey", "p_type")
+
+
+@query
+def label_pass_confidence(spark, sf):
+    return impute.iterative_labels(view(spark, sf, "part_l"), ["p_type"], "p_partkey", ["size", "price", "weight"])[1]
+
+
+@query
+def fill_guarantees(spark, sf):
+    """Per method and column: cells filled, gaps left, observed cells changed."""
+    df = view(spark, sf, "products").select("code", *MACROS)
+    out = None
+    for method, options in (("kmeans", {}), ("random_forest", {"trees": 5}), ("iterative_imputer", {"max_rounds": 3})):
+        done = impute.impute_numbers(df, method, MACROS, "code", **options).withColumnsRenamed({c: f"new_{c}" for c in MACROS})
+        both = df.join(done, "code")
+        cells = F.array(*[F.struct(F.lit(c).alias("column"), F.col(c).alias("old"), F.col(f"new_{c}").alias("new")) for c in MACROS])
+        part = both.select(F.explode(cells).alias("x")).groupBy(F.col("x.column").alias("column")).agg(
+            F.count_if(F.col("x.old").isNull() & F.col("x.new").isNotNull()).alias("filled"),
+            F.count_if(F.col("x.new").isNull()).alias("left"),
+            F.count_if(F.abs(F.col("x.old") - F.col("x.new")) > 1e-9).alias("changed"),
+        ).withColumn("method", F.lit(method))
+        out = part if out is None else out.unionByName(part)
+    return out
+
+
+@query
+def full_imputation_gaps(spark, sf):
+    """Cells noted per column by the full run, and the gaps it leaves."""
+    p = view(spark, sf, "products")
+    run = imputation.ImputationRun("code", PRODUCT_ROLES, levels=(("high", 0.8),), max_iterations=1, stratified=False)
+    done = run.fit_transform(p)
+    noted = run.confidence.groupBy("column").agg(F.count("*").alias("noted"))
+    left = done.agg(*[F.count_if(F.col(c).isNull()).alias(c) for c in p.columns]).unpivot([], p.columns, "column", "left")
+    return left.join(noted, "column", "left").select("column", F.coalesce("noted", F.lit(0).cast("long")).alias("noted"), "left")
+
+
 @query
 def stratified_median_fill(spark, sf):
     df = view(spark, sf, "products")
@@ -750,12 +789,12 @@ def method_median(spark, sf):
 
 @query
 def feature_relations(spark, sf):
-    return models.feature_relations(view(spark, sf, "products"), ["code"], ["grp", "grade", "fr_score", "uk_score", "energy", "fat"], trees=20)
+    return models.feature_relations(view(spark, sf, "products"), ["code"], ["grp", "grade", "fr_score", "uk_score", "energy", "fat"], sample_rows=None, trees=20)
 
 
 @query
 def strata(spark, sf):
-    return models.stratify(view(spark, sf, "products"), ["code"], FEATURES).select("code", "stratum")
+    return models.stratify(view(spark, sf, "products"), ["code"], FEATURES, sample_rows=None).select("code", "stratum")
 
 
 @query
@@ -798,7 +837,7 @@ def density_clusters(spark, sf):
 @query
 def profile_clusters(spark, sf):
     p = profile.column_profile(table(spark, sf, "lineitem"), "lineitem", ["l_partkey", "l_suppkey", "l_quantity", "l_discount", "l_tax", "l_returnflag"])
-    return density.profile_clusters(p, eps_values=(3,), min_fills=(50,))
+    return rounded(density.profile_clusters(p, eps_values=(3,), min_fills=(50,)))
 
 
 @query

@@ -776,6 +776,60 @@ _add(
  {_r(f"avg(CAST(grp = {_top('grp', '(SELECT * FROM products WHERE NOT (' + _HIDE + '))')} AS DOUBLE))", 4)} AS accuracy FROM products WHERE {_HIDE} AND grp IS NOT NULL""",
 )
 
+_GAPS = _union(
+    f"SELECT '{m}' AS method, '{c}' AS \"column\", count(*) - count({c}) AS filled, CAST(0 AS BIGINT) AS \"left\", CAST(0 AS BIGINT) AS changed FROM products"
+    for m in ("kmeans", "random_forest", "iterative_imputer")
+    for c in _MACROS
+)
+_add("fill_guarantees", "products", _GAPS)
+_add(
+    "full_imputation_gaps",
+    "products",
+    _union(f"SELECT '{c}' AS \"column\", count(*) - count({c}) AS noted, CAST(0 AS BIGINT) AS \"left\" FROM products" for c in _PRODUCT_NAMES),
+)
+
+
+def _label_pass(out: str, source: str, focus: str) -> list[str]:
+    """One pass of label votes among the rows in focus."""
+    fills = ", ".join(f"median({c}) AS f_{c}" for c in ("size", "price", "weight"))
+    spread = ", ".join(f"round(avg({c}), 6) AS m_{c}, round(stddev_pop({c}), 6) AS s_{c}" for c in ("size", "price", "weight"))
+    distance = " + ".join(f"(q.{c} - d.{c}) * (q.{c} - d.{c})" for c in ("size", "price", "weight"))
+    return [
+        f"{out}_f AS (SELECT {fills} FROM {source} WHERE {focus} AND p_type IS NOT NULL)",
+        f"{out}_x AS (SELECT p_partkey, p_type, " + ", ".join(f"coalesce({c}, f_{c}) AS {c}" for c in ("size", "price", "weight")) + f" FROM {source}, {out}_f WHERE {focus})",
+        f"{out}_s AS (SELECT {spread} FROM {out}_x WHERE p_type IS NOT NULL)",
+        f"{out}_z AS (SELECT p_partkey, p_type, " + ", ".join(f"({c} - m_{c}) / s_{c} AS {c}" for c in ("size", "price", "weight")) + f" FROM {out}_x, {out}_s)",
+        f"""{out}_k AS (SELECT q.p_partkey, d.p_type, row_number() OVER (PARTITION BY q.p_partkey ORDER BY round({distance}, 9), d.p_partkey) AS r
+ FROM {out}_z q JOIN {out}_z d ON q.p_type IS NULL AND d.p_type IS NOT NULL)""",
+        f"{out}_b AS (SELECT p_partkey, p_type AS v FROM (SELECT p_partkey, p_type, row_number() OVER (PARTITION BY p_partkey ORDER BY count(*) DESC, p_type) AS o FROM {out}_k WHERE r <= 5 GROUP BY 1, 2) t WHERE o = 1)",
+        f"{out} AS (SELECT s.p_partkey, coalesce(s.p_type, b.v) AS p_type, size, price, weight, n FROM {source} s LEFT JOIN {out}_b b ON s.p_partkey = b.p_partkey)",
+    ]
+
+
+_COUNTED = "l0 AS (SELECT *, 1 + CAST(price IS NOT NULL AS INTEGER) + CAST(weight IS NOT NULL AS INTEGER) AS n FROM part_l)"
+
+
+def _at_least(p: float) -> str:
+    return f"n >= (SELECT quantile_cont(CAST(n AS DOUBLE), {p}) FROM l0)"
+
+
+_add(
+    "label_passes",
+    "part_l",
+    "SELECT p_partkey, p_type FROM l3",
+    _COUNTED,
+    *_label_pass("l1", "l0", _at_least(0.5)),
+    *_label_pass("l2", "l1", _at_least(0.65)),
+    *_label_pass("l3", "l2", "true"),
+)
+_add(
+    "label_pass_confidence",
+    "part_l",
+    f"""SELECT p_partkey, 'p_type' AS "column", CASE WHEN {_at_least(0.5)} THEN 0.9e0 ELSE 0.3e0 END AS confidence, CASE WHEN {_at_least(0.5)} THEN 'labels-1' ELSE 'labels-last' END AS stage
+ FROM l0 WHERE p_type IS NULL""",
+    _COUNTED,
+)
+
 # --- clusters and models ------------------------------------------------------------------------
 
 _TWO = f"t AS (SELECT abs(corr(coalesce(sodium, {_median('sodium')}), coalesce(salt, {_median('salt')}))) AS r FROM products)"
@@ -801,6 +855,18 @@ _add(
     "labelled AS (SELECT a AS k, min(b) AS label FROM reach GROUP BY 1)",
     "numbered AS (SELECT k, dense_rank() OVER (ORDER BY label) - 1 AS n FROM labelled)",
 )
+_PROFILED = ["l_partkey", "l_suppkey", "l_quantity", "l_discount", "l_tax", "l_returnflag"]
+_add(
+    "profile_clusters",
+    "",
+    """SELECT CAST(50 AS BIGINT) AS min_fill, CAST(3 AS BIGINT) AS eps, p."column", coalesce(CAST(n AS BIGINT), -1) AS cluster FROM pts p LEFT JOIN
+ (SELECT k, dense_rank() OVER (ORDER BY label) - 1 AS n FROM (SELECT a AS k, min(b) AS label FROM reach GROUP BY 1) l) c ON p."column" = c.k""",
+    "pts AS (" + _union(f"SELECT '{c}' AS \"column\", round(count({c}) * 100e0 / count(*), 2) AS x, round(count(DISTINCT {c}) * 100e0 / count({c}), 2) AS y FROM lineitem" for c in _PROFILED) + ")",
+    'e AS (SELECT a."column" AS a, b."column" AS b FROM pts a JOIN pts b ON (a.x - b.x) * (a.x - b.x) + (a.y - b.y) * (a.y - b.y) <= 9)',
+    # With two points as the least, every point with a neighbour is a core point.
+    "core AS (SELECT a AS k FROM e GROUP BY 1 HAVING count(*) >= 2)",
+    "reach AS (SELECT k AS a, k AS b FROM core UNION SELECT r.a, e.b FROM reach r JOIN e ON r.b = e.a)",
+)
 _add(
     "preprocessed_features",
     "part_m",

@@ -59,6 +59,11 @@ FROM {part}""",
     "part_n": """SELECT p_partkey, CAST(p_size AS DOUBLE) AS size,
   CASE WHEN p_partkey % 5 = 2 THEN NULL ELSE p_retailprice END AS price,
   CASE WHEN p_partkey % 7 = 4 THEN NULL ELSE (p_partkey * 37 % 500) / 10e0 END AS weight
+FROM {part}""",
+    # The same features with a gappy label.
+    "part_l": """SELECT p_partkey, CASE WHEN p_partkey % 8 = 1 THEN NULL ELSE p_type END AS p_type, CAST(p_size AS DOUBLE) AS size,
+  CASE WHEN p_partkey % 5 = 2 THEN NULL ELSE p_retailprice END AS price,
+  CASE WHEN p_partkey % 7 = 4 THEN NULL ELSE (p_partkey * 37 % 500) / 10e0 END AS weight
 FROM {part}""",
     # 2-D points: account balances on one line per nation.
     "points": """SELECT c_custkey, c_acctbal AS x, c_nationkey * 1000e0 AS y FROM {customer}""",
