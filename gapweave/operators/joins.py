@@ -12,7 +12,9 @@ from gapweave.session import cut, partitions
 
 # A side is broadcast only when it is seen to have at most this many rows.
 BROADCAST_ROWS = 100_000
-_SALTS = 16
+# Candidates and counters of the hot-key sketch.
+_HOT_KEYS = 1_000
+_TRACKED = 10_000
 
 
 def settle(df: DataFrame, rows: int = BROADCAST_ROWS) -> tuple[DataFrame, bool]:
@@ -30,21 +32,37 @@ def settle(df: DataFrame, rows: int = BROADCAST_ROWS) -> tuple[DataFrame, bool]:
     return df.sparkSession.createDataFrame(table, schema=df.schema), True
 
 
+def _hot_keys(left: DataFrame, on: Sequence[str], tasks: int) -> list[int]:
+    """Hashes of the keys that hold more than one task's share of the rows, from one mergeable sketch.
+    There can be at most ``tasks`` of them."""
+    key = F.xxhash64(*[F.col(quoted(c)) for c in on])
+    row = left.agg(F.count("*").alias("n"), F.call_function("approx_top_k", key, F.lit(_HOT_KEYS), F.lit(_TRACKED)).alias("top")).first()
+    return [t["item"] for t in row["top"] or [] if t["count"] * tasks > row["n"]]
+
+
 def lookup_join(
     left: DataFrame, lookup: DataFrame, on: Sequence[str], how: str = "left", rows: int = BROADCAST_ROWS
 ) -> DataFrame:
     """Equi-join with a table of unique keys.
 
-    A lookup of checked size is broadcast. A larger one is joined on (keys, salt): the left side is
-    spread over the salts by a hash of its whole row, so a hot or null key never fills one task."""
+    A lookup of checked size is broadcast. For a larger one the rows of hot keys, and rows with a null
+    key, are spread over all tasks by a salt, and only the lookup rows of hot keys are repeated per salt.
+    The salt hashes the row with its input partition, so that equal rows part ways and a repeated task
+    gives the same salts."""
     on = list(on)
     table, small = settle(lookup, rows)
     if small:
         return left.join(F.broadcast(table), on, how)
-    columns = [F.col(quoted(c)) for c in left.columns]
-    salted = left.withColumn("__salt", F.pmod(F.xxhash64(*columns), F.lit(_SALTS)).cast("int"))
-    copies = table.withColumn("__salt", F.explode(F.sequence(F.lit(0), F.lit(_SALTS - 1))))
-    return salted.join(copies, on + ["__salt"], how).drop("__salt")
+    tasks = partitions(left.sparkSession)
+    key = F.xxhash64(*[F.col(quoted(c)) for c in on])
+    hot = key.isin(_hot_keys(left, on, tasks))
+    null_key = F.lit(False)
+    for c in on:
+        null_key = null_key | F.col(quoted(c)).isNull()
+    spread = F.pmod(F.xxhash64(*[F.col(quoted(c)) for c in left.columns], F.spark_partition_id()), F.lit(tasks)).cast("int")
+    salted = left.withColumn("__salt", F.when(null_key | hot, spread).otherwise(0))
+    salts = F.when(hot, F.sequence(F.lit(0), F.lit(tasks - 1))).otherwise(F.array(F.lit(0)))
+    return salted.join(table.withColumn("__salt", F.explode(salts)), on + ["__salt"], how).drop("__salt")
 
 
 def map_values(df: DataFrame, column: str, mapping: DataFrame, key: str, value: str, out: str | None = None) -> DataFrame:

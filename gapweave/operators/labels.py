@@ -16,6 +16,9 @@ from gapweave.operators.joins import lookup_join, map_values
 from gapweave.operators.stats import combination_counts, mode_by
 from gapweave.session import cut, partitions
 
+# Leaders that travel to the tasks at once.
+_LARGEST_BATCH = 4096
+
 _STATE = "id string, text string, n long, leader string, leader_text string, score int, is_leader boolean"
 
 
@@ -84,7 +87,11 @@ def leader_groups(labels: DataFrame, cutoff: int = 85, best: bool = True, key_fi
         rows = state.where("leader is null and not is_leader").orderBy(F.desc("n"), "id").limit(batch).collect()
         if not rows:
             break
-        state = cut(_assign(state, _resolve_batch(rows, cutoff, key_first), cutoff, key_first, best))
+        leaders = _resolve_batch(rows, cutoff, key_first)
+        state = cut(_assign(state, leaders, cutoff, key_first, best))
+        if 2 * len(leaders) > len(rows):
+            # Mostly distinct labels: fewer, larger rounds.
+            batch = max(batch, min(2 * batch, _LARGEST_BATCH))
     return state.select(
         "id",
         "text",

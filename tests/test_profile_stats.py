@@ -159,6 +159,15 @@ def test_lookup_join_paths_agree_with_hot_and_null_keys(spark, limit):
     assert joins.lookup_join(left, table, ["k"], "left_anti", rows=limit).count() == 28
 
 
+def test_hot_and_null_keys_are_spread_even_for_equal_rows(spark):
+    left = spark.range(3000, numPartitions=8).select(F.when(F.col("id") % 3 == 0, "hot").when(F.col("id") % 3 == 1, F.lit(None)).otherwise(F.col("id").cast("string")).alias("k"))
+    table = spark.range(3000).select(F.col("id").cast("string").alias("k"), F.lit(1).alias("v")).unionByName(spark.createDataFrame([("hot", 2)], "k string, v int"))
+    assert len(joins._hot_keys(left, ["k"], 4)) == 2  # the hot key and null
+    out = joins.lookup_join(left, table, ["k"], rows=1)
+    assert out.count() == 3000
+    assert {(r.v, r["count"]) for r in out.groupBy("v").count().collect()} == {(2, 1000), (None, 1000), (1, 1000)}
+
+
 def test_settle_leaves_a_callers_cache_alone(spark):
     df = spark.range(10).toDF("a").cache()
     df.count()
