@@ -7,7 +7,7 @@ from collections.abc import Callable, Iterator, Mapping, Sequence
 import numpy as np
 import pandas as pd
 from pyspark.ml import Estimator, Model
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, functions as F, types as T
 
 from gapweave.functions.scalars import grade_to_number, number_to_grade, quoted, score_to_grade
 from gapweave.operators.joins import lookup_join, map_values
@@ -41,9 +41,16 @@ class _Step(Estimator):
 
 
 def fill_constants(df: DataFrame, values: Mapping[str, object]) -> DataFrame:
-    """Null cells of each column take its constant; a null constant changes nothing."""
-    kinds = {f.name: f.dataType for f in df.schema}
-    changes = {c: F.coalesce(F.col(quoted(c)), F.lit(v).cast(kinds[c])) for c, v in values.items() if v is not None and c in kinds}
+    """Null cells of each column take its constant; a null constant changes nothing. A whole-number column
+    becomes double when its constant is not whole."""
+    changes = {}
+    for f in df.schema:
+        value = values.get(f.name)
+        if value is None:
+            continue
+        broken = isinstance(f.dataType, T.IntegralType) and isinstance(value, float) and not value.is_integer()
+        kind = T.DoubleType() if broken else f.dataType
+        changes[f.name] = F.coalesce(F.col(quoted(f.name)).cast(kind), F.lit(value).cast(kind))
     return replace_columns(df, changes)
 
 

@@ -349,6 +349,13 @@ def missing_report(spark, sf):
     return rounded(profile.missing_report(view(spark, sf, "products")))
 
 
+@query
+def columns_by_missing(spark, sf):
+    df = view(spark, sf, "products")
+    rows = [(c, above) for above in (True, False) for c in selection.columns_by_missing(df, 0.1, above)]
+    return spark.createDataFrame(rows, "column string, above boolean")
+
+
 @query
 def combination_counts(spark, sf):
     return stats.combination_counts(view(spark, sf, "orders_m"), ["o_orderstatus", "o_orderpriority"])

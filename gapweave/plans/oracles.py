@@ -259,6 +259,7 @@ _add(
     )
     + ") x WHERE missing > 0",
 )
+_add("columns_by_missing", "products", _union(f"SELECT '{c}' AS \"column\", (count(*) - count({c})) * 1e0 / count(*) > 0.1e0 AS above FROM products" for c in _PRODUCT_NAMES))
 _add("top_values", "part_m", "SELECT p_brand AS value, count(*) AS n FROM part_m WHERE p_brand IS NOT NULL GROUP BY 1 ORDER BY n DESC, value LIMIT 10")
 _add("group_mode", "part_m", _mode("(SELECT * FROM part_m WHERE p_type IS NOT NULL)", "p_brand", "p_type"))
 _add(

@@ -20,6 +20,8 @@ def build_session(app: str = "gapweave", cores: str = "*", memory: str = "8g") -
         .config("spark.driver.memory", memory)
         # The JVM compiles no method above 8,000 bytes: larger generated code is better split up.
         .config("spark.sql.codegen.hugeMethodLimit", "8000")
+        # Checkpoints of finished rounds are removed once nothing refers to them.
+        .config("spark.cleaner.referenceTracking.cleanCheckpoints", "true")
         .config("spark.ui.enabled", "false")
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
         .getOrCreate()

@@ -134,6 +134,14 @@ def test_stratified_fill_uses_the_global_value_for_small_strata(spark):
     assert got[100] == 12.0 and got[101] == got[102] == 12.5
 
 
+def test_whole_number_columns_keep_a_broken_median(spark):
+    df = spark.createDataFrame([(1,), (2,), (None,)], "v int")
+    out = impute.ConstantImputer(["v"]).fit(df).transform(df)
+    assert sorted(r.v for r in out.collect()) == [1.0, 1.5, 2.0]
+    whole = impute.fill_constants(df, {"v": 7.0})
+    assert dict(whole.dtypes)["v"] == "int" and sorted(r.v for r in whole.collect()) == [1, 2, 7]
+
+
 def test_fitted_values_only(spark):
     fitted = spark.createDataFrame([("a",), ("a",), ("b",), (None,)], "x string")
     df = spark.createDataFrame([("b",), ("zzz",), (None,)], "x string")

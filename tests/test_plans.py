@@ -5,7 +5,7 @@ import re
 import pytest
 from pyspark.sql import functions as F
 
-from gapweave.operators import profile, rules, stats, windows
+from gapweave.operators import joins, neighbours, profile, rules, selection, stats, windows
 from gapweave.plans.views import PRODUCT_ROLES, table, view
 
 
@@ -47,3 +47,19 @@ def test_no_cartesian_products(spark, sf, name):
 def test_filters_reach_the_scan(spark, sf):
     text = plan(stats.top_values(table(spark, sf, "orders").where(F.col("o_totalprice") > 1000), "o_orderstatus", 3))
     assert "GreaterThan(o_totalprice,1000.0)" in text and "TakeOrderedAndProject" in text
+
+
+def test_row_limits_apply_before_the_shuffle(spark, sf):
+    donors = table(spark, sf, "part").select(F.col("p_partkey").alias("key"), F.array(F.col("p_size").cast("double")).alias("vec"), F.array("p_type").alias("values"))
+    for df in (neighbours._distinct_donors(donors, 5), selection.outlier_samples(table(spark, sf, "events"), ["value"], "event_id")):
+        text = plan(df)
+        assert text.index("Final") < text.index("Exchange") < text.index("Partial")
+
+
+def test_a_large_lookup_is_not_broadcast(spark, sf):
+    orders = table(spark, sf, "orders")
+    counts = orders.groupBy("o_custkey").agg(F.count("*").alias("n"))
+    text = plan(joins.lookup_join(orders, counts, ["o_custkey"], rows=5))
+    assert "SortMergeJoin" in text or "ShuffledHashJoin" in text or "__salt" in text
+    small = plan(joins.lookup_join(orders, counts, ["o_custkey"]))
+    assert "BroadcastHashJoin" in small
