@@ -294,7 +294,7 @@ class ChainedImputer(_Step):
         order = sorted((i for i in range(p) if 0 < gaps[i] < n), key=lambda i: (gaps[i], i))
         chain = _Chain(means, spreads, order)
         limit = self.tolerance * max((row[f"a{i}"] or 0.0) for i in range(p))
-        source = df.select(F.array(*cells).alias("x"))
+        source = df.select(*[c.alias(f"x{i}") for i, c in enumerate(cells)])
         for _ in range(self.max_rounds if order else 0):
             sums = {
                 (r["target"], r["pos"]): r["v"]
@@ -316,13 +316,13 @@ class ChainedImputer(_Step):
             self.rounds_used = len(chain.rounds)
 
         @F.pandas_udf("array<double>")
-        def replay(batch: pd.Series) -> pd.Series:
-            raw = np.array([[np.nan if v is None else v for v in r] for r in batch], dtype=float).reshape(-1, p)
+        def replay(*batch: pd.Series) -> pd.Series:
+            raw = np.column_stack([b.to_numpy(dtype=float) for b in batch])
             x, missing, _ = chain.fill(raw)
             return pd.Series(list(np.where(missing, x * chain.spreads + chain.means, raw)))
 
         def apply(x: DataFrame) -> DataFrame:
-            filled = x.withColumn("__x", replay(F.array(*[F.col(quoted(c)).cast("double") for c in columns])))
+            filled = x.withColumn("__x", replay(*[F.col(quoted(c)).cast("double") for c in columns]))
             changes = {c: F.coalesce(F.col(quoted(c)).cast("double"), F.get("__x", F.lit(i))) for i, c in enumerate(columns)}
             return replace_columns(filled, changes).drop("__x")
 
@@ -335,8 +335,7 @@ def _gram_pass(chain: _Chain):
         grams = {j: np.zeros((p + 1, p + 1)) for j in chain.order}
         change = 0.0
         for pdf in frames:
-            raw = np.array([[np.nan if v is None else v for v in r] for r in pdf["x"]], dtype=float).reshape(-1, p)
-            x, missing, moved = chain.fill(raw)
+            x, missing, moved = chain.fill(pdf.to_numpy(dtype=float))
             if np.isfinite(moved):
                 change = max(change, moved)
             design = np.column_stack([np.ones(len(x)), x])
