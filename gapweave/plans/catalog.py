@@ -760,7 +760,7 @@ def confidence_report(spark, sf):
 
 @query
 def full_imputation(spark, sf):
-    return imputation.ImputationRun("code", PRODUCT_ROLES, levels=(("high", 0.8),), max_iterations=1).fit_transform(view(spark, sf, "products"))
+    return imputation.ImputationRun("code", PRODUCT_ROLES, levels=(("high", 0.8),), max_iterations=1, sample_rows=None).fit_transform(view(spark, sf, "products"))
 
 
 @query
