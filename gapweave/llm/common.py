@@ -81,6 +81,7 @@ class SpanHash:
     _powers = np.ones(1, np.uint64)
     _inverse = np.ones(1, np.uint64)
     _base = np.uint64(0xD6E8FEB86659FD93)
+    _table = mix(np.arange(1, (1 << 16) + 1, dtype=np.uint64))
 
     def __init__(self, codes: np.ndarray):
         n = len(codes) + 1
@@ -88,8 +89,8 @@ class SpanHash:
             size = max(n, SLICE_CHARS + 1)
             SpanHash._powers = np.cumprod(np.full(size, self._base), dtype=np.uint64)
             SpanHash._inverse = np.cumprod(np.full(size, np.uint64(pow(int(self._base), -1, 1 << 64))), dtype=np.uint64)
-        table = mix(np.arange(1, 257, dtype=np.uint64))
-        values = table[codes] if codes.dtype == np.uint8 else mix(codes.astype(np.uint64) + np.uint64(1))
+        small = codes.dtype == np.uint8 or not n - 1 or int(codes.max()) < len(SpanHash._table)
+        values = self._table[codes] if small else mix(codes.astype(np.uint64) + np.uint64(1))
         self._sums = np.zeros(n, np.uint64)
         np.cumsum(values * self._powers[: n - 1], out=self._sums[1:])
 

@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from gapweave.llm import toxicity
+from gapweave.llm import line_dedup, near_dedup, packing, quality, toxicity
 from gapweave.llm.common import ship
 
 
@@ -28,8 +29,40 @@ def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.select("doc_id", (_remainder(5) == 0).alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"), "evidence")
 
 
+def quality_model(spark: SparkSession, sf_dir: str) -> quality.QualityModel:
+    """Fitted on the rows of ``labels`` outside the fold that is held out."""
+    labels = _table(spark, sf_dir, "labels").where(_remainder(3) != 1).select("doc_id", "quality").dropDuplicates(["doc_id"])
+    return quality.fit(labels, _table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
+def op2_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    scored = quality.score_rows(_table(spark, sf_dir, "documents"), quality_model(spark, sf_dir), "doc_id")
+    return scored.select("doc_id", (_remainder(3) == 1).alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
+
+
+def op3_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Class of every document: the lowest doc_id of its near-duplicates, and their number."""
+    found = near_dedup.near_duplicates(_table(spark, sf_dir, "documents"))
+    return found.select(F.col("key").alias("doc_id"), F.col("class_key").alias("class_id"), "class_size", (F.col("row") == F.col("class_row")).alias("kept"))
+
+
+def op4_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document without its duplicate lines."""
+    kept = line_dedup.dedup_lines(_table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return kept.select("doc_id", "removed_lines", F.sha2("text", 256).alias("kept_sha256"), F.length("text").cast("long").alias("kept_chars"))
+
+
+def op7_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    packed = packing.pack(_table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
+    return packed.withColumnRenamed("key", "doc_id")
+
+
 QUERIES = {
+    "op2_quality": op2_quality,
+    "op3_near_dedup": op3_near_dedup,
+    "op4_line_dedup": op4_line_dedup,
     "op5_toxicity": op5_toxicity,
+    "op7_packing": op7_packing,
 }
 
 #: Only operators that SQL can express on whole tables.
