@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+import public_tokenizers
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from gapweave.llm import queries, toxicity
+from gapweave.llm import line_dedup, near_dedup, packing, quality, queries, toxicity
+from gapweave.llm.common import ship
 from gapweave.session import scratch_path
 
 
@@ -13,8 +15,37 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return toxicity.reject_toxic(docs, queries.toxicity_model(spark, sf_dir))
 
 
+def drop_poor(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents whose quality score reaches one half."""
+    return quality.reject_poor(docs, queries.quality_model(spark, sf_dir))
+
+
+def drop_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Every document without lines that an earlier one holds; one that loses all of its lines goes."""
+    ship(spark)
+    kept = line_dedup.dedup_lines(docs)
+    left = kept.where(F.col("removed_lines").isNull() | (F.trim("text") != ""))
+    return left.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType)).select(*docs.columns)
+
+
+def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The first document of every group of near-duplicates."""
+    ship(spark)
+    return near_dedup.drop_near_duplicates(docs)
+
+
+def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Pieces of the documents in sequences of 4096 tokens."""
+    ship(spark)
+    return packing.pack(docs, public_tokenizers.path("word_bpe_49k.json")).withColumnRenamed("key", "doc_id")
+
+
 STAGES = [
     ("toxicity", drop_toxic),
+    ("quality", drop_poor),
+    ("lines", drop_repeated_lines),
+    ("near-duplicates", drop_near_duplicates),
+    ("packing", pack_sequences),
 ]
 
 #: Compression, neighbours and packing have no SQL form: the tests rebuild the rows by brute force.

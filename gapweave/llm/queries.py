@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from gapweave.llm import line_dedup, near_dedup, packing, quality, toxicity
+from gapweave.llm import fingerprints, language, line_dedup, near_dedup, nearest, packing, pieces, quality, token_counts, toxicity
 from gapweave.llm.common import ship
 
 
@@ -57,12 +57,42 @@ def op7_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packed.withColumnRenamed("key", "doc_id")
 
 
+def op1_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pieces of every document, and whether they decode to its text."""
+    rows = pieces.encode(_table(spark, sf_dir, "documents"), public_tokenizers.path("piece_bpe_32k.model"))
+    return rows.select(F.col("key").alias("doc_id"), F.size("pieces").cast("long").alias("n_pieces"), "pieces", F.sha2("decoded", 256).alias("decoded_sha256"))
+
+
+def op6_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    model = language.fit(_table(spark, sf_dir, "documents"))
+    return language.identify(_table(spark, sf_dir, "pages"), model).withColumnRenamed("key", "page_id")
+
+
+def op8_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fingerprints.compared_with_next(_table(spark, sf_dir, "documents")).withColumnRenamed("key", "doc_id")
+
+
+def op9_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    counts = token_counts.count_tokens(_table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
+    return counts.select(F.col("key").alias("doc_id"), "n_bytes", "n_tokens", (F.col("n_tokens") > 2048).alias("over_limit"))
+
+
+def op10_nearest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = _table(spark, sf_dir, "embeddings")
+    return nearest.neighbours(vectors, vectors.where(F.col("vec_id") % 20 == 0))
+
+
 QUERIES = {
+    "op1_pieces": op1_pieces,
     "op2_quality": op2_quality,
     "op3_near_dedup": op3_near_dedup,
     "op4_line_dedup": op4_line_dedup,
     "op5_toxicity": op5_toxicity,
+    "op6_language": op6_language,
     "op7_packing": op7_packing,
+    "op8_fingerprints": op8_fingerprints,
+    "op9_token_counts": op9_token_counts,
+    "op10_nearest": op10_nearest,
 }
 
 #: Only operators that SQL can express on whole tables.
