@@ -9,7 +9,7 @@ stable after the last piece of the prefix before it (encoding the two together g
 the scores and is remembered. Like a forward score it depends on the prefix alone; reading back from the end gives the encoding.
 
 Cases: null text counts as empty and has no pieces; characters outside the vocabulary become byte pieces; decoding inverts encoding for every text
-that the model's normaliser leaves as it is; repeated rows each get a row; an empty table gives no rows; extra columns do not matter."""
+without word marks of its own; repeated rows each get a row; an empty table gives no rows; extra columns do not matter."""
 
 from __future__ import annotations
 
@@ -24,8 +24,8 @@ from gapweave.llm.common import col, map_batches, slices, texts_of
 
 MARK = "▁"
 _WORD = re.compile(f"{MARK}*[^{MARK}]+|{MARK}+")
-#: Distinct words and stable pairs that a worker remembers.
-MAX_WORDS = 1 << 19
+#: Distinct words, and pairs of pieces, that a worker remembers.
+MAX_WORDS, MAX_PAIRS = 1 << 18, 1 << 19
 
 
 class Pieces:
@@ -79,7 +79,7 @@ class Pieces:
         pair = (before, piece)
         known = self._stable.get(pair)
         if known is None:
-            if len(self._stable) > 4 * MAX_WORDS:
+            if len(self._stable) > MAX_PAIRS:
                 self._stable.clear()
             known = self._stable[pair] = self.merged([*before, *piece]) == [before, piece]
         return known
