@@ -9,10 +9,11 @@ register. A register keeps the shingle of its earliest arrival; a shingle is lef
 all registers' present ones. Two bags agree in a register with the probability of their likeness. Bands of registers give
 buckets.
 
-Texts with equal bags are one node. Within a bucket, every node is verified against the bucket's least node, exactly. Where a bucket
-still holds nodes of different classes, pairs across classes follow, but only those whose exact distances to the
-least node differ by at most the threshold distance: one minus the likeness is a metric, so others cannot be linked. So no link
-between nodes that meet in a bucket is lost, and a large group of near copies costs one comparison per copy.
+Texts with equal bags are one node. Comparing all nodes of a bucket would cost the square of a group of copies, so every node
+is verified, exactly, against two leaders of each of its buckets: the most central node (the one whose buckets hold most
+nodes, as the original of edited copies does) and one drawn by hash. Nodes outside the class of a bucket's centre then elect leaders
+among themselves, ``rounds`` times in all. The cost is linear in the nodes of a bucket. A link is missed only if its two nodes meet in no bucket,
+or nowhere with a common leader, and no other way connects them.
 
 Cases: null text counts as empty; texts without words form one class; repeated rows are copies; an empty table gives no
 rows; null keys are kept and never name a class unless all of its keys are null."""
@@ -29,6 +30,8 @@ from gapweave.llm.line_dedup import squeezed, unpacked
 WORDS, THRESHOLD = 5, 0.8
 #: 16 bands of 4 registers: a pair at 0.8 is missed with a probability of 0.0002.
 BANDS, ROWS = 16, 4
+#: Elections of leaders in a bucket.
+ROUNDS = 2
 _PIECE_WORDS = 100_000
 _ODD = np.uint64(0x9E3779B97F4A7C15)
 
@@ -165,8 +168,21 @@ def _verified(pairs: DataFrame, bag: DataFrame) -> DataFrame:
     return map_batches(joined, work, "a long, b long, alike double")
 
 
+def _leaders(met: DataFrame) -> DataFrame:
+    """(bucket, centre, drawn) of buckets with their sizes."""
+    central = met.groupBy("node").agg(F.sum("n").alias("c"))
+    named = met.join(central, "node")
+    return named.groupBy("bucket").agg(F.max_by("node", F.struct("c", "node")).alias("centre"), F.min_by("node", F.struct(F.xxhash64("node", "bucket"), "node")).alias("drawn"))
+
+
+def _led(met: DataFrame) -> DataFrame:
+    """Pairs (a, b) of every node with the leaders of its buckets."""
+    led = met.join(_leaders(met), "bucket").select("node", F.explode(F.array("centre", "drawn")).alias("leader")).where("node <> leader")
+    return led.select(F.least("node", "leader").alias("a"), F.greatest("node", "leader").alias("b")).distinct()
+
+
 def near_duplicates(
-    docs: DataFrame, key: str = "doc_id", text: str = "text", threshold: float = THRESHOLD, words: int = WORDS, bands: int = BANDS, rows: int = ROWS
+    docs: DataFrame, key: str = "doc_id", text: str = "text", threshold: float = THRESHOLD, words: int = WORDS, bands: int = BANDS, rows: int = ROWS, rounds: int = ROUNDS
 ) -> DataFrame:
     """One row per document: key, row (xxhash64 of key and text), node, and class (key and row of its first document, its size)."""
     spark = docs.sparkSession
@@ -174,24 +190,26 @@ def near_duplicates(
     first = F.min(F.struct(F.col("key").isNull().alias("last"), "key", "row")).alias("first")
     single = stored(nodes.groupBy("node").agg(first, F.count("*").alias("n"), F.first("buckets").alias("buckets")), "distinct-bags")
     placed = single.select("node", F.explode("buckets").alias("bucket"))
-    least = placed.groupBy("bucket").agg(F.min("node").alias("least"), F.count("*").alias("n")).where("n > 1").drop("n")
-    met = stored(placed.join(least, "bucket"), "met-bags")
-    edges = met.where("node <> least").select(F.col("least").alias("a"), F.col("node").alias("b")).distinct()
-    wanted = edges.select(F.col("a").alias("node")).union(edges.select("b")).distinct()
+    shared = placed.groupBy("bucket").agg(F.count("*").alias("n")).where("n > 1")
+    met = stored(placed.join(shared, "bucket"), "met-bags")
+    edges = stored(_led(met), "bag-pairs")
+    wanted = met.select("node").distinct()
     bag = stored(_fetch(docs, key, text, single.join(wanted, "node").select(F.col("first.row").alias("row"), "node"), words), "met-shingles")
-    judged = stored(_verified(edges, bag), "judged-pairs")
     enough = F.col("alike") >= threshold - 1e-12
-    roots = linked(judged.where(enough).select("a", "b"), spark, "copies")
-    # Buckets that still hold several classes.
-    known = met.join(judged.select(F.col("a").alias("least"), F.col("b").alias("node"), "alike"), ["least", "node"], "left")
-    known = known.join(roots, "node", "left").select("bucket", "node", "least", F.coalesce("root", "node").alias("class"), F.coalesce("alike", F.lit(1.0)).alias("alike"))
-    mixed = known.groupBy("bucket").agg(F.min("class").alias("low"), F.max("class").alias("high")).where("low < high").select("bucket")
-    rest = stored(known.join(mixed, "bucket").where("node <> least").drop("least"), "mixed-buckets")
-    other = rest.select("bucket", F.col("node").alias("b"), F.col("class").alias("d"), F.col("alike").alias("t"))
-    more = rest.withColumnRenamed("node", "a").join(other, "bucket").where((F.col("a") < F.col("b")) & (F.col("class") != F.col("d")) & (F.abs(F.col("alike") - F.col("t")) <= 1 - threshold + 1e-9))
-    late = stored(_verified(more.select("a", "b").distinct(), bag).where(enough).select("a", "b"), "late-links")
-    if not late.isEmpty():
-        roots = linked(judged.where(enough).select("a", "b").union(late), spark, "copies")
+    links = stored(_verified(edges, bag).where(enough).select("a", "b"), "bag-links")
+    roots = linked(links, spark, "copies")
+    for _ in range(rounds - 1):
+        known = met.join(roots, "node", "left").select("node", "bucket", F.coalesce("root", "node").alias("class"))
+        centre = _leaders(met).select("bucket", F.col("centre").alias("node")).join(known, ["node", "bucket"]).select("bucket", F.col("class").alias("first"))
+        rest = known.join(centre, "bucket").where("class <> first").select("node", "bucket", "class")
+        mixed = rest.groupBy("bucket").agg(F.count("*").alias("n"), F.min("class").alias("low"), F.max("class").alias("high")).where("low < high").select("bucket", "n")
+        met = stored(rest.select("node", "bucket").join(mixed, "bucket"), "other-bags")
+        more = _led(met).join(edges, ["a", "b"], "left_anti")
+        late = stored(_verified(more, bag).where(enough).select("a", "b"), "late-links")
+        if late.isEmpty():
+            break
+        links = links.union(late)
+        roots = linked(links, spark, "copies")
     classes = single.join(roots, "node", "left").select("node", F.coalesce("root", "node").alias("class"), "first", "n")
     heads = classes.groupBy("class").agg(F.min("first").alias("head"), F.sum("n").alias("size"))
     named = classes.select("node", "class").join(heads, "class").select("node", F.col("head.key").alias("class_key"), F.col("head.row").alias("class_row"), F.col("size").alias("class_size"))

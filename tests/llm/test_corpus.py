@@ -274,14 +274,16 @@ def test_exact_likeness_and_estimate():
 def test_near_duplicates_match_all_pairs(spark):
     docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").select("doc_id", "text")
     rows = [(r["doc_id"], r["text"]) for r in docs.collect()]
-    bags = [(d, bag(t)) for d, t in rows]
+    owner, shingles, weights = near_dedup.bags([t for _, t in rows])
+    cut = np.searchsorted(owner, np.arange(len(rows) + 1))
+    bags = [(shingles[a:b], weights[a:b]) for a, b in zip(cut[:-1], cut[1:], strict=True)]
     # Bags that share no shingle are at 0: only those that do are compared.
     at = collections.defaultdict(list)
-    for n, (_, x) in enumerate(bags):
-        for s in x:
+    for n, (x, _) in enumerate(bags):
+        for s in x.tolist():
             at[s].append(n)
-    seen = {(a, b) for group in at.values() for i, b in enumerate(group) for a in group[:i]}
-    links = [(bags[a][0], bags[b][0]) for a, b in seen if min(sum(bags[a][1].values()), sum(bags[b][1].values())) > 0 and probability_jaccard(bags[a][1], bags[b][1]) >= 0.8]
+    seen = {(a, b) for group in map(tuple, {tuple(g) for g in at.values()}) for i, b in enumerate(group) for a in group[:i]}
+    links = [(rows[a][0], rows[b][0]) for a, b in seen if near_dedup.likeness(*bags[a], *bags[b]) >= 0.8]
     root = roots_of(links)
     found = near_dedup.near_duplicates(docs).collect()
     assert len(found) == len(rows)
