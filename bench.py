@@ -8,6 +8,7 @@ import json
 import os
 import statistics
 import sys
+import tempfile
 import time
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
@@ -53,7 +54,7 @@ def run(spark, name: str, sf_dir: str) -> float:
 
 def main() -> None:
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
-    spark = build_session("bench", os.environ.get("BENCH_CPUS", "8"))
+    spark = build_session("bench", os.environ.get("BENCH_CPUS", "8"), shared=tempfile.mkdtemp(prefix="gapweave-bench-"))
     spark.sparkContext.setLogLevel("ERROR")
     repeats = int(os.environ.get("BENCH_RUNS", "1"))
     names = sys.argv[1:] or HEADLINE

@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, functions as F, types as T
 
 from gapweave.functions.scalars import grade_to_number, number_to_grade, quoted, score_to_grade
 from gapweave.operators.joins import lookup_join, map_values
-from gapweave.operators.neighbours import feature_vector, nearest
+from gapweave.operators.neighbours import feature_vector, nearest, significant
 from gapweave.operators.quantiles import medians, quantile_map, quantiles
 from gapweave.operators.rules import replace_columns
 from gapweave.operators.selection import completeness_threshold, fill_percentages, present_count
@@ -126,14 +126,24 @@ class ScoreGradeImputer(_Step):
 
 
 def _spread(df: DataFrame, features: Sequence[str], fill: Mapping[str, float]) -> dict[str, tuple[float, float]]:
-    """(mean, population deviation) of the filled features, rounded so that the order of summation cannot
-    change which neighbour is nearest; a constant feature keeps spread 1."""
+    """(mean, population deviation) of the filled features, rounded to ten significant digits so that the order of
+    summation cannot change which neighbour is nearest; a constant feature keeps spread 1."""
     filled = {f: F.coalesce(F.col(quoted(f)).cast("double"), F.lit(fill.get(f))) for f in features}
     row = df.agg(
-        *[F.round(F.avg(c), 6).alias(f"m{i}") for i, c in enumerate(filled.values())],
-        *[F.round(F.stddev_pop(c), 6).alias(f"s{i}") for i, c in enumerate(filled.values())],
+        *[F.avg(c).alias(f"m{i}") for i, c in enumerate(filled.values())],
+        *[F.stddev_pop(c).alias(f"s{i}") for i, c in enumerate(filled.values())],
     ).first()
-    return {f: (row[f"m{i}"] or 0.0, row[f"s{i}"] or 1.0) for i, f in enumerate(features)}
+
+    def number(name: str) -> float:
+        x = row[name] or 0.0
+        return float(np.sign(x) * significant(abs(x), 9))
+
+    out = {}
+    for i, f in enumerate(features):
+        centre, spread = number(f"m{i}"), number(f"s{i}")
+        # What is left of equal values after summation is no spread.
+        out[f] = (centre, spread if spread > 1e-12 * abs(centre) else 1.0)
+    return out
 
 
 def _label_votes(donors: DataFrame, queries: DataFrame, key: str, column: str, features: Sequence[str], k: int, **options) -> DataFrame:
@@ -350,7 +360,8 @@ def _gram_pass(chain: _Chain):
 
 
 class ClusterMeanImputer(_Step):
-    """Mean fill, K-means, then the mean of the cluster's known cells."""
+    """Mean fill, K-means, then the mean of the cluster's known cells in the fitted frame; a column that a cluster does
+    not know takes its overall mean."""
 
     def __init__(self, columns: Sequence[str], k: int = 5, seed: int = 42):
         super().__init__()
@@ -369,9 +380,20 @@ class ClusterMeanImputer(_Step):
         assembler = VectorAssembler(inputCols=inputs, outputCol="__f")
         model = KMeans(k=self.k, seed=self.seed, featuresCol="__f", predictionCol="__cluster").fit(assembler.transform(filled(df)))
 
+        def placed(x: DataFrame) -> DataFrame:
+            return model.transform(assembler.transform(filled(x))).drop("__f", *inputs)
+
+        # One row for each of the k clusters.
+        rows = placed(df).groupBy("__cluster").agg(*[F.avg(F.col(quoted(c)).cast("double")).alias(f"m{i}") for i, c in enumerate(self.columns)]).collect()
+        centre = {r["__cluster"]: r for r in rows}
+
+        def mean_of(i: int, c: str):
+            known = [F.lit(x) for cluster, r in centre.items() if r[f"m{i}"] is not None for x in (cluster, r[f"m{i}"])]
+            own = F.create_map(*known)[F.col("__cluster")] if known else F.lit(None)
+            return F.coalesce(F.col(quoted(c)).cast("double"), own, F.lit(means[c]))
+
         def apply(x: DataFrame) -> DataFrame:
-            placed = model.transform(assembler.transform(filled(x))).drop("__f", *inputs)
-            return fill_by_group_mean(placed, "__cluster", self.columns).drop("__cluster")
+            return replace_columns(placed(x), {c: mean_of(i, c) for i, c in enumerate(self.columns)}).drop("__cluster")
 
         return apply
 

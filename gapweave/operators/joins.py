@@ -3,27 +3,41 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
+from operator import and_
 
 from pyspark import StorageLevel
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 
 from gapweave.functions.scalars import quoted
 from gapweave.session import cut, partitions
 
-# A side is broadcast only when it is seen to have at most this many rows.
+# A side is broadcast only when it is seen to have at most this many rows and bytes.
 BROADCAST_ROWS = 100_000
+BROADCAST_BYTES = 32 << 20
 # Candidates and counters of the hot-key sketch.
 _HOT_KEYS = 1_000
 _TRACKED = 10_000
 
 
+def _width(field: T.StructField) -> Column:
+    c = F.col(quoted(field.name))
+    return F.octet_length(c if isinstance(field.dataType, (T.StringType, T.BinaryType)) else F.to_json(F.struct(c)))
+
+
 def settle(df: DataFrame, rows: int = BROADCAST_ROWS) -> tuple[DataFrame, bool]:
-    """(frame, is_small): a local relation if the frame has at most ``rows`` rows.
+    """(frame, is_small): a local relation if the frame has at most ``rows`` rows and ``BROADCAST_BYTES`` bytes.
 
-    A larger frame comes back with what was computed so far kept on the executors' disks, so that the
+    Columns of varying width are measured before anything comes to the driver. A larger frame comes back with what was computed so far kept on the executors' disks, so that the
     size check never costs a second pass over the source."""
     known = df.storageLevel.useDisk or df.storageLevel.useMemory
     kept = df if known else df.persist(StorageLevel.DISK_ONLY)
+    wide = [f for f in df.schema if not isinstance(f.dataType, (T.NumericType, T.BooleanType, T.DatetimeType))]
+    if wide:
+        width = sum((F.coalesce(_width(f), F.lit(0)) for f in wide), F.lit(8 * len(df.columns)))
+        size = kept.agg(F.count("*").alias("n"), F.sum(width).alias("bytes")).first()
+        if size["n"] > rows or (size["bytes"] or 0) > BROADCAST_BYTES:
+            return kept, False
     table = kept.limit(rows + 1).toArrow()
     if table.num_rows > rows:
         return kept, False
@@ -78,10 +92,14 @@ def map_values(df: DataFrame, column: str, mapping: DataFrame, key: str, value:
 
 
 def write_back(df: DataFrame, updates: DataFrame, key: Sequence[str], columns: Sequence[str], overwrite: bool = False) -> DataFrame:
-    """Bring updated cells back by key; observed cells win unless ``overwrite``."""
+    """Bring updated cells back by key; observed cells win unless ``overwrite``. Of several updates for a key, each column
+    takes its least known value, so no row is multiplied; null keys match nothing and are not shuffled to one task."""
     key = list(key)
-    renamed = updates.select(*key, *[F.col(quoted(c)).alias(f"__new_{c}") for c in columns])
-    joined = df.join(renamed, key, "left")
+    known = [F.col(quoted(k)).isNotNull() for k in key]
+    renamed = updates.where(reduce(and_, known)).groupBy(*[F.col(quoted(k)).alias(k) for k in key]).agg(*[F.min(quoted(c)).alias(f"__new_{c}") for c in columns])
+    # A null key gets a key of its own on this side only: rows spread by their content.
+    spread = df.withColumn("__spread", F.when(reduce(and_, known), F.lit(0)).otherwise(F.pmod(F.xxhash64(*[F.col(quoted(c)) for c in df.columns]), F.lit(4096)).cast("int") + 1))
+    joined = spread.join(renamed.withColumn("__spread", F.lit(0)), [*key, "__spread"], "left")
     out = []
     for c in df.columns:
         if c in columns:

@@ -309,9 +309,11 @@ def nest_groups(groups: DataFrame, fields: Sequence[str], members: int = 10_000)
 
 
 def canonical_combinations(groups: DataFrame, fields: Sequence[str], group: str = "group", frequency: str = "frequency") -> DataFrame:
-    """Every member takes the fields of its group's most frequent combination; ties by the lowest fields."""
+    """Every member takes the fields of its group's most frequent combination; ties by the lowest fields, null first.
+    Members without a group are a group of their own."""
     fields = list(fields)
+    named = groups.withColumn("__none", F.col(quoted(group)).isNull()).withColumn("__name", F.coalesce(F.col(quoted(group)).cast("string"), F.lit("")))
     head = F.min(F.struct((-F.col(quoted(frequency))).alias("__n"), *[F.col(quoted(f)) for f in fields])).alias("__head")
-    best = groups.groupBy(F.col(quoted(group)).alias(group)).agg(head)
-    joined = lookup_join(groups, best, [group], "inner")
+    best = named.groupBy("__none", "__name").agg(head)
+    joined = lookup_join(named, best, ["__none", "__name"], "inner")
     return joined.select(*[F.col(f"__head.{quoted(c)}").alias(c) if c in fields else F.col(quoted(c)) for c in groups.columns])

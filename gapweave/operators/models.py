@@ -20,7 +20,7 @@ from gapweave.functions.scalars import quoted
 from gapweave.operators.impute import ConstantImputer, fill_constants
 from gapweave.operators.neighbours import feature_vector
 from gapweave.operators.quantiles import medians
-from gapweave.operators.selection import columns_of_kind, exact_sample, fill_percentages, split
+from gapweave.operators.selection import columns_of_kind, exact_sample, fill_percentages, hash_order, split
 from gapweave.operators.stats import cross_counts, modes
 
 
@@ -43,8 +43,9 @@ def feature_relations(
     df: DataFrame,
     key: Sequence[str],
     columns: Sequence[str] | None = None,
-    sample_rows: int | None = 5000,
-    max_targets: int = 15,
+    sample_rows: int | None = None,
+    max_targets: int | None = None,
+    min_known: int = 50,
     trees: int = 50,
     depth: int = 5,
     floor: float = 0.01,
@@ -53,7 +54,8 @@ def feature_relations(
 ) -> DataFrame:
     """(target, feature, importance, model_type): forest importances above ``floor``, at most ``top`` per target.
 
-    ``sample_rows=None`` learns from all rows. Targets are the first ``max_targets`` columns with less than half of their cells missing."""
+    Every row and every column with less than half of its cells missing counts, unless ``sample_rows`` or ``max_targets`` is
+    given. A target with under ``min_known`` known cells has no model and no rows."""
     spark = df.sparkSession
     columns = [c for c in (columns or df.columns) if c not in key]
     usable = [c for c, fill in fill_percentages(df, columns).items() if fill > 50]
@@ -73,7 +75,7 @@ def feature_relations(
         found = []
         for i, target in enumerate(usable[:max_targets]):
             others = [c for c in usable if c != target]
-            if not others or known[target] < 50 or known[target] / 100 * total < 50:
+            if not others or known[target] < 50 or known[target] / 100 * total < min_known:
                 continue
             part = VectorAssembler(inputCols=[inputs[c] for c in others], outputCol="__f", handleInvalid="keep").transform(ready.where(F.col(f"__known_{i}")))
             kind = RandomForestRegressor if target in numbers else RandomForestClassifier
@@ -94,11 +96,11 @@ def _scale_of(df: DataFrame, columns: Sequence[str], fill: Mapping[str, float] |
 
 
 def stratify(
-    df: DataFrame, key: Sequence[str], columns: Sequence[str] | None = None, sample_rows: int | None = 5000, out: str = "stratum", seed: int = 42
+    df: DataFrame, key: Sequence[str], columns: Sequence[str] | None = None, sample_rows: int | None = None, out: str = "stratum", seed: int = 42, max_strata: int = 9
 ) -> DataFrame | None:
     """Frame with a stratum per row: K-means over standardised, well-filled numeric columns, k chosen by
-    silhouette; ``sample_rows=None`` learns from all rows. None when fewer than 3 columns or 100 complete
-    rows qualify."""
+    silhouette from 2 to ``max_strata`` at every size. All rows count unless ``sample_rows`` is given. None when fewer than
+    3 columns, or no complete rows for two strata, qualify."""
     numbers = [c for c in (columns or columns_of_kind(df, "number")) if c not in key]
     usable = [c for c, fill in fill_percentages(df, numbers).items() if fill > 60]
     if len(usable) < 3:
@@ -106,12 +108,12 @@ def stratify(
     complete = _sampled(df.select(*[quoted(c) for c in (*key, *usable)]), sample_rows, key, seed).na.drop().persist()
     try:
         n = complete.count()
-        if n < 100:
+        if n < 3:
             return None
         scale = _scale_of(complete, usable)
         ready = complete.select(array_to_vector(feature_vector(usable, scale)).alias("__f")).persist()
         best, best_score = None, -1.0
-        for k in range(2, min(10, n // 100)):
+        for k in range(2, min(max_strata, n - 1) + 1):
             model = KMeans(k=k, seed=seed, featuresCol="__f", predictionCol="__s").fit(ready)
             score = ClusteringEvaluator(featuresCol="__f", predictionCol="__s").evaluate(model.transform(ready))
             if best is None or score > best_score:
@@ -232,10 +234,16 @@ def projection_report(df: DataFrame, columns: Sequence[str], color: str, key: Se
 
 def task_of(df: DataFrame, target: str) -> str:
     """``classification`` for text or fewer than 10 distinct values, else ``regression``."""
-    if dict(df.dtypes)[target] == "string":
-        return "classification"
-    distinct = df.where(F.col(quoted(target)).isNotNull()).select(quoted(target)).distinct().limit(10).count()
-    return "classification" if distinct < 10 else "regression"
+    return tasks_of(df, [target])[target]
+
+
+def tasks_of(df: DataFrame, targets: Sequence[str], few: int = 10) -> dict[str, str]:
+    """Task of every target, from one aggregation for all of them."""
+    kinds = dict(df.dtypes)
+    numbers = [c for c in targets if kinds[c] != "string"]
+    counts = df.agg(*[F.count_distinct(F.col(quoted(c))).alias(f"n{i}") for i, c in enumerate(numbers)]).first() if numbers else []
+    distinct = dict(zip(numbers, counts))
+    return {c: "classification" if kinds[c] == "string" or distinct[c] < few else "regression" for c in targets}
 
 
 def preprocessing(numbers: Sequence[str], texts: Sequence[str], output: str = "features") -> list:
@@ -321,6 +329,8 @@ def compare_models(
     else:
         rows = rows.withColumn("label", F.col(quoted(target)).cast("double"))
     train, test = split(rows, key, 80, seed=seed)
+    # Folds come from the key, so they do not depend on how rows are partitioned.
+    train = train.withColumn("__fold", F.pmod(hash_order(key, seed + 1), F.lit(folds)).cast("int"))
     prepared = Pipeline(stages=preprocessing(numbers, texts)).fit(train)
     ready, held = prepared.transform(train).persist(), prepared.transform(test).persist()
     if task == "classification":
@@ -330,7 +340,7 @@ def compare_models(
     table, fitted, predictions = [], {}, {}
     try:
         for name, (estimator, grid) in (models or default_models(task, ready.count(), seed)).items():
-            search = CrossValidator(estimator=estimator, estimatorParamMaps=grid, evaluator=evaluator, numFolds=folds, parallelism=parallelism, seed=seed)
+            search = CrossValidator(estimator=estimator, estimatorParamMaps=grid, evaluator=evaluator, numFolds=folds, foldCol="__fold", parallelism=parallelism, seed=seed)
             model = search.fit(ready)
             scores = model.avgMetrics
             chosen = grid[int(np.argmax(scores) if evaluator.isLargerBetter() else np.argmin(scores))]

@@ -30,18 +30,26 @@ def _matrix(vectors) -> np.ndarray:
     return np.array([[np.nan if x is None else x for x in v] for v in vectors], dtype=float)
 
 
+def significant(x, digits: int) -> np.ndarray:
+    """Rounded to ``digits`` decimals behind the first digit that is not 0, so small scales lose nothing."""
+    x = np.asarray(x, dtype=float)
+    sized = np.isfinite(x) & (x > 0)
+    unit = 10.0 ** np.floor(np.log10(np.where(sized, x, 1.0)))
+    return np.where(sized, np.round(x / unit, digits) * unit, x)
+
+
 def _nearest(dist: np.ndarray, k: int, digits: int) -> list[np.ndarray]:
     """Positions of the k smallest finite distances per row, compared after rounding; donors are in key
     order, so ties keep it. Only the rows at the edge of the k-th distance are rounded and sorted."""
     k = min(k, dist.shape[1])
     if k == 0:
         return [np.array([], dtype=int)] * len(dist)
-    limit = np.partition(dist, k - 1, axis=1)[:, k - 1] + 2 * 10.0**-digits
+    limit = np.partition(dist, k - 1, axis=1)[:, k - 1] * (1 + 20 * 10.0**-digits)
     out = []
     for row, top in zip(dist, limit):
         near = np.flatnonzero(row <= top)
         near = near[np.isfinite(row[near])]
-        out.append(near[np.argsort(np.round(row[near], digits), kind="stable")][:k])
+        out.append(near[np.argsort(significant(row[near], digits), kind="stable")][:k])
     return out
 
 
@@ -98,8 +106,9 @@ class _Donors:
                     block = squared if usable.all() else np.where(usable, squared, np.inf)
                     for i, (row, near) in enumerate(zip(squared, _nearest(block, k, self.digits))):
                         vec = vectors[part[i]]
+                        rounded = dict(zip(near, significant(row[near], self.digits)))
                         for p in near:
-                            near_by = round(float(row[p]), self.digits)
+                            near_by = float(rounded[p])
                             rows.append((vec, t, near_by, float(np.sqrt(row[p])), str(self.keys[p]), self.values[p][t]))
                 if len(rows) >= 20_000:
                     yield pd.DataFrame(rows, columns=names)
@@ -129,7 +138,8 @@ def nearest(
 
     ``queries``: vec array<double>, wanted array<int> (positions of the targets to fill).
     ``donors``: key, vec, values array<string>; a donor serves a target if that value is not null.
-    Squared distances are compared after rounding to ``digits``, so the choice among equals is stable."""
+    Squared distances are compared after rounding to ``digits`` decimals of their leading digit, so the choice
+    among equals is stable at any scale."""
     spark = queries.sparkSession
     queries = queries.groupBy("vec").agg(F.array_distinct(F.flatten(F.collect_set("wanted"))).alias("wanted"))
     # Round robin: a hash repartition on the grouping key would be dropped and the few bytes coalesced
@@ -251,7 +261,7 @@ def _block_search(queries: DataFrame, donors: DataFrame, k: int, digits: int) ->
                 for t in wanted:
                     enough = np.cumsum(usable[order, t]) >= k
                     bound = farthest[order][enough][0] if enough.any() else np.inf
-                    keep |= (usable[:, t] > 0) & (share > 0) & (nearest_possible <= bound * (1 + 1e-9) + 1e-9)
+                    keep |= (usable[:, t] > 0) & (share > 0) & (nearest_possible <= bound * (1 + 1e-7))
                 picked = np.flatnonzero(keep)
                 yield pd.DataFrame({"q_block": block, "d_block": [names[i] for i in picked]})
 

@@ -92,13 +92,15 @@ def _bracketed(values: DataFrame, keys: list[str], probs: Sequence[float]) -> Da
     ranked = counted.withColumn("upto", F.sum("count").over(w)).where(F.col("value").isNotNull())
     start = F.col("upto") - F.col("count")
     below, above = F.floor("pos"), F.ceil("pos")
+    missed = F.raise_error(F.lit("a quantile lies outside its bracket")).cast("double")
+    low, high = F.coalesce("a", missed), F.coalesce("b", missed)
     return (
         ranked.groupBy(*keys, "prob", "pos")
         .agg(
             F.max(F.when((below >= start) & (below < F.col("upto")), F.col("value"))).alias("a"),
             F.max(F.when((above >= start) & (above < F.col("upto")), F.col("value"))).alias("b"),
         )
-        .select(*keys, "prob", (F.col("a") + (F.col("b") - F.col("a")) * (F.col("pos") - F.floor("pos"))).alias("value"))
+        .select(*keys, "prob", (low + (high - low) * (F.col("pos") - F.floor("pos"))).alias("value"))
     )
 
 

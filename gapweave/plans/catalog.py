@@ -291,12 +291,25 @@ def member_filter(spark, sf):
 
 @query
 def nearest_vectors(spark, sf):
+    """The five nearest other vectors of every vector."""
     e = table(spark, sf, "embeddings").select("vec_id", F.transform("embedding", lambda x: x.cast("double")).alias("vec"))
-    asked = e.where("vec_id % 5 = 0")
-    donors = e.where("vec_id % 5 <> 0").select(F.col("vec_id").alias("key"), "vec", F.array(F.col("vec_id").cast("string")).alias("values"))
-    hits = neighbours.nearest(asked.select("vec", F.array(F.lit(0)).alias("wanted")), donors, 5)
-    back = joins.lookup_join(asked, hits.groupBy("vec").agg(F.array_sort(F.collect_list(F.struct("rank", "donor", "distance"))).alias("near")), ["vec"])
-    return back.select("vec_id", F.explode("near").alias("x")).select("vec_id", F.col("x.rank").cast("bigint").alias("rank"), F.col("x.donor").alias("donor"), rnd("x.distance").alias("distance"))
+    donors = e.select(F.col("vec_id").alias("key"), "vec", F.array(F.col("vec_id").cast("string")).alias("values"))
+    # One more than asked for: a vector is its own nearest.
+    hits = neighbours.nearest(e.select("vec", F.array(F.lit(0)).alias("wanted")), donors, 6)
+    back = joins.lookup_join(e, hits.groupBy("vec").agg(F.array_sort(F.collect_list(F.struct("rank", "donor", "distance"))).alias("near")), ["vec"])
+    others = F.slice(F.filter("near", lambda x: x.donor != F.col("vec_id")), 1, 5)
+    placed = back.select("vec_id", F.posexplode(others).alias("at", "x"))
+    return placed.select("vec_id", (F.col("at") + 1).cast("bigint").alias("rank"), F.col("x.donor").alias("donor"), rnd("x.distance").alias("distance"))
+
+
+@query
+def nearest_small_scale(spark, sf):
+    """The nearest other customer by a feature of the order of 1e-6."""
+    e = table(spark, sf, "customer").select("c_custkey", F.array(F.col("c_acctbal") * 1e-9).alias("vec"))
+    donors = e.select(F.col("c_custkey").alias("key"), "vec", F.array(F.col("c_custkey").cast("string")).alias("values"))
+    hits = neighbours.nearest(e.select("vec", F.array(F.lit(0)).alias("wanted")), donors, 2)
+    back = joins.lookup_join(e, hits.groupBy("vec").agg(F.array_sort(F.collect_list(F.struct("rank", "donor"))).alias("near")), ["vec"])
+    return back.select("c_custkey", F.get(F.filter("near", lambda x: x.donor != F.col("c_custkey")), F.lit(0)).donor.alias("donor"))
 
 
 @query
@@ -591,8 +604,8 @@ def group_similar_combinations(spark, sf):
 
 @query
 def canonical_combinations(spark, sf):
-    counted = stats.combination_counts(view(spark, sf, "part_m"), ["p_brand", "p_type"]).where("p_brand is not null and p_type is not null")
-    grouped = counted.withColumn("group", F.substring("p_brand", 1, 7)).withColumn("member", F.concat_ws("/", "p_brand", "p_type"))
+    counted = stats.combination_counts(view(spark, sf, "part_m"), ["p_brand", "p_type"])
+    grouped = counted.withColumn("group", F.col("p_brand")).withColumn("member", F.concat_ws("/", "p_brand", "p_type"))
     return labels.canonical_combinations(grouped, ["p_brand", "p_type"])
 
 
@@ -676,7 +689,7 @@ def cluster_mean_fill(spark, sf):
 @query
 def forest_fill(spark, sf):
     df = view(spark, sf, "products")
-    return impute.ForestImputer(MACROS, trees=10).fit(df).transform(df).select("code", *MACROS)
+    return impute.ForestImputer(MACROS).fit(df).transform(df).select("code", *MACROS)
 
 
 @query
@@ -710,7 +723,7 @@ def fill_guarantees(spark, sf):
     """Per method and column: cells filled, gaps left, observed cells changed."""
     df = view(spark, sf, "products").select("code", *MACROS)
     out = None
-    for method, options in (("kmeans", {}), ("random_forest", {"trees": 5}), ("iterative_imputer", {"max_rounds": 3})):
+    for method, options in (("kmeans", {}), ("random_forest", {}), ("iterative_imputer", {})):
         done = impute.impute_numbers(df, method, MACROS, "code", **options).withColumnsRenamed({c: f"new_{c}" for c in MACROS})
         both = df.join(done, "code")
         cells = F.array(*[F.struct(F.lit(c).alias("column"), F.col(c).alias("old"), F.col(f"new_{c}").alias("new")) for c in MACROS])
@@ -760,7 +773,7 @@ def confidence_report(spark, sf):
 
 @query
 def full_imputation(spark, sf):
-    return imputation.ImputationRun("code", PRODUCT_ROLES, levels=(("high", 0.8),), max_iterations=1, sample_rows=None).fit_transform(view(spark, sf, "products"))
+    return imputation.ImputationRun("code", PRODUCT_ROLES, levels=(("high", 0.8),), max_iterations=1).fit_transform(view(spark, sf, "products"))
 
 
 @query
@@ -783,7 +796,7 @@ def imputation_quality(spark, sf):
         x = impute.ConstantImputer(["energy", "sugars"]).fit(x).transform(x)
         return impute.ConstantImputer(["grp"], "mode").fit(x).transform(x)
 
-    return rounded(imputation.imputation_quality(df, "code", fill, mask=lambda c: F.col("code") * 7 % 10 < 2, sample_rows=None), 4)
+    return rounded(imputation.imputation_quality(df, "code", fill, mask=lambda c: F.col("code") * 7 % 10 < 2), 4)
 
 
 @query
@@ -796,12 +809,12 @@ def method_median(spark, sf):
 
 @query
 def feature_relations(spark, sf):
-    return models.feature_relations(view(spark, sf, "products"), ["code"], ["grp", "grade", "fr_score", "uk_score", "energy", "fat"], sample_rows=None, trees=20)
+    return models.feature_relations(view(spark, sf, "products"), ["code"])
 
 
 @query
 def strata(spark, sf):
-    return models.stratify(view(spark, sf, "products"), ["code"], FEATURES, sample_rows=None).select("code", "stratum")
+    return models.stratify(view(spark, sf, "products"), ["code"], FEATURES).select("code", "stratum")
 
 
 @query
@@ -858,27 +871,27 @@ def preprocessed_features(spark, sf):
 @query
 def detected_tasks(spark, sf):
     df = view(spark, sf, "part_m").withColumn("few", F.col("p_partkey") % 4)
-    return spark.createDataFrame([(c, models.task_of(df, c)) for c in df.columns], "column string, task string")
+    return spark.createDataFrame(list(models.tasks_of(df, df.columns).items()), "column string, task string")
 
 
 @query
 def compared_models(spark, sf):
-    logistic, forest = LogisticRegression(maxIter=20), RandomForestClassifier(numTrees=10, maxDepth=4, seed=42)
+    logistic, forest = LogisticRegression(maxIter=20), RandomForestClassifier(numTrees=100, maxDepth=5, seed=42)
     choices = {"LogisticRegression": (logistic, ParamGridBuilder().addGrid(logistic.regParam, [0.01, 0.1]).build()), "RandomForest": (forest, [{}])}
-    return models.compare_models(view(spark, sf, "products"), "grade", ["code"], MACROS, ["grp"], choices, folds=2).results
+    return models.compare_models(view(spark, sf, "products"), "grade", ["code"], MACROS, ["grp"], choices).results
 
 
 @query
 def compared_regressions(spark, sf):
     line = models.LinearRegression()
     choices = {"ElasticNet": (line, ParamGridBuilder().addGrid(line.regParam, [0.1, 1.0]).build())}
-    return models.compare_models(view(spark, sf, "products"), "energy", ["code"], FEATURES, ["grp", "grade"], choices, folds=2).results
+    return models.compare_models(view(spark, sf, "products"), "energy", ["code"], FEATURES, ["grp", "grade"], choices).results
 
 
 @query
 def feature_importances(spark, sf):
-    forest = RandomForestClassifier(numTrees=10, maxDepth=4, seed=42)
-    found = models.compare_models(view(spark, sf, "products"), "grade", ["code"], MACROS, ["grp"], {"RandomForest": (forest, [{}])}, folds=2)
+    forest = RandomForestClassifier(numTrees=100, maxDepth=5, seed=42)
+    found = models.compare_models(view(spark, sf, "products"), "grade", ["code"], MACROS, ["grp"], {"RandomForest": (forest, [{}])})
     return models.named_importances(found.models["RandomForest"], view(spark, sf, "products"), ["grp"], MACROS)
 
 
@@ -904,7 +917,7 @@ def class_report(spark, sf):
 
 @query
 def predicted_labels(spark, sf):
-    return models.predict_labels(view(spark, sf, "products"), "grp", MACROS, trees=10).select("code", "grp", "predicted")
+    return models.predict_labels(view(spark, sf, "products"), "grp", MACROS).select("code", "grp", "predicted")
 
 
 @query

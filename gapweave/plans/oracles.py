@@ -16,6 +16,12 @@ def _r(x: str, n: int = 6) -> str:
     return f"(round({x}, {n}) + 0e0)"
 
 
+def _sig(x: str) -> str:
+    """Nine decimals behind the leading digit."""
+    unit = f"pow(10e0, floor(log10(abs({x}))))"
+    return f"(CASE WHEN ({x}) <> 0 THEN round(({x}) / {unit}, 9) * {unit} ELSE 0e0 END)"
+
+
 def _with(views: str, body: str, *ctes: str) -> str:
     parts = [f"{v} AS ({view_sql(v)})" for v in views.split() if v in VIEWS]
     return "WITH RECURSIVE " + ", ".join([*parts, *ctes]) + " " + body if parts or ctes else body
@@ -179,8 +185,15 @@ _add(
     "",
     f"SELECT vec_id, r AS rank, donor, {_r('d')} AS distance FROM k WHERE r <= 5",
     """p AS (SELECT q.vec_id, e.vec_id AS donor, list_sum([(CAST(q.embedding[i] AS DOUBLE) - CAST(e.embedding[i] AS DOUBLE)) * (CAST(q.embedding[i] AS DOUBLE) - CAST(e.embedding[i] AS DOUBLE)) FOR i IN generate_series(1, 64)]) AS s
- FROM embeddings q JOIN embeddings e ON q.vec_id % 5 = 0 AND e.vec_id % 5 <> 0)""",
-    "k AS (SELECT vec_id, donor, sqrt(s) AS d, row_number() OVER (PARTITION BY vec_id ORDER BY round(s, 9), donor) AS r FROM p)",
+ FROM embeddings q JOIN embeddings e ON q.vec_id <> e.vec_id)""",
+    f"k AS (SELECT vec_id, donor, sqrt(s) AS d, row_number() OVER (PARTITION BY vec_id ORDER BY {_sig('s')}, donor) AS r FROM p)",
+)
+_add(
+    "nearest_small_scale",
+    "",
+    "SELECT c_custkey, donor FROM k WHERE r = 1",
+    "p AS (SELECT q.c_custkey, e.c_custkey AS donor, (q.c_acctbal * 1e-9 - e.c_acctbal * 1e-9) * (q.c_acctbal * 1e-9 - e.c_acctbal * 1e-9) AS s FROM customer q JOIN customer e ON q.c_custkey <> e.c_custkey)",
+    f"k AS (SELECT c_custkey, donor, row_number() OVER (PARTITION BY c_custkey ORDER BY {_sig('s')}, donor) AS r FROM p)",
 )
 
 # --- profiles and aggregations ------------------------------------------------------------------
@@ -619,9 +632,9 @@ _add(
 _add(
     "canonical_combinations",
     "part_m",
-    """SELECT first_value(p_brand) OVER w AS p_brand, first_value(p_type) OVER w AS p_type, frequency, "group", concat(p_brand, '/', p_type) AS member FROM
- (SELECT p_brand, p_type, count(*) AS frequency, substr(p_brand, 1, 7) AS "group" FROM part_m WHERE p_brand IS NOT NULL AND p_type IS NOT NULL GROUP BY 1, 2) c
- WINDOW w AS (PARTITION BY "group" ORDER BY frequency DESC, p_brand, p_type)""",
+    """SELECT first_value(p_brand) OVER w AS p_brand, first_value(p_type) OVER w AS p_type, frequency, "group", concat_ws('/', p_brand, p_type) AS member FROM
+ (SELECT p_brand, p_type, count(*) AS frequency, p_brand AS "group" FROM part_m GROUP BY 1, 2) c
+ WINDOW w AS (PARTITION BY "group" ORDER BY frequency DESC, p_brand NULLS FIRST, p_type NULLS FIRST)""",
 )
 _add(
     "commonest_parents",
@@ -659,14 +672,14 @@ _add(
     "SELECT p_partkey, coalesce(p_type, v) AS p_type FROM part_m LEFT JOIN best USING (p_partkey)",
     "f AS (SELECT median(CAST(p_size AS DOUBLE)) AS f1, median(p_retailprice) AS f2 FROM part_m WHERE p_type IS NOT NULL)",
     "x AS (SELECT p_partkey, p_type, coalesce(CAST(p_size AS DOUBLE), f1) AS a, coalesce(p_retailprice, f2) AS b FROM part_m, f)",
-    "s AS (SELECT round(avg(a), 6) AS ma, round(stddev_pop(a), 6) AS sa, round(avg(b), 6) AS mb, round(stddev_pop(b), 6) AS sb FROM x WHERE p_type IS NOT NULL)",
+    f"s AS (SELECT {_sig('avg(a)')} AS ma, {_sig('stddev_pop(a)')} AS sa, {_sig('avg(b)')} AS mb, {_sig('stddev_pop(b)')} AS sb FROM x WHERE p_type IS NOT NULL)",
     "z AS (SELECT p_partkey, p_type, (a - ma) / sa AS a, (b - mb) / sb AS b FROM x, s)",
-    """k AS (SELECT q.p_partkey, d.p_type, row_number() OVER (PARTITION BY q.p_partkey ORDER BY round((q.a - d.a) * (q.a - d.a) + (q.b - d.b) * (q.b - d.b), 9), d.p_partkey) AS r
+    f"""k AS (SELECT q.p_partkey, d.p_type, row_number() OVER (PARTITION BY q.p_partkey ORDER BY {_sig('(q.a - d.a) * (q.a - d.a) + (q.b - d.b) * (q.b - d.b)')}, d.p_partkey) AS r
  FROM z q JOIN z d ON q.p_type IS NULL AND d.p_type IS NOT NULL)""",
     "best AS (SELECT p_partkey, p_type AS v FROM (SELECT p_partkey, p_type, row_number() OVER (PARTITION BY p_partkey ORDER BY count(*) DESC, p_type) AS o FROM k WHERE r <= 5 GROUP BY 1, 2) t WHERE o = 1)",
 )
 _SHARED = "(1 + CAST(q.price IS NOT NULL AND d.price IS NOT NULL AS INTEGER) + CAST(q.weight IS NOT NULL AND d.weight IS NOT NULL AS INTEGER))"
-_NAN_DISTANCE = f"round(((q.size - d.size) * (q.size - d.size) + coalesce((q.price - d.price) * (q.price - d.price), 0) + coalesce((q.weight - d.weight) * (q.weight - d.weight), 0)) * (3e0 / {_SHARED}), 9)"
+_NAN_DISTANCE = _sig(f"((q.size - d.size) * (q.size - d.size) + coalesce((q.price - d.price) * (q.price - d.price), 0) + coalesce((q.weight - d.weight) * (q.weight - d.weight), 0)) * (3e0 / {_SHARED})")
 
 
 def _knn_target(t: str) -> str:
@@ -686,7 +699,7 @@ _add(
 def _weighted_target(t: str) -> str:
     distance = "(((q.size - sc.m1) / sc.s1 - (d.size - sc.m1) / sc.s1) ** 2 + coalesce(((q.price - sc.m2) / sc.s2 - (d.price - sc.m2) / sc.s2) ** 2, 0) + coalesce(((q.weight - sc.m3) / sc.s3 - (d.weight - sc.m3) / sc.s3) ** 2, 0)) * (3e0 / " + _SHARED + ")"
     return f"""w_{t} AS (SELECT p_partkey, CASE WHEN count_if(e = 0) > 0 THEN avg(v) FILTER (e = 0) ELSE sum(v / sqrt(e)) / sum(1 / sqrt(e)) END AS v FROM
- (SELECT *, row_number() OVER (PARTITION BY p_partkey ORDER BY round(e, 9), donor) AS r FROM (SELECT q.p_partkey, d.p_partkey AS donor, d.{t} AS v, {distance} AS e
+ (SELECT *, row_number() OVER (PARTITION BY p_partkey ORDER BY {_sig('e')}, donor) AS r FROM (SELECT q.p_partkey, d.p_partkey AS donor, d.{t} AS v, {distance} AS e
  FROM part_n q JOIN part_n d ON q.{t} IS NULL AND d.{t} IS NOT NULL CROSS JOIN sc) y) z WHERE r <= 5 GROUP BY 1)"""
 
 
@@ -793,14 +806,14 @@ _add(
 def _label_pass(out: str, source: str, focus: str) -> list[str]:
     """One pass of label votes among the rows in focus."""
     fills = ", ".join(f"median({c}) AS f_{c}" for c in ("size", "price", "weight"))
-    spread = ", ".join(f"round(avg({c}), 6) AS m_{c}, round(stddev_pop({c}), 6) AS s_{c}" for c in ("size", "price", "weight"))
+    spread = ", ".join(f"{_sig(f'avg({c})')} AS m_{c}, {_sig(f'stddev_pop({c})')} AS s_{c}" for c in ("size", "price", "weight"))
     distance = " + ".join(f"(q.{c} - d.{c}) * (q.{c} - d.{c})" for c in ("size", "price", "weight"))
     return [
         f"{out}_f AS (SELECT {fills} FROM {source} WHERE {focus} AND p_type IS NOT NULL)",
         f"{out}_x AS (SELECT p_partkey, p_type, " + ", ".join(f"coalesce({c}, f_{c}) AS {c}" for c in ("size", "price", "weight")) + f" FROM {source}, {out}_f WHERE {focus})",
         f"{out}_s AS (SELECT {spread} FROM {out}_x WHERE p_type IS NOT NULL)",
         f"{out}_z AS (SELECT p_partkey, p_type, " + ", ".join(f"({c} - m_{c}) / s_{c} AS {c}" for c in ("size", "price", "weight")) + f" FROM {out}_x, {out}_s)",
-        f"""{out}_k AS (SELECT q.p_partkey, d.p_type, row_number() OVER (PARTITION BY q.p_partkey ORDER BY round({distance}, 9), d.p_partkey) AS r
+        f"""{out}_k AS (SELECT q.p_partkey, d.p_type, row_number() OVER (PARTITION BY q.p_partkey ORDER BY {_sig(distance)}, d.p_partkey) AS r
  FROM {out}_z q JOIN {out}_z d ON q.p_type IS NULL AND d.p_type IS NOT NULL)""",
         f"{out}_b AS (SELECT p_partkey, p_type AS v FROM (SELECT p_partkey, p_type, row_number() OVER (PARTITION BY p_partkey ORDER BY count(*) DESC, p_type) AS o FROM {out}_k WHERE r <= 5 GROUP BY 1, 2) t WHERE o = 1)",
         f"{out} AS (SELECT s.p_partkey, coalesce(s.p_type, b.v) AS p_type, size, price, weight, n FROM {source} s LEFT JOIN {out}_b b ON s.p_partkey = b.p_partkey)",

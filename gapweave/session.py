@@ -9,9 +9,9 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 
 
-def build_session(app: str = "gapweave", cores: str = "*", memory: str = "8g") -> SparkSession:
-    """Local session for tests and the benchmark; a cluster brings its own."""
-    return (
+def build_session(app: str = "gapweave", cores: str = "*", memory: str = "8g", shared: str | None = None) -> SparkSession:
+    """Local session for tests and the benchmark, with its shared folder; a cluster brings its own."""
+    builder = (
         SparkSession.builder.master(f"local[{cores}]")
         .appName(app)
         .config("spark.sql.shuffle.partitions", "8")
@@ -24,8 +24,10 @@ def build_session(app: str = "gapweave", cores: str = "*", memory: str = "8g") -
         .config("spark.cleaner.referenceTracking.cleanCheckpoints", "true")
         .config("spark.ui.enabled", "false")
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
-        .getOrCreate()
     )
+    if shared:
+        builder = builder.config("spark.checkpoint.dir", shared)
+    return builder.getOrCreate()
 
 
 def shared_dir(spark: SparkSession) -> str:

@@ -38,11 +38,13 @@ def column_names(header: str, separator: str) -> list[str]:
 
 
 def scan(spark: SparkSession, paths: str | Sequence[str], separator: str = "\t", schema: T.StructType | None = None) -> DataFrame:
-    """One scan over all paths. Without a schema every column is text, named by the first header."""
+    """One scan over all paths. Without a schema every column is text, named by the first header; a file
+    whose header differs is an error, since its cells would land in other columns."""
     paths = [paths] if isinstance(paths, str) else list(paths)
+    checked = schema is None and len(paths) > 1
     if schema is None:
         schema = _string_schema(column_names(header_of(spark, paths[0]), separator))
-    return spark.read.csv(paths, sep=separator, header=True, schema=schema, enforceSchema=True, escape='"')
+    return spark.read.csv(paths, sep=separator, header=True, schema=schema, enforceSchema=not checked, escape='"')
 
 
 def load_frames(

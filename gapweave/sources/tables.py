@@ -39,14 +39,13 @@ def cached_load(
     spark: SparkSession, path: str, cache_dir: str, load: Callable[[SparkSession, str], DataFrame], by_content: bool = False, force: bool = False
 ) -> DataFrame:
     """The parsed frame as Parquet, written once per state of the source. A changed source, or ``force``,
-    gets a new snapshot; nothing is overwritten."""
+    gets a new snapshot; nothing is overwritten. A snapshot counts once its writer has marked it as finished; what a
+    failed write left behind is written again."""
     root = f"{cache_dir.rstrip('/')}/{fingerprint(spark, path, by_content)}"
-    if not force:
-        try:
-            return spark.read.parquet(root)
-        except AnalysisException:
-            pass
-    load(spark, path).write.mode("overwrite" if force else "errorifexists").parquet(root)
+    place = spark._jvm.org.apache.hadoop.fs.Path(f"{root}/_SUCCESS")
+    finished = place.getFileSystem(spark._jsc.hadoopConfiguration()).exists(place)
+    if force or not finished:
+        load(spark, path).write.mode("overwrite").parquet(root)
     return spark.read.parquet(root)
 
 

@@ -7,10 +7,10 @@ sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
 
 @pytest.fixture(scope="session")
-def spark():
+def spark(tmp_path_factory):
     from gapweave.session import build_session
 
-    session = build_session("tests", "4", "4g")
+    session = build_session("tests", "4", "4g", str(tmp_path_factory.mktemp("shared")))
     session.sparkContext.setLogLevel("OFF")
     session.conf.set("spark.sql.shuffle.partitions", "4")
     yield session

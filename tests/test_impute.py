@@ -182,3 +182,36 @@ def test_quality_of_a_constant_fill(spark):
     got = {r.column: r for r in imputation.imputation_quality(df, "k", fill, sample_rows=None).collect()}
     assert got["v"].rmse == pytest.approx(5.0) and got["v"].mape == pytest.approx(50.0) and got["g"].accuracy == 1.0
     assert 5 <= got["v"].hidden <= 35
+
+
+def test_knn_is_the_same_at_every_scale(spark):
+    from gapweave.operators.impute import KnnLabelImputer, knn_fill
+
+    for scale in (1.0, 1e-3, 1e-6, 1e-9):
+        rows = [(i, i * scale, float(i) if i % 7 else None) for i in range(120)]
+        df = spark.createDataFrame(rows, "k long, x double, y double")
+        filled = knn_fill(df, ["x", "y"], "k", k=1, scale={"x": (0.0, 1.0), "y": (0.0, 1.0)})
+        # Rows with a gap share only x with others: the neighbour is one step away.
+        assert all(abs(r["y"] - r["k"]) <= 1.0 for r in filled.collect())
+        labelled = spark.createDataFrame([(i, (i % 2 + (i % 10) * 0.01) * scale, ("a", "b")[i % 2] if i % 5 else None) for i in range(200)], "k long, x double, g string")
+        done = KnnLabelImputer(["g"], "k", ["x"]).fit(labelled).transform(labelled)
+        assert all(r["g"] == ("a", "b")[r["k"] % 2] for r in done.collect())
+
+
+def test_cluster_means_leave_no_gaps(spark):
+    from gapweave.operators.impute import ClusterMeanImputer
+
+    rows = [(i, 0.0 + i % 3, 5.0) for i in range(50)] + [(100 + i, 1000.0 + i % 3, None) for i in range(50)]
+    df = spark.createDataFrame(rows, "k long, a double, b double")
+    model = ClusterMeanImputer(["a", "b"], k=2).fit(df)
+    assert all(r["b"] == 5.0 for r in model.transform(df).collect())
+    # Means are those of the fitted frame, also for a frame that knows nothing.
+    assert [r["b"] for r in model.transform(df.where("k >= 100")).select("b").distinct().collect()] == [5.0]
+
+
+def test_write_back_keeps_the_number_of_rows(spark):
+    from gapweave.operators.joins import write_back
+
+    df = spark.createDataFrame([(1, None), (2, 7.0), (None, None)], "k long, x double")
+    updates = spark.createDataFrame([(1, 3.0), (1, 2.0), (None, 9.0)], "k long, x double")
+    assert sorted(map(tuple, write_back(df, updates, ["k"], ["x"]).collect()), key=str) == sorted([(1, 2.0), (2, 7.0), (None, None)], key=str)

@@ -1,4 +1,5 @@
 import json
+import os
 
 import pytest
 from pyspark.sql import functions as F
@@ -123,3 +124,26 @@ def test_nested_groups_come_in_bounded_parts(spark, tmp_path):
     assert nested.count() == 3 and nested.select(F.sum(F.size("combinations"))).first()[0] == 25
     path = tables.write_table(nested, str(tmp_path / "n"), "json")
     assert json.loads(spark.read.text(path).first()[0])["group"] == "g"
+
+
+def test_unfinished_snapshot_is_written_again(spark, tmp_path):
+    source = tmp_path / "in.csv"
+    source.write_text("a\n1\n2\n")
+    load = lambda s, p: s.read.csv(p, header=True)
+    cache = str(tmp_path / "cache")
+    assert tables.cached_load(spark, str(source), cache, load).count() == 2
+    (snapshot,) = os.listdir(cache)
+    os.remove(f"{cache}/{snapshot}/_SUCCESS")
+    for part in os.listdir(f"{cache}/{snapshot}"):
+        if part.startswith("part-"):
+            os.remove(f"{cache}/{snapshot}/{part}")
+    assert tables.cached_load(spark, str(source), cache, load).count() == 2
+
+
+def test_scan_refuses_files_with_another_header(spark, tmp_path):
+    (tmp_path / "a.tsv").write_text("x\ty\n1\t2\n")
+    (tmp_path / "b.tsv").write_text("y\tx\n3\t4\n")
+    (tmp_path / "c.tsv").write_text("x\ty\n5\t6\n")
+    assert delimited.scan(spark, [str(tmp_path / "a.tsv"), str(tmp_path / "c.tsv")]).count() == 2
+    with pytest.raises(Exception, match="header"):
+        delimited.scan(spark, [str(tmp_path / "a.tsv"), str(tmp_path / "b.tsv")]).collect()
