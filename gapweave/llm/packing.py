@@ -28,16 +28,18 @@ from gapweave.llm.common import col, slices, stored, texts_of
 from gapweave.llm.words import Words
 
 CAPACITY, END = 4096, 2
-#: Share of a piece's room that may stay empty before the document is cut again.
-SLACK = 0.02
+#: Share of a piece's room that may stay empty before the document is cut again; a rest of at most LEAST tokens is never cut.
+SLACK, LEAST = 0.02, 32
+#: Room of the smallest class: shorter pieces take that much.
+SMALLEST = 16
 
 
 def classes(capacity: int = CAPACITY) -> list[int]:
-    """Pieces in a sequence of each class: powers of two, and one and a half times these."""
+    """Pieces in a sequence of each class: powers of two, and one and a half times these, down to the smallest room."""
     out, m = [], 1
-    while m <= capacity:
+    while m == 1 or capacity // m >= SMALLEST:
         out.append(m)
-        if m > 1 and 3 * m // 2 <= capacity:
+        if m > 1 and capacity // (3 * m // 2) >= SMALLEST:
             out.append(3 * m // 2)
         m *= 2
     return out
@@ -51,7 +53,7 @@ def cut(length: int, capacity: int = CAPACITY, slack: float = SLACK) -> list[tup
     while left:
         # The smallest room that holds the rest, and the largest that the rest fills.
         holds = next(m for m in reversed(ladder) if capacity // m >= left)
-        if capacity // holds - left <= slack * (capacity // holds):
+        if left <= LEAST or capacity // holds - left <= slack * (capacity // holds):
             out.append((left, holds))
             break
         fills = next(m for m in ladder if capacity // m <= left)
