@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame, Window, functions as F
 from gapweave.llm.common import col, map_batches, mix, stored
 
 #: Tables, directions of a table, probes of a query in a table, and cell width as a share of the vectors' mean square length.
-TABLES, DIRECTIONS, PROBES, WIDTH = 8, 6, 20, 2.0
+TABLES, DIRECTIONS, PROBES, WIDTH = 8, 6, 32, 2.0
 #: Entries and probes of one block product.
 CELL = 2048
 

@@ -211,7 +211,7 @@ def test_languages_of_pages(spark):
 
 def test_fusion_equals_bayes_rule(spark):
     model = language.TextModel(("aa", "bb"), np.log(np.stack([np.linspace(1, 2, language.BUCKETS), np.linspace(2, 1, language.BUCKETS)], 1) / language.BUCKETS).astype(np.float32))
-    data = [(i, f"http://h{i % 2}.x.com/{i}", f'<html lang="{"ab"[i % 3 == 0]}"><p>{t}') for i, t in enumerate(random_texts("abcdefgh ", 12, 80))]
+    data = [(i, f"http://h{i % 2}.example.com/{i}", f'<html lang="{"ab"[i % 3 == 0]}"><p>{t}') for i, t in enumerate(random_texts("abcdefgh ", 12, 80))]
     pages = spark.createDataFrame(data, "page_id long, url string, html string")
     found = {r["key"]: r for r in language.identify(pages, model).collect()}
     log = np.array([model.weights[language.trigrams(language.visible_text(h))].sum(0, dtype=float) for _, _, h in data]) * language.TEXT_SHARE
