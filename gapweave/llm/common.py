@@ -36,6 +36,17 @@ def col(name: str):
     return F.col(quoted(name))
 
 
+def free_name(wanted: str, names: list[str]) -> str:
+    """The name itself or, where a column has it, the first numbered one that is free."""
+    taken = {n.lower() for n in names}
+    return next(n for n in (wanted, *(f"{wanted}_{i}" for i in range(1, len(names) + 2))) if n not in taken)
+
+
+def plain_names(df: DataFrame) -> DataFrame:
+    """The frame with names that ``mapInArrow`` can resolve: those with dots or backquotes are numbered."""
+    return df.toDF(*[f"__named_{i}" if "." in n or "`" in n else n for i, n in enumerate(df.columns)])
+
+
 def map_batches(df: DataFrame, work: Callable[[pa.RecordBatch], Iterator[pa.RecordBatch]], schema: str) -> DataFrame:
     """``mapInArrow`` with one call per batch."""
 
@@ -44,7 +55,7 @@ def map_batches(df: DataFrame, work: Callable[[pa.RecordBatch], Iterator[pa.Reco
             if batch.num_rows:
                 yield from work(batch)
 
-    return df.mapInArrow(run, schema)
+    return plain_names(df).mapInArrow(run, schema)
 
 
 def slices(texts: list[str], limit: int = SLICE_CHARS) -> Iterator[tuple[int, int]]:

@@ -26,7 +26,7 @@ import xxhash
 import zstandard
 from pyspark.sql import DataFrame, functions as F
 
-from gapweave.llm.common import col, linked, map_batches, stored
+from gapweave.llm.common import col, free_name, linked, map_batches, stored
 from gapweave.session import partitions
 
 MAX_EDITS = 1
@@ -304,9 +304,7 @@ def dedup_lines(docs: DataFrame, key: str = "doc_id", text: str = "text", **opti
     ``removed_lines``, the numbers (from 0) of the lines that went."""
     names = docs.columns
     gone = duplicate_lines(docs, key, text, **options).groupBy("row").agg(F.array_sort(F.collect_list("number")).alias("numbers"))
-    taken = {n.lower() for n in names}
-    row = next(n for n in ("row", *(f"row_{i}" for i in range(len(names) + 1))) if n not in taken)
-    numbers = next(n for n in ("numbers", *(f"numbers_{i}" for i in range(len(names) + 1))) if n not in taken)
+    row, numbers, out = (free_name(n, names) for n in ("row", "numbers", "removed_lines"))
     whole = squeezed(docs.withColumn(row, F.xxhash64(col(key), col(text))), text)
     joined = whole.join(gone.withColumnsRenamed({"row": row, "numbers": numbers}), row, "left").select(*[col(n) for n in names], col(numbers))
     at = names.index(text)
@@ -319,7 +317,7 @@ def dedup_lines(docs: DataFrame, key: str = "doc_id", text: str = "text", **opti
                 string = "\n".join(x for i, x in enumerate(string.split("\n")) if i not in drop)
             left.append(string)
         arrays = [pa.array(left, pa.string()) if i == at else batch.column(i) for i in range(len(names))]
-        yield pa.RecordBatch.from_arrays([*arrays, removed], [*names, "removed_lines"])
+        yield pa.RecordBatch.from_arrays([*arrays, removed], [*names, out])
 
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema)
-    return map_batches(joined, work, f"{schema}, removed_lines array<int>")
+    return map_batches(joined, work, f"{schema}, {out} array<int>")

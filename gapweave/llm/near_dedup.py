@@ -24,7 +24,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from gapweave.llm.common import SpanHash, col, linked, map_batches, mix, slices, stored, texts_of
+from gapweave.llm.common import SpanHash, col, free_name, linked, map_batches, mix, slices, stored, texts_of
 from gapweave.llm.line_dedup import squeezed, unpacked
 
 WORDS, THRESHOLD = 5, 0.8
@@ -219,8 +219,7 @@ def near_duplicates(
 def drop_near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", **options) -> DataFrame:
     """The first document, by key, of every class, all columns kept."""
     names = docs.columns
-    taken = {n.lower() for n in names}
-    row = next(n for n in ("row", *(f"row_{i}" for i in range(len(names) + 1))) if n not in taken)
+    row = free_name("row", names)
     heads = near_duplicates(docs, key, text, **options).where("row = class_row").select(F.col("row").alias(row)).distinct()
     whole = squeezed(docs.withColumn(row, F.xxhash64(col(key), col(text))), text)
     kept = whole.join(heads, row, "left_semi").dropDuplicates([row]).select(*[col(n) for n in names])

@@ -18,7 +18,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from gapweave.llm.common import col, map_batches, texts_of
+from gapweave.llm.common import col, free_name, map_batches, texts_of
 
 #: Bounded sample of labelled rows the classifier is fitted on, half of each class at most: those with the lowest hash of their key.
 MAX_SAMPLE = 4000
@@ -156,22 +156,23 @@ def vote(vectors: np.ndarray, model: QualityModel, base: float) -> np.ndarray:
 
 
 def score_rows(df: DataFrame, model: QualityModel, *kept: str, text: str = "text") -> DataFrame:
-    """Rows (kept columns, score) of every row of ``df``. The broadcast model has TERMS x DIMENSIONS and MAX_SAMPLE x DIMENSIONS numbers at most."""
+    """Rows (kept columns, score) of every row of ``df``; a name that a kept column has is numbered. The broadcast model has TERMS x DIMENSIONS and MAX_SAMPLE x DIMENSIONS numbers at most."""
     names = list(kept)
+    own, value = (free_name(n, names) for n in ("__text", "score"))
     types = {f.name: f.dataType.simpleString() for f in df.schema}
     shared = df.sparkSession.sparkContext.broadcast(model)
     base = float(model.labels.mean()) if len(model.labels) else 0.5
 
     def work(batch: pa.RecordBatch):
         known = shared.value
-        score = vote(_features(texts_of(batch, "__text"), known.rarity, known.axes), known, base)
-        yield pa.RecordBatch.from_arrays([*(batch.column(i) for i in range(len(names))), pa.array(score)], [*names, "score"])
+        score = vote(_features(texts_of(batch, own), known.rarity, known.axes), known, base)
+        yield pa.RecordBatch.from_arrays([*(batch.column(i) for i in range(len(names))), pa.array(score)], [*names, value])
 
-    wanted = df.select(*[col(n) for n in names], col(text).alias("__text"))
-    return map_batches(wanted, work, "".join(f"`{n}` {types[n]}, " for n in names) + "score double")
+    wanted = df.select(*[col(n) for n in names], col(text).alias(own))
+    return map_batches(wanted, work, "".join(f"`{n}` {types[n]}, " for n in names) + f"{value} double")
 
 
 def reject_poor(docs: DataFrame, model: QualityModel, threshold: float = 0.5, text: str = "text") -> DataFrame:
     """The rows of ``docs`` whose score reaches the threshold, all columns kept."""
     names = docs.columns
-    return score_rows(docs, model, *names, text=text).where(F.col("score") >= threshold).select(*[col(n) for n in names])
+    return score_rows(docs, model, *names, text=text).where(F.col(free_name("score", names)) >= threshold).select(*[col(n) for n in names])

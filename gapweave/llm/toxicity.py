@@ -21,7 +21,7 @@ import pyarrow as pa
 import zstandard
 from pyspark.sql import DataFrame, functions as F
 
-from gapweave.llm.common import col, map_batches, texts_of
+from gapweave.llm.common import col, free_name, map_batches, plain_names, texts_of
 
 #: Bounded sample of labelled rows that the classifier is fitted on: documents of each class, those with the lowest hash of their key.
 MAX_TOXIC, MAX_ORDINARY = 3000, 6000
@@ -176,26 +176,27 @@ def _trained(size: int, parts: list[bytes], joined: int) -> bytes:
 
 
 def score_rows(df: DataFrame, model: ToxicityModel, *kept: str, text: str = "text") -> DataFrame:
-    """Rows (kept columns, evidence array, score) of every row of ``df``."""
+    """Rows (kept columns, evidence array, score) of every row of ``df``; a name that a kept column has is numbered."""
     names = list(kept)
+    own, proof, value = (free_name(n, names) for n in ("__text", "evidence", "score"))
     types = {f.name: f.dataType.simpleString() for f in df.schema}
-    schema = "".join(f"`{n}` {types[n]}, " for n in names) + "evidence array<double>, score double"
-    wanted = df.select(*[col(n) for n in names], col(text).alias("__text"))
+    schema = "".join(f"`{n}` {types[n]}, " for n in names) + f"{proof} array<double>, {value} double"
+    wanted = df.select(*[col(n) for n in names], col(text).alias(own))
 
     def work(batches):
         ordinary, toxic = _compressor(model.ordinary), _compressor(model.toxic + model.ordinary)
         w, mean, scale = (np.array(v) for v in (model.weights, model.mean, model.scale))
         for batch in batches:
-            x = evidence(texts_of(batch, "__text"), ordinary, toxic, model.ordinary[-WINDOW:])
+            x = evidence(texts_of(batch, own), ordinary, toxic, model.ordinary[-WINDOW:])
             logit = w[0] + ((x - mean) / scale) @ w[1:] if len(w) else np.zeros(len(x))
             arrays = [batch.column(i) for i in range(len(names))]
             score = 1 / (1 + np.exp(-np.clip(logit, -30, 30)))
-            yield pa.RecordBatch.from_arrays([*arrays, pa.array(list(x), pa.list_(pa.float64())), pa.array(score)], [*names, "evidence", "score"])
+            yield pa.RecordBatch.from_arrays([*arrays, pa.array(list(x), pa.list_(pa.float64())), pa.array(score)], [*names, proof, value])
 
-    return wanted.mapInArrow(work, schema)
+    return plain_names(wanted).mapInArrow(work, schema)
 
 
 def reject_toxic(docs: DataFrame, model: ToxicityModel, threshold: float = 0.5, text: str = "text") -> DataFrame:
     """The rows of ``docs`` whose score is below the threshold, all columns kept."""
     names = docs.columns
-    return score_rows(docs, model, *names, text=text).where(F.col("score") < threshold).select(*[col(n) for n in names])
+    return score_rows(docs, model, *names, text=text).where(F.col(free_name("score", names)) < threshold).select(*[col(n) for n in names])

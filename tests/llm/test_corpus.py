@@ -89,8 +89,8 @@ def test_fold_of_the_labels(spark):
 
 def training(spark, label):
     good = ["the cat sat on the mat and looked at the small garden", "a quiet morning in the harbour with boats and gulls"]
-    bad = ["you vile grobnik and your grobnik friends are grobnik", "grobnik grobnik says the vile one to the other grobnik"]
-    texts = [(i, good[i % 2] + f" number {i}", 0) for i in range(60)] + [(100 + i, bad[i % 2] + f" number {i}", 1) for i in range(60)]
+    # The bad word stands after many different words.
+    texts = [(i, good[i % 2] + f" number {i}", 0) for i in range(60)] + [(100 + i, f"{good[i % 2]} a{i} grobnik, a b{i} grobnik!!! c{i} grobnik", 1) for i in range(60)]
     docs = spark.createDataFrame([t[:2] for t in texts], "doc_id long, text string")
     return spark.createDataFrame([(t[0], t[2]) for t in texts] + [(999, None), (998, 7)], f"doc_id long, {label} int"), docs
 
@@ -114,7 +114,7 @@ def test_toxic_passage_is_found_in_a_long_text(spark):
     labels, docs = training(spark, "toxic")
     model = toxicity.fit(labels, docs)
     plain = "a quiet morning in the harbour with boats and gulls " * 30_000
-    rows = spark.createDataFrame([(1, plain), (2, plain + " you vile grobnik and your grobnik friends ")], "doc_id long, text string")
+    rows = spark.createDataFrame([(1, plain), (2, plain + " a boat grobnik and gulls grobnik mat grobnik ")], "doc_id long, text string")
     found = {r["doc_id"]: r["evidence"][0] for r in toxicity.score_rows(rows, model, "doc_id").collect()}
     assert found[2] > found[1]
 
