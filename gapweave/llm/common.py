@@ -128,17 +128,16 @@ def linked(edges: DataFrame, spark: SparkSession, label: str = "links") -> DataF
     forest = stored(
         edges.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).where("u <> v").distinct(), label
     )
-    seen = None
     while True:
+        # Done once every node has one edge up, to a node that has none.
+        ends = forest.select("u", F.lit(1).alias("up"), F.lit(0).alias("top")).union(forest.select("v", F.lit(0), F.lit(1)))
+        if ends.groupBy("u").agg(F.sum("up").alias("up"), F.max("top").alias("top")).where("up > 1 or up > 0 and top > 0").isEmpty():
+            break
         both = forest.union(forest.select(F.col("v").alias("u"), F.col("u").alias("v")))
         least = both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m"))
         large = both.join(least, "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).where("u <> v").distinct()
         least = large.groupBy("u").agg(F.min("v").alias("m"))
         small = large.join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).union(least.select("u", F.col("m").alias("v")))
         forest = stored(small.where("u <> v").distinct(), label)
-        now = forest.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
-        if now == seen:
-            break
-        seen = now
     roots = forest.select(F.col("u").alias("node"), F.col("v").alias("root"))
     return roots.union(roots.select(F.col("root").alias("node"), "root").distinct())
