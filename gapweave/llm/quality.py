@@ -149,7 +149,9 @@ def vote(vectors: np.ndarray, model: QualityModel, base: float) -> np.ndarray:
     out = np.empty(len(vectors))
     for at in range(0, len(vectors), BLOCK):
         near = vectors[at : at + BLOCK] @ model.vectors.T
-        order = np.argpartition(-near, k - 1, axis=1)[:, :k] if k < near.shape[1] else np.tile(np.arange(k), (len(near), 1))
+        # Single-precision products differ by more than all of these steps, which only settle ties by position.
+        ranked = np.arange(near.shape[1]) * 1e-12 - near
+        order = np.argpartition(ranked, k - 1, axis=1)[:, :k] if k < near.shape[1] else np.tile(np.arange(k), (len(near), 1))
         weight = np.maximum(np.take_along_axis(near, order, 1), 0).astype(float) ** 8
         out[at : at + BLOCK] = ((weight * model.labels[order]).sum(1) + 1e-3 * base) / (weight.sum(1) + 1e-3)
     return np.clip(out, 0, 1)
