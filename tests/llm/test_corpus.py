@@ -65,11 +65,6 @@ def test_span_hashes_tell_spans_apart():
 # --- toxicity and quality
 
 
-def fitted(spark, sf_dir, kind):
-    model = getattr(queries, f"{kind}_model")(spark, sf_dir)
-    return model
-
-
 @pytest.mark.parametrize(("name", "label", "least"), [("op5_toxicity", "toxic", 0.9), ("op2_quality", "quality", 0.93)])
 def test_held_out_accuracy(spark, name, label, least):
     sf_dir = "/root/testdata/sf0.01"
