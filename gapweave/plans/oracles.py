@@ -446,6 +446,7 @@ _add(
 
 # --- rules --------------------------------------------------------------------------------------
 
+# Fixed values, as in the rule tables.
 _MAXIMA = {"energy": 4300, "fat": 95, "saturated_fat": 55, "carbohydrates": 95, "sugars": 95, "proteins": 90, "sodium": 3, "salt": 6}
 _NUTRIENTS = [c for c in _FEATURES]
 _OTHERS = ["code", "grp", "grade", "fr_score", "uk_score"]

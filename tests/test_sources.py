@@ -36,13 +36,14 @@ def test_null_columns_go(spark):
     assert delimited.drop_null_columns(df).columns == ["a", "c"]
 
 
+# Start line, section heads and field names are fixed values of the format; the remarks are our own.
 DICTIONARY = """Some prose: ignored
 
 List of fields:
 
 # general information:
 
-code : barcode
+code : own number of the item
 created_t : time (UNIX)
 created_datetime
 # Tags:
@@ -50,7 +51,7 @@ brands_tags
 origin_fr
 # nutrition facts:
 fat_100g
-biotin_100g: also known as B8
+biotin_100g: a vitamin, in grams
 salt_serving : salt
 """
 
@@ -58,14 +59,14 @@ salt_serving : salt
 def test_dictionary_types_sections_and_stray_colon(spark, tmp_path):
     d = dictionary.read_dictionary(spark, write(tmp_path / "d.txt", DICTIONARY))
     got = {r.field: (r.section, r.type, r.sub_type, r.description) for r in d.collect()}
-    assert got["code"] == ("generalinformation", "string", None, "barcode")
-    assert got["biotin_100g"] == ("nutritionfacts", "float", None, "also known as B8")
+    assert got["code"] == ("generalinformation", "string", None, "own number of the item")
+    assert got["biotin_100g"] == ("nutritionfacts", "float", None, "a vitamin, in grams")
     assert got["brands_tags"][1:3] == ("string", "tags") and got["origin_fr"][0] == "tags"
     assert got["created_datetime"] == ("generalinformation", "iso8601_datetime", None, None)
     schema = dictionary.schema_of(d)
     assert schema["created_t"].dataType.simpleString() == "bigint"
     assert schema["brands_tags"].dataType.simpleString() == "array<string>"
-    assert schema["code"].metadata["description"] == "barcode"
+    assert schema["code"].metadata["description"] == "own number of the item"
     text = spark.createDataFrame([("1", "x", "2020-01-01", "a,b", None, "nan", "1.5", "z", "q")], "code string, created_t string, created_datetime string, brands_tags string, origin_fr string, fat_100g string, biotin_100g string, salt_serving string, extra string")
     r = dictionary.apply_schema(text, schema).first()
     assert (r.code, r.created_t, r.brands_tags, r.fat_100g, r.biotin_100g, r.salt_serving, r.extra) == ("1", None, ["a", "b"], None, 1.5, None, "q")
