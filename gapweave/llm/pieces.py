@@ -24,8 +24,8 @@ from gapweave.llm.common import col, map_batches, slices, texts_of
 
 MARK = "▁"
 _WORD = re.compile(f"{MARK}*[^{MARK}]+|{MARK}+")
-#: Distinct words, and pairs of pieces, that a worker remembers.
-MAX_WORDS, MAX_PAIRS = 1 << 18, 1 << 19
+#: Distinct words of a generation, and pairs of pieces, that a worker remembers.
+MAX_WORDS, MAX_PAIRS = 1 << 18, 1 << 20
 
 
 class Pieces:
@@ -59,7 +59,9 @@ class Pieces:
         self.longest = max(map(len, self.id))
         self._stable: dict[tuple[str, str], bool] = {}
         self._alone: dict[str, bool] = {}
+        # Two generations: a full one becomes the old one, and words still in use are taken over from there.
         self.words: dict[str, tuple[int, ...]] = {}
+        self.old: dict[str, tuple[int, ...]] = {}
 
     def merged(self, symbols: list[str]) -> list[str]:
         """Plain byte-pair merging: the adjacent pair of the best score first, the leftmost of equals."""
@@ -117,11 +119,12 @@ class Pieces:
 
     def encode(self, texts: list[str]) -> list[np.ndarray]:
         split = [_WORD.findall(self.library.normalize(t)) if t else [] for t in texts]
-        fresh = {w for words in split for w in words} - self.words.keys()
+        present = {w for words in split for w in words}
+        fresh = present - self.words.keys()
         if len(self.words) + len(fresh) > MAX_WORDS:
-            self.words = {}
-            fresh = {w for words in split for w in words}
-        self.words |= self.forward(list(fresh))
+            self.old, self.words, fresh = self.words, {}, present
+        self.words |= {w: self.old[w] for w in fresh & self.old.keys()}
+        self.words |= self.forward(list(fresh - self.words.keys()))
         known = self.words
         return [np.fromiter((i for w in words for i in known[w]), np.int32) for words in split]
 
