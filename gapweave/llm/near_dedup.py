@@ -9,11 +9,12 @@ register. A register keeps the shingle of its earliest arrival; a shingle is lef
 all registers' present ones. Two bags agree in a register with the probability of their likeness. Bands of registers give
 buckets.
 
-Texts with equal bags are one node. Comparing all nodes of a bucket would cost the square of a group of copies, so every node
-is verified, exactly, against two leaders of each of its buckets: the most central node (the one whose buckets hold most
-nodes, as the original of edited copies does) and one drawn by hash. Nodes outside the class of a bucket's centre then elect leaders
-among themselves, ``rounds`` times in all. The cost is linear in the nodes of a bucket. A link is missed only if its two nodes meet in no bucket,
-or nowhere with a common leader, and no other way connects them.
+Texts with equal bags are one node. Every node is first verified, exactly, against two leaders of each of its buckets: the most
+central node (the one whose buckets hold most nodes, as the original of edited copies does) and one drawn by hash. That joins most of a
+group of copies at a linear cost. Each bucket that still holds nodes of different classes is then dealt into blocks by node hash, and every two
+blocks meet in a task, which compares all nodes of different classes that meet there first, each pair in one bucket only: by matrix products
+where they settle the likeness or bound it below the threshold, else by the exact sum. No pair is listed outside a task, and no link between nodes that meet in a
+bucket is lost.
 
 Cases: null text counts as empty; texts without words form one class; repeated rows are copies; an empty table gives no
 rows; null keys are kept and never name a class unless all of its keys are null."""
@@ -30,8 +31,10 @@ from gapweave.llm.line_dedup import squeezed, unpacked
 WORDS, THRESHOLD = 5, 0.8
 #: 16 bands of 4 registers: a pair at 0.8 is missed with a probability of 0.0002.
 BANDS, ROWS = 16, 4
-#: Elections of leaders in a bucket.
-ROUNDS = 2
+#: Nodes and shingles of a block of a bucket.
+BLOCK_NODES, BLOCK_SHINGLES = 512, 400_000
+#: Shingles of one matrix product.
+_COLUMNS = 1 << 12
 _PIECE_WORDS = 100_000
 _ODD = np.uint64(0x9E3779B97F4A7C15)
 
@@ -181,8 +184,114 @@ def _led(met: DataFrame) -> DataFrame:
     return led.select(F.least("node", "leader").alias("a"), F.greatest("node", "leader").alias("b")).distinct()
 
 
+def _shared(x: np.ndarray, xo: np.ndarray, xv: list[np.ndarray], y: np.ndarray, yo: np.ndarray, yv: list[np.ndarray]) -> list[np.ndarray]:
+    """Sums over shared shingles of xv[k] * yv[k] for all pairs of two lists of bags, given flat with the owner of each shingle."""
+    out = [np.zeros((xo[-1] + 1, yo[-1] + 1)) for _ in xv]
+    both = np.intersect1d(x, y)
+    for at in range(0, len(both), _COLUMNS):
+        part = both[at : at + _COLUMNS]
+        sides = []
+        for codes, owner, values in ((x, xo, xv), (y, yo, yv)):
+            place = np.minimum(np.searchsorted(part, codes), len(part) - 1)
+            own = part[place] == codes
+            dense = []
+            for v in values:
+                m = np.zeros((owner[-1] + 1, len(part)))
+                m[owner[own], place[own]] = v[own]
+                dense.append(m)
+            sides.append(dense)
+        for total, left, right in zip(out, *sides, strict=True):
+            total += left @ right.T
+    return out
+
+
+def block_links(bags_of: list[tuple[np.ndarray, np.ndarray]], classes: np.ndarray, open_pairs: np.ndarray, threshold: float) -> list[tuple[int, int]]:
+    """Links (row, row) that join the classes of all pairs of the mask ``open_pairs`` with at least that likeness; bags are not empty."""
+    rows, columns = np.flatnonzero(open_pairs.any(1)), np.flatnonzero(open_pairs.any(0))
+    if not len(rows):
+        return []
+    sides = []
+    for chosen in (rows, columns):
+        size = np.array([len(bags_of[i][0]) for i in chosen])
+        total = np.array([float(bags_of[i][1].sum()) for i in chosen])
+        owner = np.repeat(np.arange(len(chosen)), size)
+        share = np.concatenate([bags_of[i][1] for i in chosen]) / total[owner]
+        sides.append((np.concatenate([bags_of[i][0] for i in chosen]), owner, share, np.ones(len(owner)), size, total))
+    (x, xo, xs, x1, xn, xt), (y, yo, ys, y1, yn, yt) = sides
+    # With all weights one the likeness is plain Jaccard. Otherwise a shared shingle adds at most its share of either bag.
+    common, left, right = _shared(x, xo, [x1, xs, x1], y, yo, [y1, y1, ys])
+    plain = (xn == xt)[:, None] & (yn == yt)[None, :]
+    jaccard = common / (xn[:, None] + yn[None, :] - common)
+    may = open_pairs[np.ix_(rows, columns)] & (np.where(plain, jaccard, np.minimum(left, right)) >= threshold - 1e-9)
+    parent: dict[int, int] = {}
+
+    def find(c: int) -> int:
+        while (up := parent.get(c, c)) != c:
+            parent[c] = c = parent.get(up, up)
+        return c
+
+    found = []
+    # The likeliest first, so that the exact sum is skipped for most pairs of what becomes one class.
+    i, j = np.nonzero(may)
+    for at in np.argsort(-np.where(plain, jaccard + 1, np.minimum(left, right))[i, j], kind="stable").tolist():
+        a, b = int(rows[i[at]]), int(columns[j[at]])
+        u, v = find(int(classes[a])), find(int(classes[b]))
+        if u != v and likeness(*bags_of[a], *bags_of[b]) >= threshold - 1e-12:
+            parent[u] = v
+            found.append((a, b))
+    return found
+
+
+def _open(table: pa.Table) -> tuple[np.ndarray, np.ndarray]:
+    """Classes, and the mask of pairs of a block pair that differ in class and share no bucket of a lower band."""
+    bucket, p, q = (table[n][0].as_py() for n in ("bucket", "p", "q"))
+    classes, block = table["class"].to_numpy(), table["block"].to_numpy()
+    every = table["buckets"].combine_chunks().flatten().to_numpy().reshape(table.num_rows, -1)
+    band = int(np.flatnonzero(every[0] == bucket)[0])
+    pairs = classes[:, None] != classes[None, :]
+    pairs &= np.triu(np.ones(pairs.shape, bool), 1) if p == q else (block == p)[:, None] & (block == q)[None, :]
+    for lower in range(band):
+        pairs &= every[:, lower][:, None] != every[:, lower][None, :]
+    return classes, pairs
+
+
+def _late_links(met: DataFrame, single: DataFrame, roots: DataFrame, bag: DataFrame, threshold: float) -> DataFrame:
+    """Links between nodes of different classes that meet in a bucket."""
+    sized = bag.select("node", F.size("shingles").alias("s"))
+    known = met.select("node", "bucket").join(roots, "node", "left").join(sized, "node").select("node", "bucket", "s", F.coalesce("root", "node").alias("class"))
+    # The largest class of a bucket need not meet itself: its blocks come first and meet only those of the other classes.
+    most = lambda c: F.max_by(c, F.struct("n", "class"))
+    of = lambda n, s: F.ceil(F.greatest(n / BLOCK_NODES, s / BLOCK_SHINGLES)).cast("int")
+    counted = known.groupBy("bucket", "class").agg(F.count("*").alias("n"), F.sum("s").alias("s"))
+    counted = counted.groupBy("bucket").agg(F.count("*").alias("k"), most("class").alias("big"), most("n").alias("bn"), most("s").alias("bs"), F.sum("n").alias("n"), F.sum("s").alias("s")).where("k > 1")
+    mixed = counted.select("bucket", "big", of(F.col("bn"), F.col("bs")).alias("own"), of(F.col("n") - F.col("bn"), F.col("s") - F.col("bs")).alias("rest"))
+    h, big = F.xxhash64("node"), F.col("class") == F.col("big")
+    dealt = known.join(mixed, "bucket").withColumn("block", F.when(big, F.pmod(h, F.col("own"))).otherwise(F.col("own") + F.pmod(h, F.col("rest"))).cast("int"))
+    dealt = dealt.join(single.select("node", "buckets"), "node").withColumn("k", F.explode(F.sequence(F.when(big, F.col("own")).otherwise(0), F.col("own") + F.col("rest") - 1)))
+    columns = ["bucket", F.least("block", "k").alias("p"), F.greatest("block", "k").alias("q"), "block", "node", "class", "buckets"]
+    schema = "bucket long, p int, q int, block int, node long, class long, buckets array<long>"
+
+    def asked(table: pa.Table) -> pa.Table:
+        _, pairs = _open(table)
+        return table.filter(pa.array(pairs.any(1) | pairs.any(0)))
+
+    wanted = stored(dealt.select(*columns).groupBy("bucket", "p", "q").applyInArrow(asked, schema), "open-nodes")
+
+    def compare(table: pa.Table) -> pa.Table:
+        table = table.combine_chunks()
+        classes, pairs = _open(table)
+        nodes, shingles, weights = table["node"].to_numpy(), table["shingles"].combine_chunks(), table["weights"].combine_chunks()
+        cut, codes, counts = shingles.offsets.to_numpy(), shingles.values.to_numpy(), weights.values.to_numpy()
+        begin = weights.offsets.to_numpy()
+        bags_of = [(codes[cut[r] : cut[r + 1]], counts[begin[r] : begin[r + 1]]) for r in range(table.num_rows)]
+        found = block_links(bags_of, classes, pairs, threshold)
+        return pa.table({"a": pa.array([int(nodes[a]) for a, _ in found], pa.int64()), "b": pa.array([int(nodes[b]) for _, b in found], pa.int64())})
+
+    return stored(wanted.join(bag, "node").groupBy("bucket", "p", "q").applyInArrow(compare, "a long, b long"), "late-links")
+
+
 def near_duplicates(
-    docs: DataFrame, key: str = "doc_id", text: str = "text", threshold: float = THRESHOLD, words: int = WORDS, bands: int = BANDS, rows: int = ROWS, rounds: int = ROUNDS
+    docs: DataFrame, key: str = "doc_id", text: str = "text", threshold: float = THRESHOLD, words: int = WORDS, bands: int = BANDS, rows: int = ROWS
 ) -> DataFrame:
     """One row per document: key, row (xxhash64 of key and text), node, and class (key and row of its first document, its size)."""
     spark = docs.sparkSession
@@ -195,21 +304,11 @@ def near_duplicates(
     edges = stored(_led(met), "bag-pairs")
     wanted = met.select("node").distinct()
     bag = stored(_fetch(docs, key, text, single.join(wanted, "node").select(F.col("first.row").alias("row"), "node"), words), "met-shingles")
-    enough = F.col("alike") >= threshold - 1e-12
-    links = stored(_verified(edges, bag).where(enough).select("a", "b"), "bag-links")
+    links = stored(_verified(edges, bag).where(F.col("alike") >= threshold - 1e-12).select("a", "b"), "bag-links")
     roots = linked(links, spark, "copies")
-    for _ in range(rounds - 1):
-        known = met.join(roots, "node", "left").select("node", "bucket", F.coalesce("root", "node").alias("class"))
-        centre = _leaders(met).select("bucket", F.col("centre").alias("node")).join(known, ["node", "bucket"]).select("bucket", F.col("class").alias("first"))
-        rest = known.join(centre, "bucket").where("class <> first").select("node", "bucket", "class")
-        mixed = rest.groupBy("bucket").agg(F.count("*").alias("n"), F.min("class").alias("low"), F.max("class").alias("high")).where("low < high").select("bucket", "n")
-        met = stored(rest.select("node", "bucket").join(mixed, "bucket"), "other-bags")
-        more = _led(met).join(edges, ["a", "b"], "left_anti")
-        late = stored(_verified(more, bag).where(enough).select("a", "b"), "late-links")
-        if late.isEmpty():
-            break
-        links = links.union(late)
-        roots = linked(links, spark, "copies")
+    late = _late_links(met, single, roots, bag, threshold)
+    if not late.isEmpty():
+        roots = linked(links.union(late), spark, "copies")
     classes = single.join(roots, "node", "left").select("node", F.coalesce("root", "node").alias("class"), "first", "n")
     heads = classes.groupBy("class").agg(F.min("first").alias("head"), F.sum("n").alias("size"))
     named = classes.select("node", "class").join(heads, "class").select("node", F.col("head.key").alias("class_key"), F.col("head.row").alias("class_row"), F.col("size").alias("class_size"))

@@ -289,6 +289,39 @@ def test_near_duplicates_match_all_pairs(spark):
     assert {r["doc_id"] for r in kept.collect()} == set(sizes)
 
 
+def chained_texts():
+    """Three separate chains of edited copies, of which only neighbours are alike."""
+    r, rows = random.Random(11), []
+    for chain in range(3):
+        words = [f"c{chain}w{i}" for i in range(60)] + ["again"] * 7
+        for step in range(40):
+            rows.append(" ".join(words))
+            words[r.randrange(60)] = f"c{chain}s{step}n{r.randrange(10**6)}"
+    return [(i, t) for i, t in enumerate(rows)]
+
+
+def test_near_duplicates_without_common_leaders(spark, monkeypatch):
+    monkeypatch.setattr(near_dedup, "BLOCK_NODES", 8, raising=False)
+    rows = chained_texts()
+    bags = [bag(t) for _, t in rows]
+    links = [(a, b) for b in range(len(rows)) for a in range(b) if probability_jaccard(bags[a], bags[b]) >= 0.8]
+    root = roots_of(links)
+    # One register a band: pairs far below the threshold meet, too, and most links share no leader.
+    found = near_dedup.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string"), bands=32, rows=1).collect()
+    assert {r["key"]: r["class_key"] for r in found} == {d: root.get(d, d) for d, _ in rows}
+
+
+def test_block_links_find_every_class():
+    r = random.Random(4)
+    texts = [" ".join(r.choice("abc") if r.random() < 0.1 else f"w{i}" for i in range(60)) for _ in range(20)]
+    texts += [" ".join(edited_words) for t in texts[:10] for edited_words in [[*t.split()[:57], *r.choices("xyz", k=3)]]] + ["q q q q q q q q", "q q q q q q q q q"]
+    owner, shingles, weights = near_dedup.bags(texts)
+    parts = [(shingles[owner == i], weights[owner == i]) for i in range(len(texts))]
+    truth = [(a, b) for b in range(len(texts)) for a in range(b) if probability_jaccard(bag(texts[a]), bag(texts[b])) >= 0.8]
+    open_pairs = np.triu(np.ones((len(texts), len(texts)), bool), 1)
+    assert roots_of(near_dedup.block_links(parts, np.arange(len(texts)), open_pairs, 0.8)) == roots_of(truth)
+
+
 def test_near_duplicates_of_odd_rows(spark):
     odd = odd_rows(spark)
     found = {r["key"]: r["class_key"] for r in near_dedup.near_duplicates(odd).collect()}
