@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from gapweave.llm import fingerprints, language, line_dedup, near_dedup, nearest, packing, pieces, quality, token_counts, toxicity
+from gapweave.llm import fingerprints, hard_negatives, language, line_dedup, near_dedup, nearest, packing, pieces, quality, spellings, suffixes, token_counts, toxicity
 from gapweave.llm.common import ship
 
 
@@ -82,6 +82,23 @@ def op10_nearest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return nearest.neighbours(vectors, vectors.where(F.col("vec_id") % 20 == 0))
 
 
+def op11_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Hard negatives of every fiftieth vector, with some labels moved on by one."""
+    vectors = _table(spark, sf_dir, "embeddings")
+    moved = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return hard_negatives.mine(vectors.withColumn("label", moved), F.col("id") % 50 == 0)
+
+
+def op12_spellings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spellings.spelling_variants(_table(spark, sf_dir, "documents"))
+
+
+def op13_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document without the bytes of passages that also start earlier."""
+    kept = suffixes.drop_repeats(_table(spark, sf_dir, "documents"))
+    return kept.select(F.col("key").alias("doc_id"), "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
+
+
 QUERIES = {
     "op1_pieces": op1_pieces,
     "op2_quality": op2_quality,
@@ -93,6 +110,9 @@ QUERIES = {
     "op8_fingerprints": op8_fingerprints,
     "op9_token_counts": op9_token_counts,
     "op10_nearest": op10_nearest,
+    "op11_negatives": op11_negatives,
+    "op12_spellings": op12_spellings,
+    "op13_repeats": op13_repeats,
 }
 
 #: Only operators that SQL can express on whole tables.
