@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import atexit
+import ctypes
+import gc
 import os
 import shutil
 import tempfile
@@ -17,6 +19,8 @@ from gapweave.session import scratch_path
 
 #: Characters handled at once by vectorised code; one longer text makes a slice of its own.
 SLICE_CHARS = 1 << 20
+#: Bytes of a batch that a function is given; a longer row makes one of its own.
+BATCH_BYTES = 4 << 20
 _ODD = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -47,13 +51,38 @@ def plain_names(df: DataFrame) -> DataFrame:
     return df.toDF(*[f"__named_{i}" if "." in n or "`" in n else n for i, n in enumerate(df.columns)])
 
 
+def bounded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The batches of a task cut down to ``BATCH_BYTES``. When they end, memory that the worker no longer uses goes back to the
+    system: workers outlive their tasks, and what one stage took is no use to the next."""
+    try:
+        for batch in batches:
+            left = [batch] if batch.num_rows else []
+            while left:
+                part = left.pop()
+                if part.num_rows > 1 and part.nbytes > BATCH_BYTES:
+                    half = part.num_rows // 2
+                    left += [part.slice(half), part.slice(0, half)]
+                else:
+                    yield part
+    finally:
+        release()
+
+
+def release() -> None:
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL(None).malloc_trim(0)
+    except (AttributeError, OSError):  # not the C library that has it
+        pass
+
+
 def map_batches(df: DataFrame, work: Callable[[pa.RecordBatch], Iterator[pa.RecordBatch]], schema: str) -> DataFrame:
-    """``mapInArrow`` with one call per batch."""
+    """``mapInArrow`` with one call per bounded batch."""
 
     def run(batches):
-        for batch in batches:
-            if batch.num_rows:
-                yield from work(batch)
+        for batch in bounded(batches):
+            yield from work(batch)
 
     return plain_names(df).mapInArrow(run, schema)
 
@@ -86,29 +115,62 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x
 
 
+def _power_table(base: int, prime: int, size: int) -> np.ndarray:
+    """Powers of ``base`` modulo a prime under 2**31, put together by doubling."""
+    out = np.ones(1, np.uint64)
+    while len(out) < size:
+        out = np.concatenate([out, out * np.uint64(pow(base, len(out), prime)) % np.uint64(prime)])
+    return out[:size]
+
+
 class SpanHash:
-    """64-bit hashes of any spans of a code array, by prefix sums of a polynomial modulo 2**64."""
+    """64-bit hashes of any spans of a code array, by prefix sums of two polynomials: one modulo 2**64, which long regular
+    spans can fool whatever its base, and one modulo a prime, which they cannot."""
 
-    _powers = np.ones(1, np.uint64)
-    _inverse = np.ones(1, np.uint64)
-    _base = np.uint64(0xD6E8FEB86659FD93)
+    _base = 0xD6E8FEB86659FD93
+    _prime, _second = (1 << 31) - 1, 1_220_703_127
     _table = mix(np.arange(1, (1 << 16) + 1, dtype=np.uint64))
+    _powers: tuple[np.ndarray, ...] = ()
+
+    @classmethod
+    def _tables(cls, n: int) -> tuple[np.ndarray, ...]:
+        """Powers and inverse powers of both bases; those of one slice are kept."""
+        if cls._powers and len(cls._powers[0]) >= n:
+            return cls._powers
+        size = max(n, SLICE_CHARS + 1)
+        own = [np.cumprod(np.concatenate([np.ones(1, np.uint64), np.full(size - 1, np.uint64(b))]), dtype=np.uint64) for b in (cls._base, pow(cls._base, -1, 1 << 64))]
+        own += [_power_table(b, cls._prime, size) for b in (cls._second, pow(cls._second, -1, cls._prime))]
+        if size == SLICE_CHARS + 1:
+            cls._powers = tuple(own)
+        return tuple(own)
 
     def __init__(self, codes: np.ndarray):
         n = len(codes) + 1
-        if len(SpanHash._powers) < n:
-            size = max(n, SLICE_CHARS + 1)
-            SpanHash._powers = np.cumprod(np.full(size, self._base), dtype=np.uint64)
-            SpanHash._inverse = np.cumprod(np.full(size, np.uint64(pow(int(self._base), -1, 1 << 64))), dtype=np.uint64)
+        up, self._down, second, self._second_down = self._tables(n)
         small = codes.dtype == np.uint8 or not n - 1 or int(codes.max()) < len(SpanHash._table)
         values = self._table[codes] if small else mix(codes.astype(np.uint64) + np.uint64(1))
-        self._sums = np.zeros(n, np.uint64)
-        np.cumsum(values * self._powers[: n - 1], out=self._sums[1:])
+        prime = np.uint64(self._prime)
+        self._sums, self._seconds = np.zeros(n, np.uint64), np.zeros(n, np.uint64)
+        np.cumsum(values * up[: n - 1], out=self._sums[1:])
+        # Terms are under 2**31, so their sums stay exact.
+        np.cumsum((values >> np.uint64(33)) * second[: n - 1] % prime, out=self._seconds[1:])
 
     def of(self, start: np.ndarray, end: np.ndarray) -> np.ndarray:
         """Equal spans have equal hashes; the length takes part."""
-        raw = (self._sums[end] - self._sums[start]) * self._inverse[start]
-        return mix(raw + (end - start).astype(np.uint64) * _ODD)
+        raw = (self._sums[end] - self._sums[start]) * self._down[start]
+        other = (self._seconds[end] - self._seconds[start]) % np.uint64(self._prime) * self._second_down[start] % np.uint64(self._prime)
+        return self._closed(raw, other, (end - start).astype(np.uint64))
+
+    def without(self, at: np.ndarray) -> np.ndarray:
+        """Hash of all codes but the one at each place, as ``of`` gives it for such an array."""
+        n, prime = len(self._sums) - 1, np.uint64(self._prime)
+        raw = self._sums[at] + (self._sums[n] - self._sums[at + 1]) * self._down[1]
+        later = (self._seconds[n] - self._seconds[at + 1]) % prime * self._second_down[1]
+        return self._closed(raw, (self._seconds[at] + later) % prime, np.full(len(at), n - 1, np.uint64))
+
+    @staticmethod
+    def _closed(raw: np.ndarray, other: np.ndarray, size: np.ndarray) -> np.ndarray:
+        return mix(raw + size * _ODD + mix(other + np.uint64(1)))
 
 
 def signed(x: np.ndarray) -> pa.Array:

@@ -18,7 +18,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from gapweave.llm.common import SLICE_CHARS, SpanHash, col, map_batches, slices, texts_of
+from gapweave.llm.common import SLICE_CHARS, SpanHash, bounded, col, map_batches, slices, texts_of
 from gapweave.session import partitions
 
 K, S, KEPT = 16, 6, 64
@@ -129,7 +129,7 @@ def compared_with_next(docs: DataFrame, key: str = "doc_id", text: str = "text")
 
     def work(batches: Iterator[pa.RecordBatch]):
         waiting = None  # (range, key, text, fingerprint) that lacks its next document
-        for batch in batches:
+        for batch in bounded(batches):
             texts = texts_of(batch, "text")
             ranges, guests, keys = (batch.column(i).to_pylist() for i in range(3))
             for low, high in slices(texts):

@@ -27,7 +27,8 @@ MAX_SAMPLE = 8000
 #: Hashed trigrams, pseudo-counts of smoothing, and the share of the text's log likelihood that counts (neighbouring trigrams repeat each other).
 BUCKETS, SMOOTH, TEXT_SHARE = 1 << 15, 20.0, 0.1
 
-_HIDDEN = re.compile(r"<!--.*?-->|<(script|style|noscript|nav)\b.*?</\1\s*>", re.IGNORECASE | re.DOTALL)
+_OPENING = re.compile(r"<!--|<(script|style|noscript|nav)\b", re.IGNORECASE)
+_CLOSING = re.compile(r"-->|</(script|style|noscript|nav)\s*>", re.IGNORECASE)
 _TAG = re.compile(r"<[^>]*>")
 _DECLARED = re.compile(r"<html\b[^>]*?\blang\s*=\s*[\"']?([A-Za-z]+)", re.IGNORECASE)
 _HOST = re.compile(r"^[a-z][a-z0-9+.-]*://(?:[^/@]*@)?([^/:?#]+)", re.IGNORECASE)
@@ -39,8 +40,29 @@ class TextModel:
     weights: np.ndarray  # BUCKETS x languages, log probabilities
 
 
+def _shown(markup: str) -> str:
+    """The markup with comments and hidden elements as blanks, in one scan for openings and one for closings. What is never closed stays."""
+    closings: dict[str, list[tuple[int, int]]] = {}
+    for found in _CLOSING.finditer(markup):
+        closings.setdefault((found.group(1) or "--").lower(), []).append(found.span())
+    turn = dict.fromkeys(closings, 0)
+    parts, at = [], 0
+    for found in _OPENING.finditer(markup):
+        if found.start() < at:
+            continue
+        kind = (found.group(1) or "--").lower()
+        ends, i = closings.get(kind, []), turn.get(kind, 0)
+        while i < len(ends) and ends[i][0] < found.end():
+            i += 1
+        turn[kind] = i
+        if i < len(ends):
+            parts += [markup[at : found.start()], " "]
+            at = ends[i][1]
+    return "".join([*parts, markup[at:]])
+
+
 def visible_text(markup: str) -> str:
-    return entities.unescape(_TAG.sub(" ", _HIDDEN.sub(" ", markup)))
+    return entities.unescape(_TAG.sub(" ", _shown(markup)))
 
 
 def declared_language(markup: str) -> str:

@@ -26,13 +26,15 @@ import xxhash
 import zstandard
 from pyspark.sql import DataFrame, functions as F
 
-from gapweave.llm.common import col, free_name, linked, map_batches, stored
+from gapweave.llm.common import SpanHash, col, free_name, linked, map_batches, mix, stored
 from gapweave.session import partitions
 
 MAX_EDITS = 1
 MIN_CHARS, NEAR_CHARS = 8, 32
 #: Lines of one key that are paired directly.
 PAIRED = 64
+#: Shortened lines of one batch.
+_DELETIONS = 1 << 16
 
 
 def normalised(line: str) -> str:
@@ -217,10 +219,18 @@ def _variants(lines: DataFrame) -> DataFrame:
 
     def work(batch: pa.RecordBatch):
         for h, line in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-            cut = [line[:p] + line[p + 1 :] for p in range(len(line))]
-            key = [_hash(line)] + [_hash(c) for c in cut] + [_hash(c, p + 1) for p, c in enumerate(cut)]
-            kind = [0] + [1] * len(cut) + [2] * len(cut)
-            yield pa.RecordBatch.from_arrays([pa.array(key, pa.int64()), pa.array(kind, pa.int8()), pa.array([h] * len(key), pa.int64())], ["key", "kind", "h"])
+            codes = np.frombuffer(line.encode("utf-32-le", "surrogatepass"), np.uint32)
+            spans = SpanHash(codes)
+            yield variant(h, spans.of(np.array([0]), np.array([len(codes)])), 0)
+            # The shortened lines are hashed without being built, in slices.
+            for low in range(0, len(codes), _DELETIONS):
+                at = np.arange(low, min(low + _DELETIONS, len(codes)))
+                shorter = spans.without(at)
+                yield variant(h, shorter, 1)
+                yield variant(h, mix(shorter + mix(at.astype(np.uint64) + np.uint64(1))), 2)
+
+    def variant(h: int, keys: np.ndarray, kind: int) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([pa.array(keys.view(np.int64)), pa.array(np.full(len(keys), kind, np.int8)), pa.array(np.full(len(keys), h, np.int64))], ["key", "kind", "h"])
 
     rows = map_batches(lines.select("h", "line"), work, "key long, kind byte, h long")
     replaced = rows.where("kind = 2")

@@ -9,7 +9,7 @@ Equal vectors are one entry that keeps its lowest k + 1 ids. The entries and the
 of bounded size that meet in a co-grouped block product. The tables' winners are merged, and scores are recomputed in double
 precision on the original vectors. Queries that found fewer than k are compared with every entry, in blocks.
 
-Cases: vectors that are null, zero or hold null or non-finite components take no part; ties go to the smaller id; repeated ids
+Cases: vectors that are null, zero or hold null or non-finite components take no part, nor those whose length is not the commonest one; ties go to the smaller id; repeated ids
 count once for each different vector; with fewer than k candidates all of them are given; an empty table gives no rows; extra columns do not matter."""
 
 from __future__ import annotations
@@ -59,12 +59,15 @@ def neighbours(
     """Rows (query_id, rank from 1, vec_id, score): the k found for every query, nearest first; a query is no candidate of its own."""
     spark = df.sparkSession
     rows, asked = usable(df, key, vector), usable(queries, key, vector)
-    shape = rows.agg(F.max(F.size("v")).alias("n"), F.max(F.aggregate("v", F.lit(0.0), lambda a, x: a + x.cast("double") * x.cast("double"))).alias("top"), F.avg(F.aggregate("v", F.lit(0.0), lambda a, x: a + x.cast("double") * x.cast("double"))).alias("mean"), F.count("*").alias("rows")).first()
+    # Vectors of other lengths than the commonest (of equally common ones: the longest) take no part.
+    lengths = rows.groupBy(F.size("v").alias("n")).count().orderBy(F.desc("count"), F.desc("n")).first()
+    n = lengths["n"] if lengths else 0
+    rows, asked = rows.where(F.size("v") == n), asked.where(F.size("v") == n)
+    shape = rows.agg(F.max(F.aggregate("v", F.lit(0.0), lambda a, x: a + x.cast("double") * x.cast("double"))).alias("top"), F.avg(F.aggregate("v", F.lit(0.0), lambda a, x: a + x.cast("double") * x.cast("double"))).alias("mean"), F.count("*").alias("rows")).first()
     out = "query_id long, rank int, vec_id long, score double"
     if not shape["rows"]:
         return spark.createDataFrame([], out)
-    n, top, size = shape["n"], shape["top"], float(np.sqrt(shape["mean"]))
-    rows, asked = rows.where(F.size("v") == n), asked.where(F.size("v") == n)
+    top, size = shape["top"], float(np.sqrt(shape["mean"]))
     kind = rows.schema["v"].dataType.simpleString()
     # Equal vectors in two steps, so that no group meets in one task.
     part = Window.partitionBy("v", "part").orderBy("id")

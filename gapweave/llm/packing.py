@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window, functions as F
 
-from gapweave.llm.common import col, slices, stored, texts_of
+from gapweave.llm.common import bounded, col, slices, stored, texts_of
 from gapweave.llm.words import Words
 
 CAPACITY, END = 4096, 2
@@ -73,7 +73,7 @@ def pieces(docs: DataFrame, path: str, key: str = "doc_id", text: str = "text",
         words, task = Words.of(path), TaskContext.get().partitionId()
         placed = dict.fromkeys(ladder, 0)
         plans: dict[int, list[tuple[int, int]]] = {}
-        for batch in batches:
+        for batch in bounded(batches):
             texts, keys = texts_of(batch), batch.column(0)
             for low, high in slices(texts):
                 every, sizes = words.encode(texts[low:high])

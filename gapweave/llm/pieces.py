@@ -56,7 +56,13 @@ class Pieces:
                     raise ValueError("a piece of this model crosses words")
                 self.id[piece], self.score[piece] = i, sp.get_score(i)
                 self.text.append(piece.replace(MARK, " ").encode())
-        self.longest = max(map(len, self.id))
+        if len(set(self.score.values())) < len(self.score) or any(x != round(x) for x in self.score.values()):
+            raise ValueError("not a byte-pair model: its scores are no ranks of merges")
+        # Lengths, the longest first, of the pieces that end in the same two characters.
+        ending: dict[str, set[int]] = {}
+        for piece in self.id:
+            ending.setdefault(piece[-2:], set()).add(len(piece))
+        self._lengths = {end: tuple(sorted(sizes, reverse=True)) for end, sizes in ending.items()}
         self._stable: dict[tuple[str, str], bool] = {}
         self._alone: dict[str, bool] = {}
         # Two generations: a full one becomes the old one, and words still in use are taken over from there.
@@ -96,16 +102,26 @@ class Pieces:
         """Encodings of distinct words. ``last[i]`` is the last piece of the encoding of the first i characters of the
         present word, kept for the prefix that the next word shares."""
         out, before, last = {}, "", [""]
+        lengths, ids, stable = self._lengths, self.id, self._stable
         for word in sorted(words):
             shared = len(commonprefix((before, word)))
             del last[shared + 1 :]
             for end in range(shared + 1, len(word) + 1):
                 found = None
-                for start in range(max(0, end - self.longest), end):
-                    piece = word[start:end]
-                    if piece in self.id and (self._first(piece) if start == 0 else self._follows(last[start], piece)):
-                        found = piece
-                        break
+                for size in lengths.get(word[end - 2 : end] if end > 1 else word[:1], ()):
+                    if size > end:
+                        continue
+                    piece = word[end - size : end]
+                    if piece in ids:
+                        if size == end:
+                            good = self._first(piece)
+                        else:
+                            good = stable.get((last[end - size], piece))
+                            if good is None:
+                                good = self._follows(last[end - size], piece)
+                        if good:
+                            found = piece
+                            break
                 last.append(found or word[end - 1])  # a character that is no piece stands alone
             before = word
             pieces, end = [], len(word)

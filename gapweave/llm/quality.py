@@ -104,7 +104,9 @@ def fit(labels: DataFrame, docs: DataFrame, text: str = "text", label: str = "qu
     for c in (0, 1):
         some = rows.where(F.col("y") == c).orderBy("h", "k").limit(MAX_SAMPLE // 2)
         chosen = some if chosen is None else chosen.union(some)
-    sample = docs.select(col(key).cast("string").alias("k"), col(text).alias("text")).join(F.broadcast(chosen), "k").select("y", "h", "text")
+    sample = docs.select(col(key).cast("string").alias("k"), col(text).alias("text")).join(F.broadcast(chosen), "k")
+    # One text a key: repeated rows of the sample stay where they are.
+    sample = sample.groupBy("k", "y", "h").agg(F.min("text").alias("text")).select("y", "h", "text")
 
     def count(batch: pa.RecordBatch):
         pairs = [term_counts(t.encode()) for t in texts_of(batch)]

@@ -77,7 +77,7 @@ def _by_length(words: list[str], cells: int) -> Iterator[tuple[np.ndarray, np.nd
     sizes = np.array([len(w) for w in words])
     for size in np.unique(sizes):
         at = np.flatnonzero(sizes == size)
-        step = max(1, cells // int(size))
+        step = max(1, cells // max(int(size), 1))
         for low in range(0, len(at), step):
             part = at[low : low + step]
             codes = np.frombuffer("".join(words[i] for i in part).encode("utf-32-le", "surrogatepass"), np.uint32)
@@ -96,7 +96,7 @@ def letter_sets(codes: np.ndarray) -> np.ndarray:
 def _reduced(codes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """(symbols of the letters, powers that places have in a hash)."""
     symbol = (mix(codes.astype(np.uint64)) % np.uint64(SYMBOLS)).astype(np.int64)
-    return symbol, np.cumprod(np.concatenate([np.ones(1, np.uint64), np.full(codes.shape[1] - 1, _BASE)]), dtype=np.uint64)
+    return symbol, np.cumprod(np.concatenate([np.ones(1, np.uint64), np.full(max(codes.shape[1] - 1, 0), _BASE)]), dtype=np.uint64)[: codes.shape[1]]
 
 
 def reduced_hash(codes: np.ndarray) -> np.ndarray:
@@ -108,6 +108,8 @@ def reduced_hash(codes: np.ndarray) -> np.ndarray:
 def neighbourhood(codes: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(hash of the reduced word, word number and hash of each string of its neighbourhood) of words of one length."""
     words, size = codes.shape
+    if not size:
+        return reduced_hash(codes), np.zeros(0, np.int64), np.zeros(0, np.uint64)
     symbol, powers = _reduced(codes)
     terms = _VALUES[symbol] * powers
     sums = np.concatenate([np.zeros((words, 1), np.uint64), np.cumsum(terms, axis=1, dtype=np.uint64)], axis=1)

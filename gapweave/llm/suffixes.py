@@ -35,7 +35,7 @@ import xxhash
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window, functions as F
 
-from gapweave.llm.common import col, mix, stored
+from gapweave.llm.common import bounded, col, mix, stored
 
 SPAN, GRAM = 100, 32
 #: Bytes handled at once, runs that a task settles at once, runs of one anchor that a task deals by anchor alone.
@@ -116,13 +116,15 @@ def _ranks(keys: pa.Array) -> np.ndarray:
 
 def _merged(doc: np.ndarray, start: np.ndarray, size: np.ndarray, *marks: np.ndarray) -> list[np.ndarray]:
     """Ranges of starts, those that touch in one document joined; ``marks`` must agree too."""
+    if not len(doc):
+        return [doc, start, size, *marks]
     order = np.lexsort((start, doc))
     doc, start, size = doc[order], start[order], size[order]
     marks = [m[order] for m in marks]
     apart = (doc[1:] != doc[:-1]) | (start[1:] != start[:-1] + size[:-1])
     for m in marks:
         apart |= m[1:] != m[:-1]
-    head = np.flatnonzero(np.concatenate([[True], apart])) if len(doc) else np.zeros(0, np.int64)
+    head = np.flatnonzero(np.concatenate([[True], apart]))
     last = np.append(head[1:], len(doc)) - 1
     return [doc[head], start[head], start[last] + size[last] - start[head], *[m[head] for m in marks]]
 
@@ -192,7 +194,7 @@ def _settled(whole: DataFrame, kind: str, span: int, gram: int, crowded: int) ->
 
     def work(batches):
         task = _Task()
-        for batch in batches:
+        for batch in bounded(batches):
             task.add(batch, span, gram)
             if task.size >= HELD:
                 yield from task.flush()
@@ -231,7 +233,7 @@ def _suffixes(whole: DataFrame, open_runs: DataFrame, kind: str, span: int, gram
     """Rows (lead, tie, key, row, start, n, body): a run with its anchor in front, or one string alone, whose place breaks ties."""
 
     def work(batches):
-        for batch in batches:
+        for batch in bounded(batches):
             out: list[list] = [[] for _ in range(6)]
             docs, held = [], 0
             for i in range(batch.num_rows):
@@ -400,7 +402,7 @@ def drop_repeats(docs: DataFrame, key: str = "doc_id", text: str = "text", span:
         ranges = ranges.unionByName(_repeated(suffixes, kind, -(-load // BUCKET_BYTES), span, gram))
 
     def cut(batches):
-        for batch in batches:
+        for batch in bounded(batches):
             out: list[list] = [[] for _ in range(4)]
             for i in range(batch.num_rows):
                 body, places = batch.column(2)[i].as_py(), batch.column(3)[i].as_py() or []

@@ -21,7 +21,7 @@ import pyarrow as pa
 import zstandard
 from pyspark.sql import DataFrame, functions as F
 
-from gapweave.llm.common import col, free_name, map_batches, plain_names, texts_of
+from gapweave.llm.common import bounded, col, free_name, map_batches, plain_names, texts_of
 
 #: Bounded sample of labelled rows that the classifier is fitted on: documents of each class, those with the lowest hash of their key.
 MAX_TOXIC, MAX_ORDINARY = 3000, 6000
@@ -125,7 +125,8 @@ def fit(labels: DataFrame, docs: DataFrame, text: str = "text", label: str = "to
     picked = [rows.where(F.col("toxic") == c).orderBy("h", "k").limit(n) for c, n in ((1, MAX_TOXIC), (0, MAX_ORDINARY))]
     chosen = picked[0].union(picked[1])
     texts = docs.select(col(key).cast("string").alias("k"), col(text).alias("text"))
-    sample = texts.join(F.broadcast(chosen), "k").withColumn("part", F.pmod(F.col("h"), F.lit(3)))
+    # One text a key: repeated rows of the sample stay where they are.
+    sample = texts.join(F.broadcast(chosen), "k").groupBy("k", "toxic", "h").agg(F.min("text").alias("text")).withColumn("part", F.pmod(F.col("h"), F.lit(3)))
     own = sample.where("part < 2")
     words = own.select("toxic", F.split(F.lower(F.coalesce("text", F.lit(""))), r"[^\p{L}\p{N}]+").alias("w")).where("size(w) > 1")
     markers = frozenset(_markers(words))
@@ -186,7 +187,7 @@ def score_rows(df: DataFrame, model: ToxicityModel, *kept: str, text: str = "tex
     def work(batches):
         ordinary, toxic = _compressor(model.ordinary), _compressor(model.toxic + model.ordinary)
         w, mean, scale = (np.array(v) for v in (model.weights, model.mean, model.scale))
-        for batch in batches:
+        for batch in bounded(batches):
             x = evidence(texts_of(batch, own), ordinary, toxic, model.ordinary[-WINDOW:])
             logit = w[0] + ((x - mean) / scale) @ w[1:] if len(w) else np.zeros(len(x))
             arrays = [batch.column(i) for i in range(len(names))]
