@@ -197,7 +197,7 @@ def near_pairs(words: DataFrame) -> DataFrame:
 def variants(words: DataFrame, factor: int = FACTOR) -> DataFrame:
     """Rows (word, form, root, n, n_near, form_n): a word's form is its commonest near word if that is ``factor`` times as common,
     its root the end of the chain of forms."""
-    pairs = near_pairs(words)
+    pairs = stored(near_pairs(words), "near-pairs")
     both = pairs.select(F.col("wa").alias("word"), F.col("na").alias("n"), F.col("wb").alias("other"), F.col("nb").alias("m"))
     both = both.unionByName(pairs.select(F.col("wb").alias("word"), F.col("nb").alias("n"), F.col("wa").alias("other"), F.col("na").alias("m")))
     best = both.groupBy("word").agg(F.count("*").alias("n_near"), F.min(F.struct((-F.col("m")).alias("m"), "other")).alias("best"), F.first("n").alias("own"))
