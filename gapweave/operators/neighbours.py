@@ -4,9 +4,10 @@ Distance: sqrt(features / shared * sum of squared differences over the features
 Ties go to the lower donor key. Rows with equal feature vectors are collapsed first: a query vector is
 searched once, and of equal donors only the k lowest keys can ever be chosen, so hot copies cost nothing.
 
-A donor table of checked size travels to the query tasks. A larger one is packed into blocks; each
-query block meets only the donor blocks whose bounding box can hold one of its neighbours, and the
-per-block winners are merged. No pair list is written on either way."""
+Donors lie in the cells of a metric index (``metric_index``). A query is first compared with the nearest cells that hold k usable donors; the k-th
+distance found there then leaves out every cell whose bound lies beyond it. A donor table of checked size travels to the
+query tasks together with its index. A larger one is dealt by cell, crowded cells in parts, and meets the queries that reach the
+cell, each donor once a search; the winners of the cells are merged. No pair list is written on either way."""
 
 from __future__ import annotations
 
@@ -18,11 +19,16 @@ from pyspark.sql import DataFrame, Window, functions as F
 
 from gapweave.functions.scalars import quoted
 from gapweave.operators.joins import settle
+from gapweave.operators.metric_index import MAX_PATTERNS, SAMPLE_ROWS, Cells, Pivots
 from gapweave.session import cut, partitions
 
 DONOR_ROWS = 200_000
-MAX_BLOCKS = 20_000
-BLOCK_ROWS = 1024
+#: Donors that are compared in full without an index.
+INDEXED_ROWS = 1024
+#: Donors of one part of a cell, and queries that one task compares with it.
+PART_ROWS, LOT_ROWS = 4096, 8192
+#: Queries whose cells are looked up together.
+_TOGETHER = 16
 _HITS = "vec array<double>, target int, near double, distance double, donor string, value string"
 
 
@@ -54,36 +60,84 @@ def _nearest(dist: np.ndarray, k: int, digits: int) -> list[np.ndarray]:
 
 
 class _Donors:
-    """A bounded set of donors in key order, with the values they can give per target."""
+    """A bounded set of donors in key order, with the values they can give per target, and on request their index."""
 
-    def __init__(self, keys: list, vectors, values: list, digits: int):
+    def __init__(self, keys: list, vectors, values: list, digits: int, index: Pivots | None = None):
         self.keys = keys
-        matrix = _matrix(vectors)
+        matrix = _matrix(vectors).reshape(len(keys), -1)
         self.present = ~np.isnan(matrix)
-        self.columns = np.ascontiguousarray(np.nan_to_num(matrix).T) if keys else matrix.T
+        self.columns = np.ascontiguousarray(np.nan_to_num(matrix).T)
         self.values = values
         self.digits = digits
         count = len(values[0]) if values else 0
-        self.usable = [np.array([v[t] is not None for v in values], dtype=bool) for t in range(count)]
-
-    def squared(self, q: np.ndarray) -> np.ndarray:
+        self.usable = np.array([[v[t] is not None for t in range(count)] for v in values], dtype=bool).reshape(len(keys), count)
+        self.visited = 0  # pairs compared, for those who want to know
+        self.cells = None
+        if index is not None and len(keys):
+            cell, distance, own = index.place(matrix)
+            self.cells = Cells.empty(index, count)
+            self.cells.add(cell, distance, own, matrix, self.usable)
+            # Positions of a cell's donors, in key order.
+            order = np.argsort(cell, kind="stable")
+            self._members = np.split(order, np.cumsum(np.bincount(cell, minlength=index.cells))[:-1])
+
+    def squared(self, q: np.ndarray, among: np.ndarray | slice) -> np.ndarray:
         """Scaled squared distances of query rows with one gap pattern; infinite without a shared feature."""
+        columns, present = self.columns[:, among], self.present[among]
+        total = np.zeros((len(q), columns.shape[1]))
+        shared = np.zeros(columns.shape[1])
         features = np.flatnonzero(~np.isnan(q[0])) if len(q) else []
-        total = np.zeros((len(q), len(self.keys)))
-        shared = np.zeros(len(self.keys))
         for j in features:
-            diff = q[:, j, None] - self.columns[j][None, :]
+            diff = q[:, j, None] - columns[j][None, :]
             diff *= diff
-            if not self.present[:, j].all():
-                diff *= self.present[:, j]
+            if not present[:, j].all():
+                diff *= present[:, j]
             total += diff
-            shared += self.present[:, j]
-        if len(features) < q.shape[1] or (shared < q.shape[1]).any():
+            shared += present[:, j]
+        if (shared < q.shape[1]).any():
             with np.errstate(divide="ignore"):
                 total *= np.where(shared > 0, q.shape[1] / np.maximum(shared, 1), 1.0)
             total[:, shared == 0] = np.inf
+        self.visited += total.size
         return total
 
+    def _compared(self, q: np.ndarray, targets: list[int], k: int, step: int) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+        """(rows of q, positions of donors, their squared distances): whatever can hold a neighbour of these rows."""
+        everyone = np.arange(len(self.keys))
+        if self.cells is None:
+            for start in range(0, len(q), step):
+                rows = np.arange(start, min(start + step, len(q)))
+                yield rows, everyone, self.squared(q[rows], slice(None))
+            return
+        for low in range(0, len(q), 2048):
+            least, most = self.cells.bounds(q[low : low + 2048])
+            first = self.cells.enough(most, targets, k)
+            # Queries of one neighbourhood together, so that they need the same cells.
+            order = np.lexsort((least.argmin(1), most.argmin(1)))
+            for at in range(0, len(order), _TOGETHER):
+                rows = order[at : at + _TOGETHER]
+                seen = first[rows].any(0)
+                among = self._in(seen)
+                part = q[low + rows]
+                square = self.squared(part, among)
+                edge = np.full((len(rows), len(targets)), np.inf)
+                for i, t in enumerate(targets):
+                    known = square[:, self.usable[among, t]]
+                    if known.shape[1] >= k:
+                        edge[:, i] = np.partition(known, k - 1, axis=1)[:, k - 1]
+                more = self.cells.reached(least[rows], edge, targets).any(0) & ~seen
+                if more.any():
+                    others = self._in(more)
+                    square = np.concatenate([square, self.squared(part, others)], axis=1)
+                    among = np.concatenate([among, others])
+                    by_key = np.argsort(among, kind="stable")
+                    among, square = among[by_key], square[:, by_key]
+                yield low + rows, among, square
+
+    def _in(self, cells: np.ndarray) -> np.ndarray:
+        parts = [self._members[i] for i in np.flatnonzero(cells)]
+        return np.sort(np.concatenate(parts)) if parts else np.zeros(0, np.int64)
+
     def search(self, vectors, wanted, k: int, chunk_cells: int = 400_000) -> Iterator[pd.DataFrame]:
         """Hits of the query vectors, in slices small enough to stay in the processor cache."""
         if not self.keys or not len(vectors):
@@ -96,20 +150,18 @@ class _Donors:
         names = ["vec", "target", "near", "distance", "donor", "value"]
         rows: list = []
         for (_, targets), places in patterns.items():
-            for start in range(0, len(places), step):
-                part = places[start : start + step]
-                squared = self.squared(queries[part])
+            places = np.array(places)
+            for part, among, squared in self._compared(queries[places], list(targets), k, step):
                 for t in targets:
-                    usable = self.usable[t]
+                    usable = self.usable[among, t]
                     if not usable.any():
                         continue
                     block = squared if usable.all() else np.where(usable, squared, np.inf)
-                    for i, (row, near) in enumerate(zip(squared, _nearest(block, k, self.digits))):
-                        vec = vectors[part[i]]
-                        rounded = dict(zip(near, significant(row[near], self.digits)))
-                        for p in near:
-                            near_by = float(rounded[p])
-                            rows.append((vec, t, near_by, float(np.sqrt(row[p])), str(self.keys[p]), self.values[p][t]))
+                    for i, row, near in zip(places[part], squared, _nearest(block, k, self.digits), strict=True):
+                        vec = vectors[i]
+                        for p, near_by in zip(near, significant(row[near], self.digits).tolist(), strict=True):
+                            donor = among[p]
+                            rows.append((vec, t, near_by, float(np.sqrt(row[p])), str(self.keys[donor]), self.values[donor][t]))
                 if len(rows) >= 20_000:
                     yield pd.DataFrame(rows, columns=names)
                     rows = []
@@ -149,20 +201,26 @@ def nearest(
     donors, small = settle(donors, donor_rows)
     if small:
         table = _key_order(donors.toPandas())
-        shared = spark.sparkContext.broadcast(
-            (table["key"].tolist(), [list(v) for v in table["vec"]], [list(v) for v in table["values"]])
-        )
+        vectors = [list(v) for v in table["vec"]]
+        matrix = _matrix(vectors).reshape(len(vectors), -1)
+        index = None
+        if len(vectors) > INDEXED_ROWS:
+            sample = matrix[:: -(-len(matrix) // SAMPLE_ROWS)]
+            kinds, counts = np.unique(~np.isnan(matrix), axis=0, return_counts=True)
+            common = np.argsort(-counts, kind="stable")[:MAX_PATTERNS]
+            index = Pivots.learn(sample, {tuple(kinds[i].tolist()): int(counts[i]) for i in common})
+        shared = spark.sparkContext.broadcast((table["key"].tolist(), vectors, [list(v) for v in table["values"]], index))
 
         def search(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-            keys, vectors, values = shared.value
-            pool = _Donors(keys, vectors, values, digits)
+            keys, vectors, values, index = shared.value
+            pool = _Donors(keys, vectors, values, digits, index)
             for pdf in frames:
                 yield from pool.search(pdf["vec"].tolist(), [set(w) for w in pdf["wanted"]], k)
 
         hits = queries.mapInPandas(search, _HITS)
         merged = False
     else:
-        hits = _block_search(queries, donors, k, digits)
+        hits = _cell_search(queries, donors, k, digits)
         merged = True
     kind = donors.schema["key"].dataType
     typed = hits.withColumn("donor", F.col("donor").cast(kind))
@@ -173,117 +231,133 @@ def nearest(
     return ranked.select("vec", "target", "rank", "distance", "donor", "value")
 
 
-# --- blocks -------------------------------------------------------------------------------------
-
-_BLOCK = "block string, n int, pattern array<boolean>, low array<double>, high array<double>, usable array<int>, rows binary"
+# --- cells over the cluster ------------------------------------------------------------------------
 
 
-def _pack(df: DataFrame, size: int, label: str) -> DataFrame:
-    """Blocks of neighbouring vectors: rows are range-partitioned by (gap pattern, coarse cell) and cut
-    into runs of ``size``. Written once, so block ids are fixed."""
-    import pickle
-
+def _learned(donors: DataFrame) -> Pivots:
+    """Pivots from the counts of the commonest gap patterns and a bounded sample of donors: those of the lowest hashes, and one row of each counted pattern."""
     pattern = F.transform("vec", lambda v: v.isNotNull())
-    cell = F.transform("vec", lambda v: F.floor(v))
-    rest = [c for c in df.columns if c != "vec"]
-    placed = (
-        df.withColumn("__p", pattern)
-        .withColumn("__c", cell)
-        .repartitionByRange(partitions(df.sparkSession), "__p", "__c", "vec")
-        .sortWithinPartitions("__p", "__c", "vec", *rest)
-        .drop("__c")
-        .withColumn("__part", F.spark_partition_id())
-    )
-
-    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        held: list = []
-        serial = 0
-        part = 0
-
-        def flush():
-            nonlocal held, serial
-            matrix = _matrix([r[0] for r in held])
-            present = ~np.isnan(matrix[0])
-            low = np.where(present, np.nan_to_num(matrix).min(0), 0.0)
-            high = np.where(present, np.nan_to_num(matrix).max(0), 0.0)
-            others = [r[1] for r in held]
-            if label == "d":
-                usable = [sum(o[1][t] is not None for o in others) for t in range(len(others[0][1]))]
-            else:
-                usable = sorted({t for o in others for t in o[0]})
-            row = (f"{label}{part}-{serial}", len(held), present.tolist(), low.tolist(), high.tolist(), usable, pickle.dumps(held))
-            held, serial = [], serial + 1
-            return pd.DataFrame([row], columns=["block", "n", "pattern", "low", "high", "usable", "rows"])
-
-        current = None
-        for pdf in frames:
-            for p, tag, vec, *others in pdf[["__part", "__p", "vec", *rest]].itertuples(index=False, name=None):
-                part, tag = p, tuple(tag)
-                if held and (tag != current or len(held) >= size):
-                    yield flush()
-                current = tag
-                held.append((list(vec), [list(o) if isinstance(o, np.ndarray) else o for o in others]))
-        if held:
-            yield flush()
-
-    return cut(placed.mapInPandas(run, _BLOCK))
-
-
-def _block_search(queries: DataFrame, donors: DataFrame, k: int, digits: int) -> DataFrame:
-    import pickle
-
-    spark = queries.sparkSession
+    kinds = donors.groupBy(pattern.alias("p")).agg(F.count("*").alias("n"), F.min("vec").alias("vec")).orderBy(F.desc("n"), "p").limit(MAX_PATTERNS).collect()
     total = donors.count()
-    # The block size grows with the table, so the list of bounding boxes stays bounded.
-    donor_blocks = _pack(donors.select("vec", "key", "values"), max(BLOCK_ROWS, -(-total // MAX_BLOCKS)), "d")
-    query_blocks = _pack(queries.select("vec", "wanted"), BLOCK_ROWS // 4, "q")
-    boxes = donor_blocks.select("block", "pattern", "low", "high", "usable").toPandas()
-    names = boxes["block"].tolist()
-    shared = spark.sparkContext.broadcast(
-        tuple(np.array([list(x) for x in boxes[c]], dtype=float) for c in ("pattern", "low", "high", "usable"))
+    share = F.pmod(F.xxhash64("key", "vec"), F.lit(1 << 20)) <= int(min(1.0, SAMPLE_ROWS / max(total, 1)) * (1 << 20))
+    rows = [list(r["vec"]) for r in donors.where(share).select("vec").limit(2 * SAMPLE_ROWS).collect()]
+    sample = _matrix([*rows, *[list(r["vec"]) for r in kinds]])
+    return Pivots.learn(sample, {tuple(r["p"]): r["n"] for r in kinds})
+
+
+def _described(placed: DataFrame, pivots: Pivots, targets: int) -> Cells:
+    """The cells as all donors make them: one row a cell comes to the driver."""
+    width = pivots.patterns.shape[1]
+    at = lambda name, i: F.get(name, F.lit(i))
+    inside = lambda i: F.get("inside", F.lit(i))
+    rows = (
+        placed.groupBy("cell")
+        .agg(
+            F.count("*").alias("n"),
+            F.max("away").alias("radius"),
+            F.bool_and("own").alias("pure"),
+            F.array(*[F.sum(at("values", t).isNotNull().cast("long")) for t in range(targets)]).alias("usable"),
+            F.array(*[F.min(F.when(inside(i), at("vec", i))) for i in range(width)]).alias("low"),
+            F.array(*[F.max(F.when(inside(i), at("vec", i))) for i in range(width)]).alias("high"),
+        )
+        .collect()
     )
+    cells = Cells.empty(pivots, targets)
+    for r in rows:
+        c = r["cell"]
+        cells.rows[c], cells.radius[c], cells.pure[c], cells.usable[c] = r["n"], r["radius"], r["pure"], r["usable"]
+        cells.low[c] = [np.inf if x is None else x for x in r["low"]]
+        cells.high[c] = [-np.inf if x is None else x for x in r["high"]]
+    return cells
+
+
+def _by_pattern(vectors, wanted) -> Iterator[tuple[np.ndarray, np.ndarray, list[int]]]:
+    """(positions, query matrix, wanted targets) of queries alike in gaps and targets, in slices."""
+    queries = _matrix(vectors)
+    groups: dict[tuple, list[int]] = {}
+    for i, gaps in enumerate(np.isnan(queries)):
+        groups.setdefault((tuple(gaps), tuple(sorted(wanted[i]))), []).append(i)
+    for (_, targets), places in groups.items():
+        for low in range(0, len(places), 1024):
+            at = np.array(places[low : low + 1024])
+            yield at, queries[at], list(targets)
+
+
+def _cell_search(queries: DataFrame, donors: DataFrame, k: int, digits: int) -> DataFrame:
+    """Both searches over the cluster: donors are dealt by cell and part and written once; queries travel to the cells they reach."""
+    spark = queries.sparkSession
+    kind = donors.schema["key"].dataType.simpleString()
+    pivots = _learned(donors)
+    learned = spark.sparkContext.broadcast(pivots)
 
-    def candidates(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        pattern, low, high, usable = shared.value
-        width = pattern.shape[1]
+    def place(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        index = learned.value
         for pdf in frames:
-            for block, present, q_low, q_high, wanted in pdf[["block", "pattern", "low", "high", "usable"]].itertuples(index=False, name=None):
-                both = pattern * np.asarray(present, dtype=float)
-                share = both.sum(1)
-                gap = np.maximum(0.0, np.maximum(low - np.asarray(q_high), np.asarray(q_low) - high)) * both
-                reach = np.maximum(high - np.asarray(q_low), np.asarray(q_high) - low) * both
-                with np.errstate(divide="ignore", invalid="ignore"):
-                    scale = np.where(share > 0, width / share, np.inf)
-                    nearest_possible = np.where(share > 0, (gap * gap).sum(1) * scale, np.inf)
-                    farthest = np.where(share > 0, (reach * reach).sum(1) * scale, np.inf)
-                keep = np.zeros(len(share), dtype=bool)
-                order = np.argsort(farthest, kind="stable")
-                for t in wanted:
-                    enough = np.cumsum(usable[order, t]) >= k
-                    bound = farthest[order][enough][0] if enough.any() else np.inf
-                    keep |= (usable[:, t] > 0) & (share > 0) & (nearest_possible <= bound * (1 + 1e-7))
-                picked = np.flatnonzero(keep)
-                yield pd.DataFrame({"q_block": block, "d_block": [names[i] for i in picked]})
-
-    pairs = query_blocks.select("block", "pattern", "low", "high", "usable").repartition(partitions(spark)).mapInPandas(
-        candidates, "q_block string, d_block string"
-    )
-    # A donor block near many query blocks is spread over salts; a pair holds two blocks of bounded size.
-    salts = 8
-    d = donor_blocks.select(F.col("block").alias("d_block"), F.col("rows").alias("d_rows"), F.explode(F.sequence(F.lit(0), F.lit(salts - 1))).alias("salt"))
-    q = query_blocks.select(F.col("block").alias("q_block"), F.col("rows").alias("q_rows"))
-    salted = pairs.withColumn("salt", F.pmod(F.xxhash64("q_block"), F.lit(salts)).cast("int"))
-    work = salted.join(d, ["d_block", "salt"]).drop("salt").join(q, "q_block").repartition(partitions(spark) * 4, "q_block", "d_block")
-
-    def search(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+            matrix = _matrix(pdf["vec"].tolist()).reshape(len(pdf), -1)
+            cell, away, own = index.place(matrix)
+            first = np.searchsorted(index.first, cell, side="right") - 1
+            yield pdf.assign(cell=cell, away=away, own=own, inside=index.patterns[first].tolist())
+
+    placed = cut(donors.mapInPandas(place, f"key {kind}, vec array<double>, values array<string>, cell int, away double, own boolean, inside array<boolean>"))
+    targets = placed.select(F.max(F.size("values"))).first()[0] or 0
+    cells = _described(placed, pivots, targets)
+    known = spark.sparkContext.broadcast(cells)
+    parts = np.maximum(-(-cells.rows // PART_ROWS), 1)
+    part = F.pmod(F.xxhash64("key", "vec"), F.get(F.array(*[F.lit(int(p)) for p in parts]), F.col("cell"))).cast("int")
+    dealt = placed.select("key", "vec", "values", "cell", part.alias("part"))
+
+    def begin(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in frames:
-            for q_rows, d_rows in pdf[["q_rows", "d_rows"]].itertuples(index=False, name=None):
-                asked, held = pickle.loads(q_rows), pickle.loads(d_rows)
-                held.sort(key=lambda r: r[1][0])
-                pool = _Donors([r[1][0] for r in held], [r[0] for r in held], [r[1][1] for r in held], digits)
-                yield from pool.search([r[0] for r in asked], [set(r[1][0]) for r in asked], k)
+            for at, q, asked in _by_pattern(pdf["vec"].tolist(), pdf["wanted"].tolist()):
+                picked = known.value.enough(known.value.bounds(q)[1], asked, k)
+                yield pdf.iloc[at].assign(cells=[np.flatnonzero(p).tolist() for p in picked])
 
-    return work.mapInPandas(search, _HITS)
+    def go_on(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf in frames:
+            edges = [dict(zip(t or [], e or [], strict=True)) for t, e in zip(pdf["targets"].map(_plain), pdf["edges"].map(_plain), strict=True)]
+            for at, q, asked in _by_pattern(pdf["vec"].tolist(), pdf["wanted"].tolist()):
+                least, most = known.value.bounds(q)
+                edge = np.array([[edges[i].get(t, np.inf) for t in asked] for i in at]).reshape(len(at), len(asked))
+                more = known.value.reached(least, edge, asked) & ~known.value.enough(most, asked, k)
+                yield pdf.iloc[at][["vec", "wanted"]].assign(cells=[np.flatnonzero(p).tolist() for p in more])
+
+    visits = "vec array<double>, wanted array<int>, cells array<int>"
+    first = _met(dealt, queries.mapInPandas(begin, visits), k, digits)
+    # Written, since both the second search and the result read it.
+    first = cut(_merged_hits(first, kind, k))
+    edge = first.where(F.col("rank") == k).groupBy("vec").agg(F.collect_list(F.struct("target", "near")).alias("e"))
+    asked = queries.join(edge, "vec", "left").select("vec", "wanted", F.col("e.target").alias("targets"), F.col("e.near").alias("edges"))
+    second = _met(dealt, asked.mapInPandas(go_on, visits), k, digits)
+    return first.drop("rank").unionByName(second)
+
+
+def _plain(x) -> list | None:
+    return None if x is None else list(x)
+
+
+def _merged_hits(hits: DataFrame, kind: str, k: int) -> DataFrame:
+    w = Window.partitionBy("vec", "target").orderBy("near", F.col("donor").cast(kind))
+    return hits.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= k)
+
+
+def _met(dealt: DataFrame, visits: DataFrame, k: int, digits: int) -> DataFrame:
+    """Hits of every part of a cell with the queries that visit it. The queries of a crowded cell come in lots; a part travels
+    once to each of them, so once where there are no more than ``LOT_ROWS``."""
+    asked = visits.select("vec", "wanted", F.explode("cells").alias("cell"))
+    lots = asked.groupBy("cell").agg(F.ceil(F.count("*") / LOT_ROWS).cast("int").alias("lots"))
+    pool = dealt.join(lots, "cell").withColumn("lot", F.explode(F.sequence(F.lit(0), F.col("lots") - 1))).drop("lots")
+    per_cell = dealt.groupBy("cell").agg((F.max("part") + 1).alias("parts"))
+    sent = asked.join(lots, "cell").join(per_cell, "cell").withColumn("lot", F.pmod(F.xxhash64("vec"), F.col("lots")).cast("int"))
+    sent = sent.withColumn("part", F.explode(F.sequence(F.lit(0), F.col("parts") - 1))).drop("lots", "parts")
+
+    def search(held: pd.DataFrame, wanted: pd.DataFrame) -> pd.DataFrame:
+        held = _key_order(held)
+        block = _Donors(held["key"].tolist(), held["vec"].tolist(), [list(v) for v in held["values"]], digits)
+        found = list(block.search(wanted["vec"].tolist(), [set(w) for w in wanted["wanted"]], k))
+        return pd.concat(found) if found else pd.DataFrame(columns=["vec", "target", "near", "distance", "donor", "value"])
+
+    by = ["cell", "part", "lot"]
+    return pool.groupBy(*by).cogroup(sent.groupBy(*by)).applyInPandas(search, _HITS)
 
 
 def feature_vector(features: Sequence[str], scale: dict[str, tuple[float, float]] | None = None, fill: dict[str, float] | None = None):

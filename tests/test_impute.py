@@ -4,7 +4,7 @@ import pytest
 from pyspark.ml import Pipeline
 from pyspark.sql import functions as F
 
-from gapweave.operators import impute, neighbours
+from gapweave.operators import impute, metric_index, neighbours
 from gapweave.plans import imputation
 from gapweave.plans.views import PRODUCT_ROLES, view
 
@@ -48,19 +48,72 @@ def test_knn_fill_is_exact_on_both_paths(products, donor_rows, weights):
     assert np.allclose(got[COLUMNS].to_numpy(float), want)
 
 
-def test_knn_blocks_prune_and_stay_exact(spark, monkeypatch):
-    monkeypatch.setattr(neighbours, "BLOCK_ROWS", 40)
-    rng = np.random.default_rng(2)
-    points = np.round(np.vstack([rng.normal(0, 1, (150, 2)), rng.normal(50, 1, (150, 2))]), 2)
-    donors = spark.createDataFrame([(i, [float(a), float(b)], [str(i)]) for i, (a, b) in enumerate(points)], "key long, vec array<double>, values array<string>")
-    asked = spark.createDataFrame([([float(a), float(b)],) for a, b in rng.normal(25, 20, (40, 2)).round(2)], "vec array<double>").withColumn("wanted", F.array(F.lit(0)))
-    for rows in (1000, 5):
-        hits = neighbours.nearest(asked, donors, 3, donor_rows=rows).collect()
-        assert len(hits) == 3 * 40
-        for vec in {tuple(h.vec) for h in hits}:
-            d = np.round(((points - np.array(vec)) ** 2).sum(1), 9)
-            want = list(np.lexsort((np.arange(len(d)), d))[:3])
-            assert [h.donor for h in sorted((h for h in hits if tuple(h.vec) == vec), key=lambda h: h.rank)] == want
+def gappy_points(width, n, seed, gaps):
+    """Points in clumps, rounded, some with gaps of a few kinds and some with any."""
+    rng = np.random.default_rng(seed)
+    clumps = rng.normal(0, 10, (12, width))
+    points = np.round(clumps[rng.integers(0, 12, n)] + rng.normal(0, 1, (n, width)), 2)
+    kinds = [rng.random(width) < 0.3 for _ in range(3)]
+    for i in range(n):
+        if gaps and rng.random() < 0.5:
+            points[i, kinds[i % 3] if rng.random() < 0.8 else rng.random(width) < 0.5] = np.nan
+    return points
+
+
+def brute_hits(asked, points, usable, k, digits=9):
+    """Per query and target the positions of the k nearest usable points, in the order of the key."""
+    out = {}
+    width = points.shape[1]
+    for i, q in enumerate(asked):
+        shared = ~np.isnan(points) & ~np.isnan(q)
+        diff = np.where(shared, points - q, 0.0)
+        d = (diff * diff).sum(1) * width / np.maximum(shared.sum(1), 1)
+        d[shared.sum(1) == 0] = np.inf
+        d = neighbours.significant(d, digits)
+        for t in range(usable.shape[1]):
+            order = [j for j in np.lexsort((np.arange(len(d)), d)) if usable[j, t] and np.isfinite(d[j])]
+            out[i, t] = order[:k]
+    return out
+
+
+@pytest.mark.parametrize(("width", "gaps"), [(2, False), (2, True), (8, True), (15, True)])
+@pytest.mark.parametrize("rows", [100_000, 5])
+def test_index_finds_the_same_neighbours(spark, monkeypatch, width, gaps, rows):
+    monkeypatch.setattr(neighbours, "INDEXED_ROWS", 10)
+    monkeypatch.setattr(neighbours, "MAX_PATTERNS", 3)
+    monkeypatch.setattr(neighbours, "PART_ROWS", 20)
+    monkeypatch.setattr(neighbours, "LOT_ROWS", 7)
+    points, asked = gappy_points(width, 500, 1, gaps), gappy_points(width, 40, 2, gaps)
+    usable = np.random.default_rng(3).random((500, 2)) < 0.8
+
+    def cells(p):
+        return [None if np.isnan(x) else float(x) for x in p]
+
+    donors = spark.createDataFrame([(i, cells(p), [str(i) if u else None for u in us]) for i, (p, us) in enumerate(zip(points, usable, strict=True))], "key long, vec array<double>, values array<string>")
+    queries = spark.createDataFrame([(cells(p), [0, 1]) for p in asked], "vec array<double>, wanted array<int>")
+    found = {}
+    for h in neighbours.nearest(queries, donors, 4, donor_rows=rows).collect():
+        found.setdefault((tuple(h.vec), h.target), []).append((h["rank"], h.donor))
+    for (i, t), want in brute_hits(asked, points, usable, 4).items():
+        assert [d for _, d in sorted(found.get((tuple(cells(asked[i])), t), []))] == want
+
+
+def test_index_leaves_cells_out():
+    for width in (2, 8, 15):
+        points, asked = gappy_points(width, 4000, 1, False), gappy_points(width, 2000, 1, False)
+        index = metric_index.Pivots.learn(points, {(True,) * width: len(points)}, cell_rows=64)
+        pool = neighbours._Donors(list(range(4000)), [list(p) for p in points], [["x"]] * 4000, 9, index)
+        hits = list(pool.search([list(q) for q in asked], [{0}] * 2000, 5))
+        assert sum(map(len, hits)) == 10_000
+        # The pairs that were compared: cells hold 64 of 4,000 donors.
+        assert pool.visited < 0.15 * 4000 * 2000, (width, pool.visited / 4000 / 2000)
+
+
+def test_a_cell_part_meets_each_lot_of_queries_once(spark):
+    dealt = spark.createDataFrame([(i, [float(i)], ["v"], i % 3, 0) for i in range(30)], "key long, vec array<double>, values array<string>, cell int, part int")
+    visits = spark.createDataFrame([([float(i)], [0], [0, 2]) for i in range(20)], "vec array<double>, wanted array<int>, cells array<int>")
+    plan = neighbours._met(dealt, visits, 2, 9)
+    assert plan.count() == 20 * 2 * 2  # two cells of 10 donors each, two hits a visit
 
 
 def test_label_votes_and_mode_fallback(spark):
