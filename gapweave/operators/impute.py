@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame, functions as F, types as T
 from gapweave.functions.scalars import grade_to_number, number_to_grade, quoted, score_to_grade
 from gapweave.operators.joins import lookup_join, map_values
 from gapweave.operators.neighbours import feature_vector, nearest, significant
+from gapweave.operators.random_trees import SUMS, Forest, grow
 from gapweave.operators.quantiles import medians, quantile_map, quantiles
 from gapweave.operators.rules import replace_columns
 from gapweave.operators.selection import completeness_threshold, fill_percentages, present_count
@@ -249,42 +250,72 @@ def knn_fill(
 
 
 class _Chain:
-    """Fitted coefficient rounds; filling a batch replays them."""
+    """Fitted rounds of models; filling a batch replays them, from the start or from a stored state."""
 
     def __init__(self, means: np.ndarray, spreads: np.ndarray, order: list[int]):
         self.means, self.spreads, self.order = means, spreads, order
-        self.rounds: list[dict[int, np.ndarray]] = []
+        self.rounds: list[dict[int, np.ndarray | Forest]] = []
 
-    def fill(self, raw: np.ndarray) -> tuple[np.ndarray, np.ndarray, float]:
-        """(standardised filled matrix, null mask, greatest change of the last round)."""
+    def begin(self, raw: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(standardised matrix with gaps at the mean, null mask)."""
         x = (raw - self.means) / self.spreads
         missing = np.isnan(x)
-        x = np.where(missing, 0.0, x)
-        change = np.inf if not self.rounds else 0.0
-        for number, coefficients in enumerate(self.rounds):
-            last = number == len(self.rounds) - 1
+        return np.where(missing, 0.0, x), missing
+
+    def go_on(self, x: np.ndarray, missing: np.ndarray, rounds: list[dict]) -> tuple[np.ndarray, float]:
+        """The matrix after more rounds, and the greatest change of a cell in the last of them. A round may hold only its first columns."""
+        change = 0.0
+        for number, fitted in enumerate(rounds):
             for j in self.order:
                 gaps = missing[:, j]
-                if not gaps.any():
+                if j not in fitted or not gaps.any():
                     continue
-                design = np.column_stack([np.ones(gaps.sum()), np.delete(x[gaps], j, axis=1)])
-                new = design @ coefficients[j]
-                if last:
+                new = self._predicted(fitted[j], x[gaps], j)
+                if number == len(rounds) - 1:
                     change = max(change, float(np.abs((new - x[gaps, j]) * self.spreads[j]).max()))
                 x[gaps, j] = new
-        return x, missing, change
+        return x, change
+
+    @staticmethod
+    def _predicted(model: np.ndarray | Forest, x: np.ndarray, j: int) -> np.ndarray:
+        if isinstance(model, Forest):
+            return model.predict(x)
+        return np.column_stack([np.ones(len(x)), np.delete(x, j, axis=1)]) @ model
+
+    def fill(self, raw: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        x, missing = self.begin(raw)
+        return self.go_on(x, missing, self.rounds)[0], missing
+
+
+_STATE = "x array<double>, missing array<boolean>, change double"
+
+
+def _states(frames: Iterator[pd.DataFrame]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    for pdf in frames:
+        if len(pdf):
+            yield np.array(pdf["x"].tolist(), dtype=float), np.array(pdf["missing"].tolist(), dtype=bool)
 
 
 class ChainedImputer(_Step):
-    """Iterative imputation by linear models: each gappy column is regressed on all others, in ascending
-    order of missing cells, until the greatest change falls below ``tolerance`` x the greatest value.
+    """Iterative imputation: each gappy column is modelled by all others, in ascending order of missing cells, until the greatest
+    change of a cell falls below ``tolerance`` x the greatest value.
+
+    ``estimator="linear"``: a round is one pass; tasks return one Gram matrix per gappy column and the small systems are solved on the
+    driver. ``estimator="trees"``: ``trees`` extremely randomised trees per column, one pass per level over all trees of the column, each
+    column on the state that the columns before it left.
 
-    Each round is one pass: tasks replay the earlier rounds on their rows and return one Gram matrix per
-    gappy column; the small systems are solved on the driver. No filled copy of the data is kept."""
+    The state of the chain (standardised cells and gaps) is written every ``store_every`` rounds, with trees every round, so a pass replays
+    few rounds however many there were."""
 
-    def __init__(self, columns: Sequence[str], max_rounds: int = 10, tolerance: float = 1e-3, ridge: float = 1e-6):
+    def __init__(
+        self, columns: Sequence[str], max_rounds: int = 10, tolerance: float = 1e-3, ridge: float = 1e-6, estimator: str = "linear",
+        trees: int = 10, depth: int = 6, seed: int = 42, store_every: int = 5,
+    ):
         super().__init__()
+        if estimator not in ("linear", "trees"):
+            raise ValueError("estimator is linear or trees")
         self.columns, self.max_rounds, self.tolerance, self.ridge = list(columns), max_rounds, tolerance, ridge
+        self.estimator, self.trees, self.depth, self.seed, self.store_every = estimator, trees, depth, seed, store_every
         self.rounds_used = 0
 
     def _learn(self, df):
@@ -295,40 +326,46 @@ class ChainedImputer(_Step):
             *[F.avg(c).alias(f"m{i}") for i, c in enumerate(cells)],
             *[F.stddev_pop(c).alias(f"s{i}") for i, c in enumerate(cells)],
             *[F.count(c).alias(f"c{i}") for i, c in enumerate(cells)],
-            *[F.max(F.abs(c)).alias(f"a{i}") for i, c in enumerate(cells)],
+            *[F.min(c).alias(f"l{i}") for i, c in enumerate(cells)],
+            *[F.max(c).alias(f"h{i}") for i, c in enumerate(cells)],
         ).first()
         n, p = row["n"], len(columns)
         means = np.array([row[f"m{i}"] or 0.0 for i in range(p)])
         spreads = np.array([row[f"s{i}"] or 1.0 for i in range(p)])
+        ends = np.array([[row[f"l{i}"] or 0.0, row[f"h{i}"] or 0.0] for i in range(p)])
         gaps = {i: n - row[f"c{i}"] for i in range(p)}
         order = sorted((i for i in range(p) if 0 < gaps[i] < n), key=lambda i: (gaps[i], i))
         chain = _Chain(means, spreads, order)
-        limit = self.tolerance * max((row[f"a{i}"] or 0.0) for i in range(p))
-        source = df.select(*[c.alias(f"x{i}") for i, c in enumerate(cells)])
-        for _ in range(self.max_rounds if order else 0):
-            sums = {
-                (r["target"], r["pos"]): r["v"]
-                for r in source.mapInPandas(_gram_pass(chain), "target int, pos int, v double")
-                .groupBy("target", "pos")
-                .agg(F.when(F.col("target") < 0, F.max("v")).otherwise(F.sum("v")).alias("v"))
-                .collect()
-            }
-            if chain.rounds and sums.get((-1, 0), 0.0) < limit:
-                break
-            fitted = {}
-            for j in order:
-                size = p + 1
-                gram = np.array([sums.get((j, i), 0.0) for i in range(size * size)]).reshape(size, size)
-                keep = [i for i in range(size) if i != j + 1]
-                a = gram[np.ix_(keep, keep)] + self.ridge * max(gram[0, 0], 1.0) * np.diag([0.0] + [1.0] * (p - 1))
-                fitted[j] = np.linalg.lstsq(a, gram[keep, j + 1], rcond=None)[0]
-            chain.rounds.append(fitted)
-            self.rounds_used = len(chain.rounds)
+        limit = self.tolerance * (np.abs(ends).max() if p else 0.0)
+
+        def begin(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+            for pdf in frames:
+                if len(pdf):
+                    x, missing = chain.begin(pdf.to_numpy(dtype=float))
+                    yield pd.DataFrame({"x": list(x), "missing": list(missing), "change": 0.0})
+
+        if order:
+            state = df.select(*[c.alias(f"x{i}") for i, c in enumerate(cells)]).mapInPandas(begin, _STATE)
+            step = self._tree_round if self.estimator == "trees" else self._linear_round
+            boxes = (ends - means[:, None]) / spreads[:, None]
+            every = 1 if self.estimator == "trees" else self.store_every
+            stored = cut(state)
+            since: list[dict] = []
+            for _ in range(self.max_rounds):
+                fitted, change = step(stored, chain, since, boxes)
+                if fitted is None or (change is not None and change < limit):
+                    break
+                chain.rounds.append(fitted)
+                self.rounds_used = len(chain.rounds)
+                since = [*since, fitted]
+                if len(since) == every:
+                    stored = cut(stored.mapInPandas(_advanced(chain, since), _STATE))
+                    since = []
 
         @F.pandas_udf("array<double>")
         def replay(*batch: pd.Series) -> pd.Series:
             raw = np.column_stack([b.to_numpy(dtype=float) for b in batch])
-            x, missing, _ = chain.fill(raw)
+            x, missing = chain.fill(raw)
             return pd.Series(list(np.where(missing, x * chain.spreads + chain.means, raw)))
 
         def apply(x: DataFrame) -> DataFrame:
@@ -338,16 +375,78 @@ class ChainedImputer(_Step):
 
         return apply
 
+    def _linear_round(self, stored: DataFrame, chain: _Chain, since: list[dict], boxes: np.ndarray) -> tuple[dict, float | None]:
+        """(coefficients per column, greatest change of the round before): one pass for the Gram matrices of all columns."""
+        del boxes
+        p = len(chain.means)
+        sums = {
+            (r["target"], r["pos"]): r["v"]
+            for r in stored.mapInPandas(_gram_pass(chain, since), "target int, pos int, v double")
+            .groupBy("target", "pos")
+            .agg(F.when(F.col("target") < 0, F.max("v")).otherwise(F.sum("v")).alias("v"))
+            .collect()
+        }
+        change = sums.get((-1, 0), 0.0) if chain.rounds else None
+        fitted = {}
+        for j in chain.order:
+            size = p + 1
+            gram = np.array([sums.get((j, i), 0.0) for i in range(size * size)]).reshape(size, size)
+            keep = [i for i in range(size) if i != j + 1]
+            a = gram[np.ix_(keep, keep)] + self.ridge * max(gram[0, 0], 1.0) * np.diag([0.0] + [1.0] * (p - 1))
+            fitted[j] = np.linalg.lstsq(a, gram[keep, j + 1], rcond=None)[0]
+        return fitted, change
+
+    def _tree_round(self, stored: DataFrame, chain: _Chain, since: list[dict], boxes: np.ndarray) -> tuple[dict | None, float | None]:
+        """(forest per column, None), or None for the forests once the written round changed too little."""
+        if chain.rounds:
+            last = stored.agg(F.max("change")).first()[0] or 0.0
+            widest = np.abs(boxes * chain.spreads[:, None] + chain.means[:, None]).max()
+            if last < self.tolerance * widest:
+                return None, None
+        fitted: dict[int, Forest] = {}
+        for j in chain.order:
+            earlier = [*since, dict(fitted)] if fitted else since
+
+            def run(level, j=j, earlier=earlier) -> list:
+                def task(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+                    def batches():
+                        for x, missing in _states(frames):
+                            x, _ = chain.go_on(x, missing, earlier)
+                            known = ~missing[:, j]
+                            yield x[known], x[known, j]
+
+                    yield from level(batches())
+
+                return stored.mapInPandas(task, SUMS).groupBy("tree", "node", "feature").agg(F.sum("n").alias("n"), F.sum("s").alias("s"), F.sum("ss").alias("ss")).collect()
+
+            others = [i for i in range(len(chain.means)) if i != j]
+            fitted[j] = grow(run, boxes, others, self.trees, self.depth, seed=self.seed * 1000 + j)
+        return fitted, None
+
+
+def _advanced(chain: _Chain, rounds: list[dict]):
+    """The state after more rounds, with the greatest change of each row's batch in the last one."""
+
+    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for x, missing in _states(frames):
+            x, change = chain.go_on(x, missing, rounds)
+            yield pd.DataFrame({"x": list(x), "missing": list(missing), "change": change})
+
+    return run
+
 
-def _gram_pass(chain: _Chain):
+def _gram_pass(chain: _Chain, since: list[dict]):
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         p = len(chain.means)
         grams = {j: np.zeros((p + 1, p + 1)) for j in chain.order}
         change = 0.0
         for pdf in frames:
-            x, missing, moved = chain.fill(pdf.to_numpy(dtype=float))
-            if np.isfinite(moved):
-                change = max(change, moved)
+            if not len(pdf):
+                continue
+            change = max(change, float(pdf["change"].max()) if not since else 0.0)
+            x, missing = np.array(pdf["x"].tolist(), dtype=float), np.array(pdf["missing"].tolist(), dtype=bool)
+            x, moved = chain.go_on(x, missing, since)
+            change = max(change, moved)
             design = np.column_stack([np.ones(len(x)), x])
             for j in chain.order:
                 known = design[~missing[:, j]]
@@ -435,15 +534,16 @@ class ForestImputer(_Step):
 
 
 class MultiStageImputer(_Step):
-    """Robust scaling, nearest neighbours weighted by distance, chained equations for what is left, then means.
+    """Robust scaling, nearest neighbours weighted by distance, chained equations (by default with trees) for what is left, then means.
 
     Columns with more than ``max_missing_pct`` percent missing are left alone. ``strategy="zero"`` puts 0
     into every gap instead, as an unscaled fill before the stages would."""
 
     def __init__(
-        self, columns: Sequence[str], key: str, k: int = 5, max_rounds: int = 50, max_missing_pct: float = 50.0, strategy: str = "staged", **options
+        self, columns: Sequence[str], key: str, k: int = 5, max_rounds: int = 50, max_missing_pct: float = 50.0, strategy: str = "staged", estimator: str = "trees", **options
     ):
         super().__init__()
+        self.estimator = estimator
         self.columns, self.key, self.k = list(columns), key, k
         self.max_rounds, self.max_missing_pct, self.strategy, self.options = max_rounds, max_missing_pct, strategy, options
 
@@ -455,7 +555,7 @@ class MultiStageImputer(_Step):
         q = quantile_map(df, columns, [0.25, 0.5, 0.75])
         scale = {c: (q[(c, 0.5)] or 0.0, ((q[(c, 0.75)] or 0.0) - (q[(c, 0.25)] or 0.0)) or 1.0) for c in columns}
         means = column_means(df, columns)
-        chained = ChainedImputer(columns, self.max_rounds)
+        chained = ChainedImputer(columns, self.max_rounds, estimator=self.estimator)
 
         def apply(x: DataFrame) -> DataFrame:
             near = knn_fill(x, columns, self.key, self.k, "distance", donors=df, scale=scale, **self.options)

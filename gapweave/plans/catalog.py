@@ -674,6 +674,12 @@ def chained_line_fill(spark, sf):
     return rounded(impute.ChainedImputer(["x", "p_retailprice"], ridge=0.0).fit(df).transform(df), 4)
 
 
+@query
+def chained_step_fill(spark, sf):
+    """Randomised trees fill a step function of one other column exactly."""
+    return rounded(impute.ChainedImputer(["tier", "size", "step"], estimator="trees").fit(df := view(spark, sf, "part_steps")).transform(df), 4)
+
+
 @query
 def chained_fill(spark, sf):
     df = view(spark, sf, "products")

@@ -734,6 +734,11 @@ _add(
     f"""SELECT p_partkey, CAST(p_partkey AS DOUBLE) AS x, {_r('coalesce(p_retailprice, i + s * p_partkey)', 4)} AS p_retailprice FROM part_m,
  (SELECT regr_intercept(p_retailprice, CAST(p_partkey AS DOUBLE)) AS i, regr_slope(p_retailprice, CAST(p_partkey AS DOUBLE)) AS s FROM part_m) f""",
 )
+_add(
+    "chained_step_fill",
+    "part_steps",
+    "SELECT p_partkey, tier, size, CAST(coalesce(step, CASE p_partkey % 4 WHEN 0 THEN 10 WHEN 1 THEN 70 WHEN 2 THEN 20 ELSE 45 END) AS DOUBLE) AS step FROM part_steps",
+)
 _add(
     "score_grade_fill",
     "products",

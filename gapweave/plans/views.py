@@ -54,6 +54,10 @@ FROM {part}""",
 FROM {part}""",
     # Names whose words are swapped now and then.
     "swapped_names": """SELECT p_partkey, CASE WHEN p_partkey % 40 = 7 THEN concat(split_part(p_name, ' ', 2), ' ', split_part(p_name, ' ', 1)) WHEN p_partkey % 500 = 11 THEN 'zzzz' ELSE p_name END AS label
+FROM {part}""",
+    # A value that one other column determines in steps, beside one that has nothing to do with it.
+    "part_steps": """SELECT p_partkey, CAST(p_partkey % 4 AS DOUBLE) * 25e0 AS tier, CAST(p_size AS DOUBLE) AS size,
+  CASE WHEN p_partkey % 7 = 2 THEN NULL WHEN p_partkey % 4 = 0 THEN 10e0 WHEN p_partkey % 4 = 1 THEN 70e0 WHEN p_partkey % 4 = 2 THEN 20e0 ELSE 45e0 END AS step
 FROM {part}""",
     # Three numeric features with gaps.
     "part_n": """SELECT p_partkey, CAST(p_size AS DOUBLE) AS size,

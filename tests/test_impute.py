@@ -4,7 +4,7 @@ import pytest
 from pyspark.ml import Pipeline
 from pyspark.sql import functions as F
 
-from gapweave.operators import impute, metric_index, neighbours
+from gapweave.operators import impute, metric_index, neighbours, random_trees
 from gapweave.plans import imputation
 from gapweave.plans.views import PRODUCT_ROLES, view
 
@@ -181,6 +181,59 @@ def test_chained_equations_recover_a_plane(spark):
     assert step.rounds_used < 30
 
 
+def test_randomised_trees_against_one_task(spark):
+    """Level sums over many tasks give the forest of one task, and it fits steps of two columns."""
+    rng = np.random.default_rng(4)
+    x = rng.integers(0, 4, (600, 2)).astype(float)
+    y = np.where(x[:, 0] > 1, 10.0, 0.0) + x[:, 1]
+    state = spark.createDataFrame([([*map(float, r), float(t)],) for r, t in zip(x, y, strict=True)], "x array<double>")
+    boxes = np.array([[0.0, 3.0], [0.0, 3.0], [0.0, 13.0]])
+    forests, levels = [], []
+    for parts in (1, 5):
+
+        def run(level, parts=parts):
+            def task(frames):
+                yield from level((m, m[:, 2]) for m in (np.array(pdf["x"].tolist()) for pdf in frames if len(pdf)))
+
+            levels.append(parts)
+            rows = state.repartition(parts).mapInPandas(task, random_trees.SUMS)
+            return rows.groupBy("tree", "node", "feature").agg(F.sum("n").alias("n"), F.sum("s").alias("s"), F.sum("ss").alias("ss")).collect()
+
+        forests.append(random_trees.grow(run, boxes, [0, 1], trees=10, depth=6))
+    one, many = forests
+    assert (one.feature == many.feature).all() and np.allclose(one.threshold, many.threshold) and np.allclose(one.value, many.value)
+    assert levels.count(1) <= 9  # passes for all trees together: the depth, and three for draws that missed
+    data = np.column_stack([x, y])
+    assert np.abs(one.predict(data) - y).max() < 1e-9
+
+
+def test_chained_trees(spark):
+    rng = np.random.default_rng(1)
+    a = rng.integers(0, 5, 500).astype(float)
+    data = pd.DataFrame({"k": range(500), "a": a, "b": np.where(a > 2, 8.0, -3.0), "c": a * 3})
+    truth = data.copy()
+    data.loc[::7, "c"], data.loc[3::11, "b"] = np.nan, np.nan
+    df = spark.createDataFrame(data).withColumns({c: F.when(~F.isnan(c), F.col(c)) for c in "abc"})
+    step = impute.ChainedImputer(["a", "b", "c"], 20, estimator="trees")
+    got = step.fit(df).transform(df).orderBy("k").toPandas()
+    assert np.abs(got.c - truth.c).max() < 1e-6 and np.abs(got.b - truth.b).max() < 1e-6
+    assert step.rounds_used < 20
+    assert impute.ChainedImputer(["a"], estimator="trees").fit(df).transform(df).count() == 500
+    with pytest.raises(ValueError):
+        impute.ChainedImputer(["a"], estimator="boosted")
+
+
+def test_stored_state_gives_the_same_rounds(spark):
+    rng = np.random.default_rng(2)
+    data = pd.DataFrame(rng.normal(size=(300, 3)), columns=list("abc"))
+    data["c"] = data.a - data.b + 0.1 * data.c
+    data.loc[::5, "c"], data.loc[1::6, "a"] = np.nan, np.nan
+    df = spark.createDataFrame(data).withColumns({c: F.when(~F.isnan(c), F.col(c)) for c in "abc"}).withColumn("k", F.monotonically_increasing_id())
+    every, never = impute.ChainedImputer(list("abc"), 12, 1e-9, store_every=2), impute.ChainedImputer(list("abc"), 12, 1e-9, store_every=100)
+    left, right = (s.fit(df).transform(df).orderBy("k").toPandas() for s in (every, never))
+    assert every.rounds_used == never.rounds_used and np.allclose(left[list("abc")], right[list("abc")])
+
+
 def test_stratified_fill_uses_the_global_value_for_small_strata(spark):
     rows = [(i, "big", float(i)) for i in range(25)] + [(100, "big", None), (101, "small", None), (102, None, None), (103, "small", 1000.0)]
     df = spark.createDataFrame(rows, "k int, s string, v double")
