@@ -21,11 +21,15 @@ from gapweave.session import scratch_path
 SLICE_CHARS = 1 << 20
 #: Bytes of a batch that a function is given; a longer row makes one of its own.
 BATCH_BYTES = 4 << 20
+_BATCH_SETTING = "spark.sql.execution.arrow.maxBytesPerBatch"
 _ODD = np.uint64(0x9E3779B97F4A7C15)
 
 
 def ship(spark: SparkSession) -> None:
-    """Makes this package importable in the workers of the session's context, as ``--py-files`` does; once a context."""
+    """Makes this package importable in the workers of the session's context, as ``--py-files`` does; once a context. Rows
+    here are whole texts, so batches of Spark's usual size would hold a large share of an executor: it is lowered unless the session has its own."""
+    if spark.conf.get(_BATCH_SETTING, "") in ("67108864b", "67108864"):
+        spark.conf.set(_BATCH_SETTING, str(BATCH_BYTES))
     sc = spark.sparkContext
     if getattr(sc, "_gapweave_shipped", False):
         return
@@ -137,10 +141,10 @@ class SpanHash:
         """Powers and inverse powers of both bases; those of one slice are kept."""
         if cls._powers and len(cls._powers[0]) >= n:
             return cls._powers
-        size = max(n, SLICE_CHARS + 1)
+        size = 1 << max(n - 1, 1).bit_length()
         own = [np.cumprod(np.concatenate([np.ones(1, np.uint64), np.full(size - 1, np.uint64(b))]), dtype=np.uint64) for b in (cls._base, pow(cls._base, -1, 1 << 64))]
         own += [_power_table(b, cls._prime, size) for b in (cls._second, pow(cls._second, -1, cls._prime))]
-        if size == SLICE_CHARS + 1:
+        if size <= 2 * SLICE_CHARS:
             cls._powers = tuple(own)
         return tuple(own)
 

@@ -36,6 +36,8 @@ BLOCK_NODES, BLOCK_SHINGLES = 512, 400_000
 #: Shingles of one matrix product.
 _COLUMNS = 1 << 12
 _PIECE_WORDS = 100_000
+#: Characters whose shingles are worked out together.
+_TEXT_SLICE = 1 << 18
 _ODD = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -49,7 +51,7 @@ def bags(texts: list[str], words: int = WORDS) -> tuple[np.ndarray, np.ndarray,
             strings.append(" ".join(parts[at : at + _PIECE_WORDS + words - 1]))
             owners.append(i)
     found = []
-    for low, high in slices(strings):
+    for low, high in slices(strings, _TEXT_SLICE):
         part = [s.encode("utf-8", "surrogatepass") for s in strings[low:high]]
         codes = np.frombuffer(b"\n".join(part), np.uint8)
         if not len(codes):
@@ -116,7 +118,7 @@ def _nodes(docs: DataFrame, key: str, text: str, words: int, bands: int, rows: i
     def work(batch: pa.RecordBatch):
         texts = texts_of(batch)
         nodes, buckets = np.zeros(len(texts), np.uint64), np.zeros((len(texts), bands), np.uint64)
-        for low, high in slices(texts):
+        for low, high in slices(texts, _TEXT_SLICE):
             owner, shingles, weights = bags(texts[low:high], words)
             n = high - low
             np.add.at(nodes, low + owner, mix(mix(shingles) + weights.astype(np.uint64)))
@@ -141,7 +143,7 @@ def _fetch(docs: DataFrame, key: str, text: str, places: DataFrame, words: int)
 
     def work(batch: pa.RecordBatch):
         texts = [t or "" for t in unpacked(batch.column(1))]
-        for low, high in slices(texts):
+        for low, high in slices(texts, _TEXT_SLICE):
             owner, shingles, weights = bags(texts[low:high], words)
             ends = np.searchsorted(owner, np.arange(high - low + 1)).astype(np.int32)
             yield pa.RecordBatch.from_arrays(
