@@ -622,6 +622,24 @@ def iterative_labels(
     columns, features = list(columns), [f for f in features if f in df.columns]
     if not features:
         return df, df.select(F.col(quoted(key)), F.lit("").alias("column"), F.lit(0.0).alias("confidence"), F.lit("").alias("stage")).limit(0)
+    state = label_pass_state(df, columns, key, features, percentiles, confidences, last_confidence, k, **options)
+    table = state.select(F.col(quoted(key)), F.explode("__conf").alias("i")).select(quoted(key), "i.*")
+    return state.drop("__conf"), table
+
+
+def label_pass_state(
+    df: DataFrame,
+    columns: Sequence[str],
+    key: str,
+    features: Sequence[str],
+    percentiles: Sequence[float] = rt.LABEL_PERCENTILES,
+    confidences: Sequence[float] = rt.LABEL_CONFIDENCE,
+    last_confidence: float = rt.LABEL_LAST_CONFIDENCE,
+    k: int = 5,
+    **options,
+) -> DataFrame:
+    """The filled frame with its notes in ``__conf``, an array of (column, confidence, stage)."""
+    columns = list(columns)
     entry = "array<struct<column:string,confidence:double,stage:string>>"
     state = df.withColumn("__conf", F.array().cast(entry))
     passes = [(p, c, f"labels-{i + 1}", 20) for i, (p, c) in enumerate(zip(percentiles, confidences))]
@@ -646,8 +664,7 @@ def iterative_labels(
         ).cast(entry)
         filled = filled.withColumn("__conf", F.concat("__conf", new)).drop("__label_null")
         state = cut(filled if rest is None else filled.unionByName(rest))
-    table = state.select(F.col(quoted(key)), F.explode("__conf").alias("i")).select(quoted(key), "i.*")
-    return state.drop("__conf"), table
+    return state
 
 
 def impute_numbers(df: DataFrame, method: str, columns: Sequence[str], key: str, **options) -> DataFrame:

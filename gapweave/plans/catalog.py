@@ -746,7 +746,7 @@ def fill_guarantees(spark, sf):
 def full_imputation_gaps(spark, sf):
     """Cells noted per column by the full run, and the gaps it leaves."""
     p = view(spark, sf, "products")
-    run = imputation.ImputationRun("code", PRODUCT_ROLES, levels=(("high", 0.8),), max_iterations=1, stratified=False)
+    run = imputation.ImputationRun("code", PRODUCT_ROLES, relations=True)
     done = run.fit_transform(p)
     noted = run.confidence.groupBy("column").agg(F.count("*").alias("noted"))
     left = done.agg(*[F.count_if(F.col(c).isNull()).alias(c) for c in p.columns]).unpivot([], p.columns, "column", "left")
@@ -779,23 +779,35 @@ def confidence_report(spark, sf):
 
 @query
 def full_imputation(spark, sf):
-    return imputation.ImputationRun("code", PRODUCT_ROLES, levels=(("high", 0.8),), max_iterations=1).fit_transform(view(spark, sf, "products"))
+    return imputation.ImputationRun("code", PRODUCT_ROLES, relations=True).fit_transform(view(spark, sf, "products"))
 
 
 @query
 def full_imputation_report(spark, sf):
-    run = imputation.ImputationRun("code", PRODUCT_ROLES, levels=(("high", 0.8),), max_iterations=1, stratified=False)
+    run = imputation.ImputationRun("code", PRODUCT_ROLES, relations=True)
     run.fit_transform(view(spark, sf, "products"))
     return run.report()
 
 
+@query
+def run_quality(spark, sf):
+    """One run over all columns scores every one: cells hidden, and whether each column's error and hits are those of a filled column."""
+    p = view(spark, sf, "products")
+    tested = [c for c in p.columns if c != "code"]
+    run = lambda x: imputation.ImputationRun("code", PRODUCT_ROLES).fit_transform(x)
+    scores = imputation.imputation_quality(p, "code", run, mask=lambda c: F.col("code") % len(tested) == tested.index(c))
+    measured = F.when(F.col("kind") == "number", F.col("rmse").isNotNull() & F.col("mae").isNotNull()).otherwise(F.col("accuracy").isNotNull())
+    return scores.select("column", "kind", "hidden", measured.alias("measured"))
+
+
 @query
 def single_level_imputation(spark, sf):
-    return imputation.single_level_run("code", PRODUCT_ROLES, max_iterations=1).fit_transform(view(spark, sf, "products"))
+    return imputation.single_level_run("code", PRODUCT_ROLES).fit_transform(view(spark, sf, "products"))
 
 
 @query
 def imputation_quality(spark, sf):
+    """Scores of a constant fill, which SQL can follow."""
     df = view(spark, sf, "products").select("code", "energy", "sugars", "grp")
 
     def fill(x: DataFrame) -> DataFrame:

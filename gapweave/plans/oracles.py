@@ -809,6 +809,17 @@ _add(
 )
 
 
+_TESTED = [c for c in _PRODUCT_NAMES if c != "code"]
+_add(
+    "run_quality",
+    "products",
+    _union(
+        f"SELECT '{c}' AS \"column\", '{'text' if c in ('grp', 'grade') else 'number'}' AS kind, count({c}) AS hidden, TRUE AS measured FROM products WHERE code % {len(_TESTED)} = {i}"
+        for i, c in enumerate(_TESTED)
+    ),
+)
+
+
 def _label_pass(out: str, source: str, focus: str) -> list[str]:
     """One pass of label votes among the rows in focus."""
     fills = ", ".join(f"median({c}) AS f_{c}" for c in ("size", "price", "weight"))
