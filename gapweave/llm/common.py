@@ -28,7 +28,7 @@ _ODD = np.uint64(0x9E3779B97F4A7C15)
 def ship(spark: SparkSession) -> None:
     """Makes this package importable in the workers of the session's context, as ``--py-files`` does; once a context. Rows
     here are whole texts, so batches of Spark's usual size would hold a large share of an executor: it is lowered unless the session has its own."""
-    if spark.conf.get(_BATCH_SETTING, "") in ("67108864b", "67108864"):
+    if spark.conf.get(_BATCH_SETTING, "64m") in ("64m", "67108864b"):
         spark.conf.set(_BATCH_SETTING, str(BATCH_BYTES))
     sc = spark.sparkContext
     if getattr(sc, "_gapweave_shipped", False):
