@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable, Sequence
 
 from pyspark.errors import AnalysisException
@@ -38,19 +39,54 @@ def fingerprint(spark: SparkSession, path: str, by_content: bool = False) -> str
 def cached_load(
     spark: SparkSession, path: str, cache_dir: str, load: Callable[[SparkSession, str], DataFrame], by_content: bool = False, force: bool = False
 ) -> DataFrame:
-    """The parsed frame as Parquet, written once per state of the source. A changed source, or ``force``,
-    gets a new snapshot; nothing is overwritten. A snapshot counts once its writer has marked it as finished; what a
-    failed write left behind is written again."""
+    """The parsed frame as Parquet, written once per state of the source. A changed source, or ``force``, gets a new snapshot; nothing is
+    overwritten, so readers of an older snapshot go on undisturbed. A snapshot is written aside and counts once a pointer names it; of
+    several pointers the last one counts. What a failed write left behind is never named."""
     root = f"{cache_dir.rstrip('/')}/{fingerprint(spark, path, by_content)}"
-    place = spark._jvm.org.apache.hadoop.fs.Path(f"{root}/_SUCCESS")
-    finished = place.getFileSystem(spark._jsc.hadoopConfiguration()).exists(place)
-    if force or not finished:
-        load(spark, path).write.mode("overwrite").parquet(root)
-    return spark.read.parquet(root)
+    published = _published(spark, root)
+    if published is None or force:
+        snapshot = f"snapshot-{uuid.uuid4().hex}"
+        load(spark, path).write.parquet(f"{root}/{snapshot}")
+        published = _publish(spark, root, snapshot)
+    return spark.read.parquet(f"{root}/{published}")
+
+
+def _files(spark: SparkSession, path: str):
+    """(file system, path) of a place that Spark can reach."""
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return place.getFileSystem(spark._jsc.hadoopConfiguration()), place
+
+
+def _pointers(spark: SparkSession, root: str) -> list[str]:
+    files, place = _files(spark, f"{root}/pointers")
+    return sorted(f.getPath().getName() for f in files.listStatus(place)) if files.exists(place) else []
+
+
+def _published(spark: SparkSession, root: str) -> str | None:
+    """Name of the published snapshot. A pointer's name says it all: a serial number, then the snapshot."""
+    found = [p for p in _pointers(spark, root) if p[:12].isdigit()]
+    return found[-1][13:] if found else None
+
+
+def _publish(spark: SparkSession, root: str, snapshot: str) -> str:
+    """Adds a pointer behind all others. Pointers are empty files, so there is no half-written one; of two writers with one
+    serial number the later name counts, for all readers alike."""
+    found = [int(p[:12]) for p in _pointers(spark, root) if p[:12].isdigit()]
+    files, place = _files(spark, f"{root}/pointers/{max(found, default=0) + 1:012d}-{snapshot}")
+    files.create(place, False).close()
+    return snapshot
 
 
 def save_version(df: DataFrame, root: str, version: str) -> None:
-    df.write.parquet(f"{root.rstrip('/')}/version={version}")
+    """Stores a version once: written aside under a hidden name, then moved to its place in one step. A version that is there already raises."""
+    spark, name = df.sparkSession, f"{root.rstrip('/')}/version={version}"
+    files, target = _files(spark, name)
+    if files.exists(target):
+        raise FileExistsError(name)
+    aside = f"{root.rstrip('/')}/_writing-{uuid.uuid4().hex}"
+    df.write.parquet(aside)
+    if files.exists(target) or not files.rename(_files(spark, aside)[1], target):
+        raise FileExistsError(name)
 
 
 def versions(spark: SparkSession, root: str) -> list[str]:

@@ -130,15 +130,41 @@ def test_nested_groups_come_in_bounded_parts(spark, tmp_path):
 def test_unfinished_snapshot_is_written_again(spark, tmp_path):
     source = tmp_path / "in.csv"
     source.write_text("a\n1\n2\n")
+    broken = lambda s, p: s.read.csv(p, header=True).where(F.raise_error(F.lit("stopped")).cast("boolean"))
     load = lambda s, p: s.read.csv(p, header=True)
     cache = str(tmp_path / "cache")
+    with pytest.raises(Exception, match="stopped"):
+        tables.cached_load(spark, str(source), cache, broken)
     assert tables.cached_load(spark, str(source), cache, load).count() == 2
-    (snapshot,) = os.listdir(cache)
-    os.remove(f"{cache}/{snapshot}/_SUCCESS")
-    for part in os.listdir(f"{cache}/{snapshot}"):
-        if part.startswith("part-"):
-            os.remove(f"{cache}/{snapshot}/{part}")
-    assert tables.cached_load(spark, str(source), cache, load).count() == 2
+
+
+def test_readers_outlive_a_forced_load(spark, tmp_path):
+    """A frame read from one snapshot still gives its rows after another load has replaced it, and while it is replaced."""
+    source = tmp_path / "in.csv"
+    source.write_text("a\n1\n2\n")
+    cache = str(tmp_path / "cache")
+    old = tables.cached_load(spark, str(source), cache, lambda s, p: s.read.csv(p, header=True))
+    during = []
+
+    def load(s, p):
+        during.append(tables.cached_load(s, str(source), cache, load).count())
+        return s.read.csv(p, header=True).union(s.createDataFrame([("3",)], "a string"))
+
+    new = tables.cached_load(spark, str(source), cache, load, force=True)
+    assert (old.count(), during, new.count()) == (2, [2], 3)
+    assert tables.cached_load(spark, str(source), cache, load).count() == 3
+
+
+def test_a_version_is_stored_once_and_whole(spark, tmp_path):
+    root = str(tmp_path / "v")
+    df = spark.createDataFrame([("a",)], "line string")
+    with pytest.raises(Exception, match="stopped"):
+        tables.save_version(df.where(F.raise_error(F.lit("stopped")).cast("boolean")), root, "1")
+    assert tables.versions(spark, root) == []
+    tables.save_version(df, root, "1")
+    with pytest.raises(FileExistsError):
+        tables.save_version(df.union(df), root, "1")
+    assert tables.read_version(spark, root, "1").count() == 1
 
 
 def test_scan_refuses_files_with_another_header(spark, tmp_path):
