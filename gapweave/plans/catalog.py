@@ -882,8 +882,8 @@ def profile_clusters(spark, sf):
 def preprocessed_features(spark, sf):
     df = view(spark, sf, "part_m").select("p_partkey", "p_type", F.col("p_size").cast("double").alias("p_size"), "p_retailprice")
     out = Pipeline(stages=models.preprocessing(["p_size", "p_retailprice"], ["p_type"])).fit(df).transform(df)
-    cells = out.select("p_partkey", vector_to_array("features").alias("f"))
-    return cells.select("p_partkey", *[rnd(F.get("f", F.lit(i))).alias(f"f{i}") for i in range(8)])
+    cells = out.select("p_partkey", F.posexplode(vector_to_array("features")).alias("position", "value"))
+    return cells.select("p_partkey", "position", rnd(F.col("value")).alias("value"))
 
 
 @query

@@ -901,10 +901,11 @@ _add(
 _add(
     "preprocessed_features",
     "part_m",
-    "SELECT p_partkey, "
-    + ", ".join(f"CAST(t = '{v}' AS INTEGER) + 0e0 AS f{i}" for i, v in enumerate(["ECONOMY", "LARGE", "MEDIUM", "PROMO", "SMALL", "STANDARD"]))
-    + f", {_r('(a - avg(a) OVER ()) / stddev_samp(a) OVER ()')} AS f6, {_r('(b - avg(b) OVER ()) / stddev_samp(b) OVER ()')} AS f7 FROM x",
+    f"""SELECT p_partkey, CAST(k.i AS INTEGER) AS position, CAST(x.t = k.t AS INTEGER) + 0e0 AS value FROM x CROSS JOIN k
+ UNION ALL SELECT p_partkey, CAST((SELECT count(*) FROM k) AS INTEGER), {_r('(a - avg(a) OVER ()) / stddev_samp(a) OVER ()')} FROM x
+ UNION ALL SELECT p_partkey, CAST((SELECT count(*) FROM k) + 1 AS INTEGER), {_r('(b - avg(b) OVER ()) / stddev_samp(b) OVER ()')} FROM x""",
     f"x AS (SELECT p_partkey, coalesce(p_type, {_top('p_type', 'part_m')}) AS t, CAST(p_size AS DOUBLE) AS a, coalesce(p_retailprice, {_median('p_retailprice', 'part_m')}) AS b FROM part_m)",
+    "k AS (SELECT t, row_number() OVER (ORDER BY t) - 1 AS i FROM (SELECT DISTINCT t FROM x) y)",
 )
 _add(
     "detected_tasks",
