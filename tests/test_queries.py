@@ -8,7 +8,7 @@ from tests.compare import check, connect
 
 SLOW = {
     "full_imputation", "full_imputation_report", "single_level_imputation", "strata", "compared_models", "compared_regressions", "feature_importances",
-    "iterative_label_fill", "iterative_label_confidence", "feature_relations", "fill_guarantees", "full_imputation_gaps",
+    "iterative_label_fill", "iterative_label_confidence", "feature_relations", "fill_guarantees", "full_imputation_gaps", "run_quality",
 }
 
 
