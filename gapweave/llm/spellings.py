@@ -37,6 +37,7 @@ _HELD = 1 << 17
 _BASE = np.uint64(0xD6E8FEB86659FD93)
 _BACK = np.uint64(pow(int(_BASE), -1, 1 << 64))
 _ODD = 0x9E3779B97F4A7C15
+_OWN = 1 << 32
 _VALUES = mix(np.arange(1, SYMBOLS + 1, dtype=np.uint64))
 
 
@@ -89,8 +90,8 @@ def _salt(size: int) -> np.uint64:
 
 
 def letter_sets(codes: np.ndarray) -> np.ndarray:
-    """64 bits for the letters of each word. One edit changes two of them at most."""
-    return np.bitwise_or.reduce(np.uint64(1) << (mix(codes.astype(np.uint64) + np.uint64(_ODD)) & np.uint64(63)), axis=1)
+    """32 bits for the letters of each word. One edit changes two of them at most."""
+    return np.bitwise_or.reduce(np.uint64(1) << (mix(codes.astype(np.uint64) + np.uint64(_ODD)) & np.uint64(31)), axis=1)
 
 
 def _reduced(codes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -161,9 +162,10 @@ def near_pairs(words: DataFrame) -> DataFrame:
         for at, codes in _by_length(batch.column(1).to_pylist(), _CELLS // SYMBOLS):
             own, number, hashes = neighbourhood(codes)
             letters, who = letter_sets(codes), ids[at]
-            plain = np.concatenate([np.ones(len(own), bool), np.zeros(len(hashes), bool)])
-            arrays = [np.concatenate([own, hashes]).view(np.int64), np.concatenate([who, who[number]]), np.concatenate([letters, letters[number]]).view(np.int64), plain]
-            yield pa.RecordBatch.from_arrays([pa.array(x) for x in arrays], ["meet", "a", "letters", "own"])
+            # The reduced form itself has the bit above the letters.
+            marked = np.concatenate([letters | np.uint64(_OWN), letters[number]])
+            arrays = [np.concatenate([own, hashes]).view(np.int64), np.concatenate([who, who[number]]), marked.view(np.int64)]
+            yield pa.RecordBatch.from_arrays([pa.array(x) for x in arrays], ["meet", "a", "letters"])
 
     def reduce(batch: pa.RecordBatch):
         ids = batch.column(0).to_numpy(zero_copy_only=False)
@@ -172,11 +174,12 @@ def near_pairs(words: DataFrame) -> DataFrame:
             yield pa.RecordBatch.from_arrays([pa.array(x) for x in arrays], ["m", "b", "l"])
 
     bare = numbered.select("id", "word")
-    probes = map_batches(bare, generate, "meet long, a long, letters long, own boolean")
+    probes = map_batches(bare, generate, "meet long, a long, letters long")
     reduced = map_batches(bare, reduce, "m long, b long, l long")
     # Pairs whose letters differ by more than one edit can change are dropped inside the join.
-    alike = F.bit_count(F.col("letters").bitwiseXOR(F.col("l"))) <= 2
-    met = probes.join(reduced, (F.col("meet") == F.col("m")) & (F.col("a") != F.col("b")) & (~F.col("own") | (F.col("a") < F.col("b"))) & alike).select("a", "b")
+    alike = F.bit_count(F.col("letters").bitwiseAND(_OWN - 1).bitwiseXOR(F.col("l"))) <= 2
+    once = (F.col("letters") < _OWN) | (F.col("a") < F.col("b"))
+    met = probes.join(reduced, (F.col("meet") == F.col("m")) & (F.col("a") != F.col("b")) & once & alike).select("a", "b")
     # A number that two words share only adds pairs here.
     left = numbered.select(F.col("id").alias("a"), F.col("word").alias("wa"), F.col("n").alias("na"))
     right = numbered.select(F.col("id").alias("b"), F.col("word").alias("wb"), F.col("n").alias("nb"))
