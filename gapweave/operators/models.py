@@ -7,7 +7,7 @@ from dataclasses import dataclass, field
 
 import numpy as np
 from pyspark.ml import Pipeline, PipelineModel
-from pyspark.ml.classification import GBTClassifier, LinearSVC, LogisticRegression, OneVsRest, RandomForestClassifier
+from pyspark.ml.classification import GBTClassifier, LogisticRegression, OneVsRest, RandomForestClassifier
 from pyspark.ml.clustering import KMeans
 from pyspark.ml.evaluation import ClusteringEvaluator, MulticlassClassificationEvaluator, RegressionEvaluator
 from pyspark.ml.feature import PCA, OneHotEncoder, StandardScaler, StringIndexer, VectorAssembler
@@ -18,6 +18,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from gapweave.functions.scalars import quoted
 from gapweave.operators.impute import ConstantImputer, fill_constants
+from gapweave.operators.kernels import SupportVectorMachine
 from gapweave.operators.neighbours import feature_vector
 from gapweave.operators.quantiles import medians
 from gapweave.operators.selection import columns_of_kind, exact_sample, fill_percentages, hash_order, split
@@ -275,20 +276,22 @@ def default_models(task: str, rows: int, seed: int = 42) -> dict[str, tuple]:
     strengths = [1.0 / (c * max(rows, 1)) for c in (0.1, 1.0, 10.0)]
     if task == "classification":
         logistic = LogisticRegression(maxIter=1000)
-        svc = LinearSVC()
+        svc = SupportVectorMachine(True, seed=seed)
         gbt = GBTClassifier(maxIter=100, seed=seed)
         forest = RandomForestClassifier(numTrees=100, seed=seed)
         return {
             "LogisticRegression": (logistic, ParamGridBuilder().addGrid(logistic.regParam, strengths).addGrid(logistic.elasticNetParam, [0.0, 0.5]).build()),
-            "LinearSVC": (OneVsRest(classifier=svc), ParamGridBuilder().addGrid(svc.regParam, strengths).build()),
+            "SVC": (svc, ParamGridBuilder().addGrid(svc.cost, [0.1, 1.0, 10.0]).addGrid(svc.kernel, ["linear", "rbf"]).build()),
             "GradientBoosting": (OneVsRest(classifier=gbt), ParamGridBuilder().addGrid(gbt.stepSize, [0.05, 0.1]).addGrid(gbt.maxDepth, [3, 5]).build()),
             "RandomForest": (forest, ParamGridBuilder().addGrid(forest.maxDepth, [10, 20]).addGrid(forest.minInstancesPerNode, [1, 2]).build()),
         }
     line = LinearRegression()
+    svr = SupportVectorMachine(False, seed=seed)
     gbt = GBTRegressor(maxIter=100, seed=seed)
     forest = RandomForestRegressor(numTrees=100, seed=seed)
     return {
         "ElasticNet": (line, ParamGridBuilder().addGrid(line.regParam, [0.1, 1.0]).addGrid(line.elasticNetParam, [0.2, 0.5, 0.8]).build()),
+        "SVR": (svr, ParamGridBuilder().addGrid(svr.cost, [0.1, 1.0]).addGrid(svr.kernel, ["linear", "rbf"]).build()),
         "GradientBoosting": (gbt, ParamGridBuilder().addGrid(gbt.stepSize, [0.05, 0.1]).addGrid(gbt.maxDepth, [3, 5]).build()),
         "RandomForest": (forest, ParamGridBuilder().addGrid(forest.maxDepth, [10, 20]).addGrid(forest.minInstancesPerNode, [1, 2]).build()),
     }
@@ -344,7 +347,7 @@ def compare_models(
             model = search.fit(ready)
             scores = model.avgMetrics
             chosen = grid[int(np.argmax(scores) if evaluator.isLargerBetter() else np.argmin(scores))]
-            text = ", ".join(f"{p.name}={v:g}" for p, v in sorted(chosen.items(), key=lambda x: x[0].name))
+            text = ", ".join(f"{p.name}={v if isinstance(v, str) else format(v, 'g')}" for p, v in sorted(chosen.items(), key=lambda x: x[0].name))
             predicted = model.bestModel.transform(held)
             if task == "classification":
                 m = classification_metrics(predicted, "label", "prediction").first()
