@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Observation, SparkSession, functions as F
 
 from gapweave.functions.scalars import clip, iso_to_timestamp, quoted, unix_to_date
 from gapweave.plans import rule_tables as rt
@@ -39,6 +39,22 @@ def check_integrity(
     return out
 
 
+def _broken(
+    df: DataFrame, limits: Mapping[str, float], pairs: Sequence[tuple[str, str]], columns: Mapping[str, str]
+) -> list[tuple[str, Column, Column]]:
+    """(rule, condition, value) of every rule of ``check_integrity``, in its order."""
+    role_limits = _role_limits(df, limits, columns)
+    found = [(f"{c} > {v:g}", F.col(quoted(c)) > v, F.col(quoted(c))) for c, v in role_limits.items()]
+    cleared: dict[str, Column] = {c: _limited(c, v) for c, v in role_limits.items()}
+    for part, whole in pairs:
+        a, b = columns.get(part), columns.get(whole)
+        if a in df.columns and b in df.columns:
+            ca, cb = cleared.get(a, F.col(quoted(a))), cleared.get(b, F.col(quoted(b)))
+            found.append((f"{a} > {b}", ca > cb, ca))
+            cleared[a] = F.when(ca > cb, F.lit(None)).otherwise(ca)
+    return found
+
+
 def integrity_violations(
     df: DataFrame,
     key: str,
@@ -47,25 +63,37 @@ def integrity_violations(
     columns: Mapping[str, str] = rt.PRODUCT_COLUMNS,
 ) -> DataFrame:
     """One row (key, rule, value) per cell that ``check_integrity`` clears."""
-    role_limits = _role_limits(df, limits, columns)
-
-    def after_limit(c: str) -> Column:
-        return _limited(c, role_limits[c]) if c in role_limits else F.col(quoted(c))
-
     items = [
-        F.when(F.col(quoted(c)) > v, F.struct(F.lit(f"{c} > {v:g}").alias("rule"), F.col(quoted(c)).cast("double").alias("value")))
-        for c, v in role_limits.items()
+        F.when(bad, F.struct(F.lit(rule).alias("rule"), value.cast("double").alias("value"))) for rule, bad, value in _broken(df, limits, pairs, columns)
     ]
-    cleared: dict[str, Column] = {}
-    for part, whole in pairs:
-        a, b = columns.get(part), columns.get(whole)
-        if a in df.columns and b in df.columns:
-            ca, cb = cleared.get(a, after_limit(a)), cleared.get(b, after_limit(b))
-            items.append(F.when(ca > cb, F.struct(F.lit(f"{a} > {b}").alias("rule"), ca.cast("double").alias("value"))))
-            cleared[a] = F.when(ca > cb, F.lit(None)).otherwise(ca)
     return df.select(F.col(quoted(key)), F.explode(F.array_compact(F.array(*items))).alias("v")).select(quoted(key), "v.*")
 
 
+def _observed(df: DataFrame, counters: Mapping[str, Column], name: str | None) -> tuple[DataFrame, Observation | None]:
+    """The frame with its counters; without a name as an ``Observation``, with one for the progress of a stream."""
+    seen = Observation() if name is None else None
+    return df.observe(seen if name is None else name, *[c.alias(k) for k, c in counters.items()]), seen
+
+
+def observed_integrity(
+    df: DataFrame,
+    limits: Mapping[str, float] = rt.LIMITS_KJ,
+    pairs: Sequence[tuple[str, str]] = rt.PART_OF,
+    columns: Mapping[str, str] = rt.PRODUCT_COLUMNS,
+    name: str | None = None,
+) -> tuple[DataFrame, Observation | None]:
+    """``check_integrity`` with the number of cells that every rule clears, counted in the pass that writes the result.
+
+    The counts are there after the first action on the frame."""
+    counted, seen = _observed(df, {rule: F.count_if(bad) for rule, bad, _ in _broken(df, limits, pairs, columns)}, name)
+    return check_integrity(counted, limits, pairs, columns), seen
+
+
+def counter_rows(spark: SparkSession, counts: Mapping[str, int]) -> DataFrame:
+    """(rule, n) of observed counters."""
+    return spark.createDataFrame([(k, int(v)) for k, v in counts.items()], "rule string, n long")
+
+
 def check_grades(
     df: DataFrame,
     columns: Mapping[str, str] = rt.PRODUCT_COLUMNS,
@@ -253,14 +281,17 @@ def fix_energy_macros(df: DataFrame, columns: Mapping[str, str] = rt.PRODUCT_COL
     return replace_columns(df, changes)
 
 
-def relation_summary(df: DataFrame, columns: Mapping[str, str] = rt.PRODUCT_COLUMNS) -> DataFrame:
-    """Checked, consistent and inconsistent rows per relation; one aggregation over the input."""
+def _relation_counters(columns: Mapping[str, str]) -> dict[str, Column]:
     flags = _relation_flags(columns)
-    wide = df.agg(
-        *[F.count_if(flags[f"{r}_checked"]).alias(f"{r}_checked") for r in ("salt", "energy")],
-        *[F.count_if(flags[f"{r}_checked"] & flags[f"{r}_off"]).alias(f"{r}_off") for r in ("salt", "energy")],
-        *[F.count_if(flags[f"{m}_solvable"]).alias(f"{m}_solved") for m in rt.MACRO_CAPS],
-    )
+    return {
+        **{f"{r}_checked": F.count_if(flags[f"{r}_checked"]) for r in ("salt", "energy")},
+        **{f"{r}_off": F.count_if(flags[f"{r}_checked"] & flags[f"{r}_off"]) for r in ("salt", "energy")},
+        **{f"{m}_solved": F.count_if(flags[f"{m}_solvable"]) for m in rt.MACRO_CAPS},
+    }
+
+
+def _relation_table(wide: DataFrame) -> DataFrame:
+    """One row per relation from the row of counters."""
     null = F.lit(None).cast("long")
 
     def row(name: str, prefix: str, solved: bool) -> Column:
@@ -277,6 +308,25 @@ def relation_summary(df: DataFrame, columns: Mapping[str, str] = rt.PRODUCT_COLU
     return wide.select(F.explode(rows).alias("r")).select("r.*").where(F.col("checked") > 0)
 
 
+def relation_summary(df: DataFrame, columns: Mapping[str, str] = rt.PRODUCT_COLUMNS) -> DataFrame:
+    """Checked, consistent and inconsistent rows per relation; one aggregation over the input."""
+    return _relation_table(df.agg(*[c.alias(k) for k, c in _relation_counters(columns).items()]))
+
+
+def observed_relations(
+    df: DataFrame, columns: Mapping[str, str] = rt.PRODUCT_COLUMNS, name: str | None = None
+) -> tuple[DataFrame, Observation | None]:
+    """The frame corrected as by ``validate_relations``, with its counters taken in the pass that writes the result."""
+    counted, seen = _observed(df, _relation_counters(columns), name)
+    return fix_energy_macros(fix_sodium_salt(counted, columns), columns), seen
+
+
+def relation_rows(spark: SparkSession, counts: Mapping[str, int]) -> DataFrame:
+    """The rows of ``relation_summary`` from observed counters; none if nothing was observed."""
+    found = {**dict.fromkeys(_relation_counters(rt.PRODUCT_COLUMNS), 0), **counts}
+    return _relation_table(spark.createDataFrame([[int(v) for v in found.values()]], ", ".join(f"{k} long" for k in found)))
+
+
 def validate_relations(df: DataFrame, columns: Mapping[str, str] = rt.PRODUCT_COLUMNS) -> tuple[DataFrame, DataFrame]:
     """(summary, corrected frame). Salt is no input of the energy rule, so one summary pass serves both."""
     return relation_summary(df, columns), fix_energy_macros(fix_sodium_salt(df, columns), columns)

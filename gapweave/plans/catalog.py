@@ -68,6 +68,21 @@ def scan_separator_fallback(spark, sf):
     return windows.union_tagged(frames).drop("frame")
 
 
+@query
+def scan_grouped(spark, sf):
+    path, orders = scratch_path(spark, "exports"), view(spark, sf, "orders_m")
+    cut = orders.select("o_orderkey", "o_orderstatus", "o_orderpriority")
+    tables.write_table(cut.where("o_orderkey % 3 = 0").repartition(5), f"{path}/a", "csv", ",")
+    tables.write_table(cut.where("o_orderkey % 3 = 1").repartition(5), f"{path}/b", "csv", "\t")
+    tables.write_table(cut.where("o_orderkey % 3 = 2").select("o_orderkey", "o_orderpriority"), f"{path}/c", "csv", "\t")
+    found = delimited.scan_groups(spark, delimited.list_files(spark, f"{path}/*"))
+    parts = [df.select(F.lit(len(g.columns)).alias("width"), F.lit(g.separator == ",").alias("commas"), "*") for g, df in found.items()]
+    out = parts[0]
+    for part in parts[1:]:
+        out = out.unionByName(part, allowMissingColumns=True)
+    return rounded(out)
+
+
 @query
 def scan_tolerant(spark, sf):
     e = table(spark, sf, "events")
@@ -562,6 +577,20 @@ def relation_summary(spark, sf):
     return rounded(rules.validate_relations(view(spark, sf, "products"), PRODUCT_ROLES)[0])
 
 
+@query
+def relation_counters(spark, sf):
+    fixed, seen = rules.observed_relations(view(spark, sf, "products"), PRODUCT_ROLES)
+    tables.write_table(fixed, scratch_path(spark, "fixed"), "parquet")
+    return rounded(rules.relation_rows(spark, seen.get))
+
+
+@query
+def integrity_counters(spark, sf):
+    fixed, seen = rules.observed_integrity(view(spark, sf, "products"), columns=PRODUCT_ROLES)
+    tables.write_table(fixed, scratch_path(spark, "limited"), "parquet")
+    return rules.counter_rows(spark, seen.get)
+
+
 @query
 def scores_aligned(spark, sf):
     return rounded(rules.align_scores(view(spark, sf, "products"), PRODUCT_ROLES).select("code", "grade", "fr_score"))
@@ -894,16 +923,23 @@ def detected_tasks(spark, sf):
 
 @query
 def compared_models(spark, sf):
+    df = view(spark, sf, "products")
     logistic, forest = LogisticRegression(maxIter=20), RandomForestClassifier(numTrees=100, maxDepth=5, seed=42)
-    choices = {"LogisticRegression": (logistic, ParamGridBuilder().addGrid(logistic.regParam, [0.01, 0.1]).build()), "RandomForest": (forest, [{}])}
-    return models.compare_models(view(spark, sf, "products"), "grade", ["code"], MACROS, ["grp"], choices).results
+    choices = {
+        "LogisticRegression": (logistic, ParamGridBuilder().addGrid(logistic.regParam, [0.01, 0.1]).build()),
+        "RandomForest": (forest, [{}]),
+        "SVC": models.default_models("classification", df.count())["SVC"],
+    }
+    return models.compare_models(df, "grade", ["code"], MACROS, ["grp"], choices).results
 
 
 @query
 def compared_regressions(spark, sf):
-    line = models.LinearRegression()
-    choices = {"ElasticNet": (line, ParamGridBuilder().addGrid(line.regParam, [0.1, 1.0]).build())}
-    return models.compare_models(view(spark, sf, "products"), "energy", ["code"], FEATURES, ["grp", "grade"], choices).results
+    df = view(spark, sf, "products")
+    full = models.default_models("regression", df.count())
+    forest, boosted = models.RandomForestRegressor(numTrees=100, maxDepth=5, seed=42), models.GBTRegressor(maxIter=20, maxDepth=3, seed=42)
+    choices = {"ElasticNet": full["ElasticNet"], "SVR": full["SVR"], "RandomForest": (forest, [{}]), "GradientBoosting": (boosted, [{}])}
+    return models.compare_models(df, "energy", ["code"], FEATURES, ["grp", "grade"], choices).results
 
 
 @query
@@ -953,6 +989,15 @@ def stream_cleaned(spark, sf):
     return rounded(rowwise.drain(spark, f"{sf}/events*.parquet", schema, clean))
 
 
+@query
+def stream_relation_counters(spark, sf):
+    rows = scratch_path(spark, "products")
+    tables.write_table(view(spark, sf, "products").repartition(6), rows, "parquet")
+    fix = lambda x: rules.observed_relations(x, PRODUCT_ROLES, "relations")[0]
+    _, counts = rowwise.drain_counted(spark, rows, spark.read.parquet(rows).schema, fix, "relations", files_per_trigger=2)
+    return rounded(rules.relation_rows(spark, counts))
+
+
 @query
 def stream_imputed(spark, sf):
     model = impute.ConstantImputer(["value"]).fit(view(spark, sf, "events_m"))

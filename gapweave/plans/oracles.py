@@ -58,6 +58,12 @@ _ORDERS = f"SELECT o_orderkey, o_custkey, o_orderstatus, o_orderpriority, {_r('o
 _add("scan_delimited", "orders_m", _ORDERS)
 _add("drop_empty_columns", "orders_m", _ORDERS)
 _add("scan_separator_fallback", "orders_m", "SELECT CAST(o_orderkey AS VARCHAR) AS o_orderkey, o_orderstatus, o_orderpriority FROM orders_m")
+_add(
+    "scan_grouped",
+    "orders_m",
+    """SELECT CAST(CASE WHEN o_orderkey % 3 = 2 THEN 2 ELSE 3 END AS BIGINT) AS width, o_orderkey % 3 = 0 AS commas, CAST(o_orderkey AS VARCHAR) AS o_orderkey,
+ CASE WHEN o_orderkey % 3 <> 2 THEN o_orderstatus END AS o_orderstatus, o_orderpriority FROM orders_m""",
+)
 _add(
     "scan_tolerant",
     "",
@@ -599,6 +605,16 @@ def _relation(name: str, seen: str, off: str, solved: bool) -> str:
 
 
 _add("relation_summary", "products", _relation("sodium-salt", _SALT_SEEN, _SALT_OFF, False) + " UNION ALL " + _relation("energy-macronutrients", _ENERGY_SEEN, _ENERGY_OFF, True))
+ORACLES["relation_counters"] = ORACLES["stream_relation_counters"] = ORACLES["relation_summary"]
+_add(
+    "integrity_counters",
+    "products",
+    _union(
+        [f"SELECT '{c} > {_MAXIMA[c]}' AS rule, count_if({c} > {_MAXIMA[c]}) AS n FROM products" for c in _NUTRIENTS]
+        + [f"SELECT '{a} > {b}' AS rule, count_if({a} > {b}) AS n FROM l" for a, b in (("saturated_fat", "fat"), ("sodium", "salt"))]
+    ),
+    _LIMITED,
+)
 _LINES = {"a": (1.0, 0.0), "b": (0.9998, -0.0048), "c": (1.0946, -0.7569), "d": (1.1226, -1.6237), "e": (1.3735, -8.6686)}
 _add(
     "scores_aligned",

@@ -3,8 +3,12 @@
 from __future__ import annotations
 
 import os
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
+from typing import NamedTuple
+from urllib.parse import unquote
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from gapweave.functions.scalars import quoted
@@ -21,12 +25,54 @@ def header_of(spark: SparkSession, path: str) -> str:
     return row["value"] if row else ""
 
 
+def headers_of(spark: SparkSession, paths: Sequence[str]) -> dict[str, str]:
+    """First line of every file, in one job; an empty file has an empty one.
+
+    A task leaves a block that does not begin its file, and any block of full size, after its first rows, so a large file is
+    not read for its header."""
+    if not paths:
+        return {}
+    alone = _bytes_of(spark.conf.get("spark.sql.files.maxPartitionBytes"))
+    place = [F.col(f"_metadata.{c}").alias(c) for c in ("file_path", "file_block_start", "file_block_length")]
+
+    def first_lines(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seen: set[str] = set()
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            files = batch.column(1).to_numpy(zero_copy_only=False)
+            starts = [0, *(np.flatnonzero(files[1:] != files[:-1]) + 1).tolist()]
+            fresh = [i for i in starts if batch.column(2)[i].as_py() == 0 and files[i] not in seen]
+            seen.update(files[i] for i in fresh)
+            yield pa.RecordBatch.from_arrays([pa.array([files[i] for i in fresh], pa.string()), pa.array([batch.column(0)[i].as_py() for i in fresh], pa.string())], names=["path", "header"])
+            if batch.column(3)[0].as_py() >= alone:
+                return
+
+    lines = spark.read.text(list(paths)).select("value", *place).mapInArrow(first_lines, "path string, header string")
+    found = {_plain(r["path"]): r["header"] for r in lines.collect()}
+    return {p: found.get(_plain(p), "") for p in paths}
+
+
+def _bytes_of(size: str) -> int:
+    """Bytes of a Spark size such as ``128MB`` or ``134217728b``."""
+    text = size.strip().lower().rstrip("b")
+    scale = {"k": 10, "m": 20, "g": 30, "t": 40}.get(text[-1:], 0)
+    return int(text[:-1] if scale else text) << scale
+
+
+def _plain(path: str) -> str:
+    """A path without the ways in which its scheme may be written."""
+    text = unquote(path)
+    return text[5:].lstrip("/") if text.startswith("file:") else text.lstrip("/")
+
+
+def separator_of(header: str, separator: str = "\t", fallback: str = ",") -> str:
+    return separator if separator in header or fallback not in header else fallback
+
+
 def choose_separator(spark: SparkSession, path: str, separator: str = "\t", fallback: str = ",") -> str:
     """The given separator if it splits the header line, else the fallback if that one does."""
-    header = header_of(spark, path)
-    if separator in header or fallback not in header:
-        return separator
-    return fallback
+    return separator_of(header_of(spark, path), separator, fallback)
 
 
 def _string_schema(names: Sequence[str]) -> T.StructType:
@@ -51,14 +97,31 @@ def load_frames(
     spark: SparkSession, directory: str, files: Sequence[str] | None = None, separator: str = "\t", schema: T.StructType | None = None
 ) -> dict[str, DataFrame]:
     """Frame per ``.csv`` file (name without extension), each with the separator its header calls for."""
+    chosen = [p for p in list_files(spark, directory) if files is None or os.path.basename(p) in files]
     frames = {}
-    for path in list_files(spark, directory):
-        name = os.path.basename(path.rstrip("/"))
-        if files is None or name in files:
-            frames[os.path.splitext(name)[0]] = scan(spark, path, choose_separator(spark, path, separator), schema)
+    for path, header in headers_of(spark, chosen).items():
+        mark = separator_of(header, separator)
+        frames[os.path.splitext(os.path.basename(path))[0]] = scan(spark, path, mark, schema or _string_schema(column_names(header, mark)))
     return frames
 
 
+class Layout(NamedTuple):
+    """What files must share to be read by one scan."""
+
+    separator: str
+    columns: tuple[str, ...]
+
+
+def scan_groups(spark: SparkSession, paths: Sequence[str], separator: str = "\t", fallback: str = ",") -> dict[Layout, DataFrame]:
+    """One scan per separator and header over many files, all columns as text. Headers are found in one job; empty files are left out."""
+    groups: dict[Layout, list[str]] = {}
+    for path, header in headers_of(spark, paths).items():
+        if header:
+            mark = separator_of(header, separator, fallback)
+            groups.setdefault(Layout(mark, tuple(column_names(header, mark))), []).append(path)
+    return {layout: scan(spark, found, layout.separator, _string_schema(layout.columns)) for layout, found in groups.items()}
+
+
 def scan_tolerant(
     spark: SparkSession, path: str | Sequence[str], names: Sequence[str], separator: str = ",", header: bool = True
 ) -> tuple[DataFrame, DataFrame]:

@@ -31,3 +31,26 @@ def drain(spark: SparkSession, path: str, schema: StructType, transform: Callabl
     query = clean_stream(read_parquet_stream(spark, path, schema), transform, f"{out}/rows", f"{out}/progress")
     query.awaitTermination()
     return spark.read.parquet(f"{out}/rows")
+
+
+def drain_counted(
+    spark: SparkSession, path: str, schema: StructType, transform: Callable[[DataFrame], DataFrame], name: str, files_per_trigger: int = 1000
+) -> tuple[DataFrame, dict[str, int]]:
+    """``drain`` with the counters that ``transform`` observes under ``name``, added up over the batches of this run.
+
+    Progress is read while the query runs, since only the latest batches are kept; a run without a batch gives no counters."""
+    out = scratch_path(spark, "stream")
+    query = clean_stream(read_parquet_stream(spark, path, schema, files_per_trigger), transform, f"{out}/rows", f"{out}/progress")
+    batches: dict[int, dict[str, int]] = {}
+    running = True
+    while running:
+        running = not query.awaitTermination(0.2)
+        for progress in query.recentProgress:
+            if name in progress.observedMetrics:
+                batches[progress.batchId] = progress.observedMetrics[name].asDict()
+    totals: dict[str, int] = {}
+    for counts in batches.values():
+        for k, v in counts.items():
+            totals[k] = totals.get(k, 0) + (v or 0)
+    written = transform(spark.createDataFrame([], schema)).schema
+    return spark.read.schema(written).parquet(f"{out}/rows"), totals

@@ -117,3 +117,21 @@ def test_score_alignment(spark):
     out = rules.align_scores(df, ROLES)
     assert "uk_score" not in out.columns
     assert result(out, "grade", "fr_score") == [("a", 5), ("a", 9), ("b", 2), (None, 8), ("a", None), ("e", 20)]
+
+
+def test_counters_are_taken_in_the_pass_that_writes(spark, sf, tmp_path):
+    from gapweave.plans.views import PRODUCT_ROLES, view
+
+    df = view(spark, sf, "products")
+    fixed, seen = rules.observed_relations(df, PRODUCT_ROLES)
+    fixed.write.parquet(str(tmp_path / "fixed"))
+    want = rules.relation_summary(df, PRODUCT_ROLES).collect()
+    assert rules.relation_rows(spark, seen.get).collect() == want and len(want) == 2
+    assert rules.relation_rows(spark, {}).count() == 0
+    limited, broken = rules.observed_integrity(df, columns=PRODUCT_ROLES)
+    plan = limited._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("FileScan") == df._jdf.queryExecution().executedPlan().toString().count("FileScan") and "CollectMetrics" in plan
+    limited.write.parquet(str(tmp_path / "limited"))
+    found = {r.rule: r.n for r in rules.integrity_violations(df, "code", columns=PRODUCT_ROLES).groupBy("rule").count().withColumnRenamed("count", "n").collect()}
+    counted = {r.rule: r.n for r in rules.counter_rows(spark, broken.get).collect()}
+    assert {k: v for k, v in counted.items() if v} == found and sum(found.values()) > 0

@@ -174,3 +174,38 @@ def test_scan_refuses_files_with_another_header(spark, tmp_path):
     assert delimited.scan(spark, [str(tmp_path / "a.tsv"), str(tmp_path / "c.tsv")]).count() == 2
     with pytest.raises(Exception, match="header"):
         delimited.scan(spark, [str(tmp_path / "a.tsv"), str(tmp_path / "b.tsv")]).collect()
+
+
+def test_headers_of_many_files_in_one_job(spark, tmp_path):
+    for i in range(60):
+        mark, names = ("," if i % 3 else "\t"), ["a", "b"] if i % 2 else ["a", "b", "c d"]
+        (tmp_path / f"file {i}.csv").write_text("\n".join([mark.join(names), mark.join(str(i) for _ in names)]) + "\n")
+    (tmp_path / "empty.csv").write_text("")
+    (tmp_path / "long.csv").write_text("a,b\n" + "7,8\n" * 40000)
+    paths = delimited.list_files(spark, str(tmp_path))
+    tracker = spark.sparkContext.statusTracker()
+    spark.sparkContext.setJobGroup("headers", "headers")
+    headers = delimited.headers_of(spark, paths)
+    assert len(tracker.getJobIdsForGroup("headers")) <= 2  # beyond 32 paths Spark lists them in a job
+    assert len(headers) == 61 and sorted(set(headers.values())) == ["a\tb", "a\tb\tc d", "a,b", "a,b,c d"]
+    empty = f"file:{tmp_path}/empty.csv"  # names of empty files are not listed
+    assert delimited.headers_of(spark, [empty]) == {empty: ""} and delimited.scan_groups(spark, [empty]) == {}
+    groups = delimited.scan_groups(spark, paths)
+    assert {(g.separator, len(g.columns)) for g in groups} == {(",", 2), (",", 3), ("\t", 2), ("\t", 3)}
+    rows = {g: df.count() for g, df in groups.items()}
+    assert sum(rows.values()) == 60 + 40000
+    for g, df in groups.items():
+        assert all(len(set(r)) == 1 for r in df.where("a <> '7'").collect())
+    spark.sparkContext.setJobGroup("", "")
+
+
+def test_headers_of_blocks_beyond_the_first(spark, tmp_path):
+    (tmp_path / "long.csv").write_text("x,y\n" + "x,1\n" * 60000)
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "20000b")
+    try:
+        assert list(delimited.headers_of(spark, delimited.list_files(spark, str(tmp_path))).values()) == ["x,y"]
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+    assert delimited.headers_of(spark, []) == {} and delimited.scan_groups(spark, []) == {}
+    assert [delimited._bytes_of(s) for s in ("128MB", "134217728b", "64m", "7")] == [1 << 27, 1 << 27, 1 << 26, 7]

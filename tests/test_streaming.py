@@ -32,3 +32,13 @@ def test_a_fitted_model_runs_on_a_stream_and_resumes(spark, tmp_path):
     spark.createDataFrame([(9, None)], df.schema).write.mode("append").parquet(path)
     rowwise.clean_stream(rowwise.read_parquet_stream(spark, path, df.schema), step, out, progress).awaitTermination()
     assert spark.read.parquet(out).count() == 4
+
+
+def test_counters_of_all_batches_of_a_stream(spark, tmp_path):
+    from pyspark.sql import functions as F
+
+    spark.range(100).repartition(10).write.parquet(str(tmp_path / "in"))
+    schema = spark.read.parquet(str(tmp_path / "in")).schema
+    counted = lambda x: x.observe("seen", F.count("*").alias("n"), F.sum("id").alias("total")).withColumn("twice", F.col("id") * 2)
+    rows, totals = rowwise.drain_counted(spark, str(tmp_path / "in"), schema, counted, "seen", files_per_trigger=1)
+    assert totals == {"n": 100, "total": 4950} and rows.columns == ["id", "twice"] and rows.count() == 100
