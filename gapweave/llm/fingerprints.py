@@ -1,9 +1,10 @@
 """Document fingerprints from closed syncmers.
 
 A k-mer of code points is kept if the least of its inner s-mers (by hash) stands at either end. That depends on the k-mer
-alone, so equal passages give equal anchors whatever is around them. A document's anchors are (position, hash); its
-fingerprint is made of the 64 lowest distinct hashes, and the likeness of two fingerprints is the share of common ones
-among the lowest of both.
+alone, so equal passages give equal anchors whatever is around them. A document's anchors are (position, hash). Two texts are
+matched by position: the n-th place of an anchor in one text with its n-th place in the other, and of these pairs the most that
+stand in the same order in both texts. Their likeness is the share of such pairs in all anchors of both. The written
+fingerprint is a short digest for look-ups, the 64 lowest distinct hashes; the likeness uses all anchors.
 
 Cases: null text counts as empty; a text shorter than k has one anchor, the whole text; an empty text has the empty fingerprint,
 and two empty ones have likeness 1; repeated rows each get a row; null keys come last in descending order; an empty table gives no
@@ -12,6 +13,7 @@ rows; extra columns do not matter."""
 from __future__ import annotations
 
 import hashlib
+from bisect import bisect_left
 from collections.abc import Iterator
 
 import numpy as np
@@ -67,26 +69,48 @@ def anchors(texts: list[str], k: int = K, s: int = S) -> tuple[np.ndarray, np.nd
     return tuple(x[order] for x in joined)
 
 
-def fingerprints(texts: list[str], k: int = K, s: int = S, kept: int = KEPT) -> list[np.ndarray]:
-    """The lowest distinct anchor hashes of each text, ascending."""
+def anchor_lists(texts: list[str], k: int = K, s: int = S) -> list[np.ndarray]:
+    """The anchor hashes of each text in the order of their positions."""
     owner, _, hashes = anchors(texts, k, s)
-    both = np.unique((owner.astype(np.uint64) << np.uint64(32)) | hashes)
-    owner = (both >> np.uint64(32)).astype(np.int64)
     cut = np.searchsorted(owner, np.arange(len(texts) + 1))
-    low = (both & np.uint64(0xFFFFFFFF)).astype(np.uint32)
-    return [low[a : min(b, a + kept)] for a, b in zip(cut[:-1].tolist(), cut[1:].tolist(), strict=True)]
+    return [hashes[a:b] for a, b in zip(cut[:-1].tolist(), cut[1:].tolist(), strict=True)]
 
 
-def written(fingerprint: np.ndarray) -> str:
-    return fingerprint.astype(">u4").tobytes().hex()
+def written(hashes: np.ndarray, kept: int = KEPT) -> str:
+    """The lowest distinct hashes, ascending, as text."""
+    return np.unique(hashes)[:kept].astype(">u4").tobytes().hex()
 
 
-def likeness(a: np.ndarray, b: np.ndarray, kept: int = KEPT) -> float:
-    """Estimated Jaccard of the anchors from the lowest hashes of the union."""
+def _numbered(hashes: np.ndarray) -> np.ndarray:
+    """Each hash with the number of its equals before it."""
+    order = np.argsort(hashes, kind="stable")
+    ordered = hashes[order]
+    first = np.searchsorted(ordered, ordered, side="left")
+    earlier = np.empty(len(hashes), np.uint64)
+    earlier[order] = np.arange(len(hashes)) - first
+    return (hashes.astype(np.uint64) << np.uint64(32)) | earlier
+
+
+def longest_rise(values: np.ndarray) -> int:
+    """Length of the longest strictly rising subsequence."""
+    if (values[1:] > values[:-1]).all():
+        return len(values)
+    ends: list[int] = []
+    for v in values.tolist():
+        at = bisect_left(ends, v)
+        ends[at : at + 1] = [v]
+    return len(ends)
+
+
+def likeness(a: np.ndarray, b: np.ndarray) -> float:
+    """Share of the anchors of two texts, given in order, that are matched in order; 1 for equal texts, 0 without a common anchor."""
     if not len(a) or not len(b):
         return 1.0 if len(a) == len(b) else 0.0
-    union = np.union1d(a, b)[:kept]
-    return float(np.isin(union, a, assume_unique=True)[np.isin(union, b, assume_unique=True)].sum() / len(union))
+    if np.array_equal(a, b):
+        return 1.0
+    _, here, there = np.intersect1d(_numbered(a), _numbered(b), assume_unique=True, return_indices=True)
+    matched = longest_rise(there[np.argsort(here)])
+    return matched / (len(a) + len(b) - matched)
 
 
 def document_anchors(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
@@ -125,16 +149,16 @@ def compared_with_next(docs: DataFrame, key: str = "doc_id", text: str = "text")
     here = F.struct(F.col("range").alias("range"), F.lit(False).alias("guest"))
     there = F.struct(F.col("before").alias("range"), F.lit(True).alias("guest"))
     dealt = with_heads.withColumn("at", F.explode(F.when(is_head, F.array(here, there)).otherwise(F.array(here)))).select("at.range", "at.guest", "key", "h", "text")
-    dealt = dealt.repartition(n, "range").sortWithinPartitions("range", "guest", F.desc_nulls_last("key"), F.desc("h")).select("range", "guest", "key", "text")
+    dealt = dealt.repartitionById(len(borders) + 1, "range").sortWithinPartitions("range", "guest", F.desc_nulls_last("key"), F.desc("h")).select("range", "guest", "key", "text")
 
     def work(batches: Iterator[pa.RecordBatch]):
-        waiting = None  # (range, key, text, fingerprint) that lacks its next document
+        waiting = None  # (range, key, text, anchors) that lacks its next document
         for batch in bounded(batches):
             texts = texts_of(batch, "text")
             ranges, guests, keys = (batch.column(i).to_pylist() for i in range(3))
             for low, high in slices(texts):
                 done = []
-                for i, own in zip(range(low, high), fingerprints(texts[low:high]), strict=True):
+                for i, own in zip(range(low, high), anchor_lists(texts[low:high]), strict=True):
                     if waiting is not None and waiting[0] == ranges[i]:
                         done.append((*waiting[1:], texts[i], own))
                         waiting = None
@@ -145,7 +169,7 @@ def compared_with_next(docs: DataFrame, key: str = "doc_id", text: str = "text")
 
     def finished(done: list[tuple], key_type: pa.DataType) -> pa.RecordBatch:
         edited = [mine[: len(mine) - len(mine) // 3] + after[: len(mine) // 3] for _, mine, _, after, _ in done]
-        prints = [p for low, high in slices(edited) for p in fingerprints(edited[low:high])]
+        prints = [p for low, high in slices(edited) for p in anchor_lists(edited[low:high])]
         return pa.RecordBatch.from_arrays(
             [
                 pa.array([d[0] for d in done], key_type), pa.array([len(d[1]) for d in done], pa.int64()),
