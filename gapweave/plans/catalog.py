@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from gapweave.functions import scalars as fn
 from gapweave.functions.similarity import ratio
-from gapweave.operators import density, impute, joins, labels, models, neighbours, profile, rules, selection, stats, windows
+from gapweave.operators import density, impute, increments, joins, labels, models, neighbours, profile, rules, selection, stats, windows
 from gapweave.plans import imputation
 from gapweave.plans.views import PRODUCT_ROLES, table, view
 from gapweave.session import scratch_path
@@ -354,6 +354,20 @@ def column_profile_sketched(spark, sf):
     return rounded(profile.column_profile(table(spark, sf, "lineitem"), "lineitem", exact=False)).drop("distinct", "unique_pct", "most_common", "most_common_count")
 
 
+@query
+def incremental_profile(spark, sf):
+    lines, root = table(spark, sf, "lineitem"), scratch_path(spark, "states")
+    for i in range(3):
+        increments.add_version(lines.where(F.pmod("l_orderkey", F.lit(3)) == i), root, str(i))
+    merged = increments.stored_profile(spark, root)
+    exact = profile.column_profile(lines, "lineitem").select("column", F.col("distinct").alias("n"))
+    within = (F.abs(F.col("distinct") - F.col("n")) <= 0.05 * F.col("n")).alias("distinct_within")
+    few = F.col("column").isin("l_returnflag", "l_linestatus", "l_linenumber", "l_discount", "l_tax")  # the sketch is exact there
+    return rounded(merged.join(exact, "column").select(
+        "column", "dtype", "non_null", "nulls", "fill_pct", "low", "high", within, F.when(few, F.col("most_common_count")).alias("most_common_count")
+    ))
+
+
 @query
 def type_profile(spark, sf):
     df = view(spark, sf, "part_m").withColumn("mixed", F.when(F.col("p_partkey") % 3 == 0, F.col("p_size").cast("string")).when(F.col("p_partkey") % 10 == 1, "NULL").otherwise(F.col("p_name")))

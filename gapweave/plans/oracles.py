@@ -230,6 +230,17 @@ _add(
         for c, t in _LINE_TYPES.items()
     ),
 )
+_FEW = ("l_returnflag", "l_linestatus", "l_linenumber", "l_discount", "l_tax")
+_add(
+    "incremental_profile",
+    "",
+    _union(
+        f"""SELECT '{c}' AS "column", '{t}' AS dtype, count({c}) AS non_null, count(*) - count({c}) AS nulls, {_r(f'count({c}) * 100e0 / count(*)')} AS fill_pct,
+ {_r(f'CAST(min({c}) AS DOUBLE)') if t in ('bigint', 'int', 'double') else 'CAST(NULL AS DOUBLE)'} AS low, {_r(f'CAST(max({c}) AS DOUBLE)') if t in ('bigint', 'int', 'double') else 'CAST(NULL AS DOUBLE)'} AS high,
+ true AS distinct_within, {f'(SELECT count(*) FROM lineitem WHERE {c} IS NOT NULL GROUP BY {c} ORDER BY 1 DESC LIMIT 1)' if c in _FEW else 'CAST(NULL AS BIGINT)'} AS most_common_count FROM lineitem"""
+        for c, t in _LINE_TYPES.items()
+    ),
+)
 _KIND = {"bigint": "int", "int": "int", "double": "float", "string": "str"}
 
 
