@@ -321,3 +321,16 @@ def test_write_back_keeps_the_number_of_rows(spark):
     df = spark.createDataFrame([(1, None), (2, 7.0), (None, None)], "k long, x double")
     updates = spark.createDataFrame([(1, 3.0), (1, 2.0), (None, 9.0)], "k long, x double")
     assert sorted(map(tuple, write_back(df, updates, ["k"], ["x"]).collect()), key=str) == sorted([(1, 2.0), (2, 7.0), (None, None)], key=str)
+
+
+def test_a_query_goes_once_to_a_shelf_however_many_cells_it_reaches(spark, monkeypatch):
+    monkeypatch.setattr(neighbours, "PART_ROWS", 1000)
+    points, asked = gappy_points(12, 3000, 1, False), gappy_points(12, 50, 2, False)
+    donors = spark.createDataFrame([(i, p.tolist(), [str(i)]) for i, p in enumerate(points)], "key long, vec array<double>, values array<string>")
+    queries = spark.createDataFrame([(p.tolist(), [0]) for p in asked], "vec array<double>, wanted array<int>")
+    sent, met = [], neighbours._met
+    monkeypatch.setattr(neighbours, "_met", lambda dealt, visits, *more: (sent.append(visits.selectExpr("sum(size(cells)) n").first()["n"]), met(dealt, visits, *more))[1])
+    hits = neighbours.nearest(queries, donors, 3, donor_rows=5)
+    assert hits.count() == 50 * 3
+    # 3,000 donors lie on at most six shelves; each search visits a shelf once.
+    assert max(sent) <= 50 * 6
