@@ -6,7 +6,8 @@ slice are sorted, so they form a trie read depth-first, and the forward pass goe
 The public model is a byte-pair model, whose encoding is not the one of the largest sum of scores, so the forward pass keeps what
 decides a byte-pair encoding: for each prefix, the last piece of its encoding. That is the one piece that ends there and is
 stable after the last piece of the prefix before it (encoding the two together gives the same two). Which pieces are stable next to each other follows from
-the scores and is remembered. Like a forward score it depends on the prefix alone; reading back from the end gives the encoding.
+the scores and is remembered. Like a forward score it depends on the prefix alone; reading back from the end gives the encoding. The pieces that end at a
+prefix are those of an automaton's state: the longest end of the prefix that some piece begins with.
 
 Cases: null text counts as empty and has no pieces; characters outside the vocabulary become byte pieces; decoding inverts encoding for every text
 without word marks of its own; repeated rows each get a row; an empty table gives no rows; extra columns do not matter."""
@@ -14,7 +15,7 @@ without word marks of its own; repeated rows each get a row; an empty table give
 from __future__ import annotations
 
 import re
-from os.path import commonprefix
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -26,6 +27,17 @@ MARK = "▁"
 _WORD = re.compile(f"{MARK}*[^{MARK}]+|{MARK}+")
 #: Distinct words of a generation, and pairs of pieces, that a worker remembers.
 MAX_WORDS, MAX_PAIRS = 1 << 18, 1 << 20
+_NO_PIECE = float("-inf")
+
+
+class _State:
+    """An end of a prefix that begins a piece: the states that follow it, by character, and the pieces of two or more characters that it ends
+    with, the longest first, each with its size and what is known of the pieces before it."""
+
+    __slots__ = ("text", "moves", "ends")
+
+    def __init__(self, text: str, ends: tuple[tuple[str, int, dict[str, bool]], ...]):
+        self.text, self.moves, self.ends = text, {}, ends
 
 
 class Pieces:
@@ -58,76 +70,93 @@ class Pieces:
                 self.text.append(piece.replace(MARK, " ").encode())
         if any(x != round(x) for x in self.score.values()):
             raise ValueError("not a byte-pair model: its scores are no ranks of merges")
-        # Lengths, the longest first, of the pieces that end in the same two characters.
-        ending: dict[str, set[int]] = {}
-        for piece in self.id:
-            ending.setdefault(piece[-2:], set()).add(len(piece))
-        self._lengths = {end: tuple(sorted(sizes, reverse=True)) for end, sizes in ending.items()}
-        self._stable: dict[tuple[str, str], bool] = {}
-        self._alone: dict[str, bool] = {}
+        self._heads = {piece[:n] for piece in self.id for n in range(len(piece) + 1)}
+        self._stable: dict[str, dict[str, bool]] = {}
+        self._pairs = 0
+        self._states: dict[str, _State] = {}
+        self._start = self._state("")
         # Two generations: a full one becomes the old one, and words still in use are taken over from there.
         self.words: dict[str, tuple[int, ...]] = {}
         self.old: dict[str, tuple[int, ...]] = {}
 
     def merged(self, symbols: list[str]) -> list[str]:
         """Plain byte-pair merging: the adjacent pair of the best score first, the leftmost of equals."""
-        symbols = list(symbols)
-        while len(symbols) > 1:
-            best, at = None, -1
-            for i in range(len(symbols) - 1):
-                score = self.score.get(symbols[i] + symbols[i + 1])
-                if score is not None and (best is None or score > best):
-                    best, at = score, i
-            if best is None:
+        symbols, score = list(symbols), self.score
+        worth = [score.get(a + b, _NO_PIECE) for a, b in zip(symbols, symbols[1:], strict=False)]
+        while worth:
+            best = max(worth)
+            if best == _NO_PIECE:
                 break
+            at = worth.index(best)
             symbols[at : at + 2] = [symbols[at] + symbols[at + 1]]
+            del worth[at]
+            if at < len(worth):
+                worth[at] = score.get(symbols[at] + symbols[at + 1], _NO_PIECE)
+            if at:
+                worth[at - 1] = score.get(symbols[at - 1] + symbols[at], _NO_PIECE)
         return symbols
 
+    def _state(self, text: str) -> _State:
+        """The state of the longest end of ``text`` that begins a piece."""
+        while text not in self._heads:
+            text = text[1:]
+        state = self._states.get(text)
+        if state is None:
+            ends = (text[i:] for i in range(len(text) - 1))
+            state = self._states[text] = _State(text, tuple((p, len(p), self._stable.setdefault(p, {})) for p in ends if p in self.id))
+        return state
+
     def _follows(self, before: str, piece: str) -> bool:
-        pair = (before, piece)
-        known = self._stable.get(pair)
-        if known is None:
-            if len(self._stable) > MAX_PAIRS:
-                self._stable.clear()
-            known = self._stable[pair] = self.merged([*before, *piece]) == [before, piece]
-        return known
-
-    def _first(self, piece: str) -> bool:
-        known = self._alone.get(piece)
-        if known is None:
-            known = self._alone[piece] = self.merged([*piece]) == [piece]
-        return known
+        """Whether the piece is stable after the one before it, or alone at the front."""
+        if self._pairs >= MAX_PAIRS:
+            for known in self._stable.values():
+                known.clear()
+            self._pairs = 0
+        self._pairs += 1
+        if before and before + piece in self.score:
+            good = False  # the two would merge
+        else:
+            good = self.merged([*before, *piece]) == ([before, piece] if before else [piece])
+        self._stable[piece][before] = good
+        return good
 
     def forward(self, words: list[str]) -> dict[str, tuple[int, ...]]:
         """Encodings of distinct words. ``last[i]`` is the last piece of the encoding of the first i characters of the
-        present word, kept for the prefix that the next word shares."""
-        out, before, last = {}, "", [""]
-        lengths, ids, stable = self._lengths, self.id, self._stable
+        present word and ``states[i]`` their state; both are kept for the prefix that the next word shares."""
+        out, before, last, states = {}, "", [""], [self._start]
+        ids, follows = self.id, self._follows
         for word in sorted(words):
-            shared = len(commonprefix((before, word)))
-            del last[shared + 1 :]
-            for end in range(shared + 1, len(word) + 1):
-                found = None
-                for size in lengths.get(word[end - 2 : end] if end > 1 else word[:1], ()):
-                    if size > end:
-                        continue
-                    piece = word[end - size : end]
-                    if piece in ids:
-                        if size == end:
-                            good = self._first(piece)
-                        else:
-                            good = stable.get((last[end - size], piece))
-                            if good is None:
-                                good = self._follows(last[end - size], piece)
-                        if good:
-                            found = piece
-                            break
-                last.append(found or word[end - 1])  # a character that is no piece stands alone
+            end = 0
+            for a, b in zip(before, word):  # noqa: B905  # the shorter one ends the shared prefix
+                if a != b:
+                    break
+                end += 1
+            del last[end + 1 :], states[end + 1 :]
+            state = states[end]
+            for found in word[end:]:  # a character that is no piece stands alone
+                end += 1
+                following = state.moves.get(found)
+                if following is None:
+                    # Characters that begin no piece all lead to the start and are not kept.
+                    following = self._state(state.text + found)
+                    if following is not self._start:
+                        state.moves[found] = following
+                state = following
+                for piece, size, known in state.ends:
+                    previous = last[end - size]
+                    good = known.get(previous)
+                    if good is None:
+                        good = follows(previous, piece)
+                    if good:
+                        found = piece
+                        break
+                last.append(found)
+                states.append(state)
             before = word
-            pieces, end = [], len(word)
+            pieces = []
             while end:
                 piece = last[end]
-                i = self.id.get(piece)
+                i = ids.get(piece)
                 pieces.extend([i] if i is not None else [self.byte[b] for b in reversed(piece.encode("utf-8", "surrogatepass"))])
                 end -= len(piece)
             out[word] = tuple(reversed(pieces))
@@ -141,8 +170,8 @@ class Pieces:
             self.old, self.words, fresh = self.words, {}, present
         self.words |= {w: self.old[w] for w in fresh & self.old.keys()}
         self.words |= self.forward(list(fresh - self.words.keys()))
-        known = self.words
-        return [np.fromiter((i for w in words for i in known[w]), np.int32) for words in split]
+        known = self.words.__getitem__
+        return [np.fromiter(chain.from_iterable(map(known, words)), np.int32) for words in split]
 
     def decode(self, ids: np.ndarray) -> str:
         """The text of pieces; the mark put before the first word is taken off."""

@@ -49,6 +49,23 @@ def test_forward_pass_is_plain_merging():
         assert [model.id[p] for p in model.merged([*word])] == list(ids)
 
 
+def test_states_hold_all_pieces_that_end_there():
+    """Only pieces that do end at a prefix are tried, the longest first, and pairs that would merge are not merged to see it."""
+    model = pieces.Pieces(MODEL)
+    asked = []
+    plain, model.merged = model.merged, lambda symbols: asked.append("".join(symbols)) or plain(symbols)
+    words = [f"▁{w}" for w in random_texts("thenarigoé中🙂", 200, 12, 5)]
+    found = model.forward(list(set(words)))
+    assert all(text not in model.id or model._stable[text].get("") is not None for text in asked)
+    for word in words:
+        assert [model.id.get(p) for p in plain([*word]) if p in model.id] == [i for i in found[word] if i not in model.byte.values()]
+        state = model._start
+        for end in range(1, len(word) + 1):
+            state = state.moves.get(word[end - 1], model._start)
+            ending = [word[i:end] for i in range(end - 1) if word[i:end] in model.id]
+            assert [p for p, *_ in state.ends] == ending
+
+
 def test_pieces_of_odd_rows(spark):
     odd = odd_rows(spark)
     rows = pieces.encode(odd, MODEL)
