@@ -16,9 +16,10 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, functions as F
 
-from gapweave.llm.common import col, free_name, map_batches, texts_of
+from gapweave.llm.common import col, free_name, map_batches, release, texts_of
 
 #: Bounded sample of labelled rows the classifier is fitted on, half of each class at most: those with the lowest hash of their key.
 MAX_SAMPLE = 4000
@@ -115,31 +116,69 @@ def fit(labels: DataFrame, docs: DataFrame, text: str = "text", label: str = "qu
             ["y", "h", "terms", "counts"],
         )
 
-    # Term counts, not texts, come to the driver: at most MAX_SAMPLE rows of at most TERMS entries.
-    found = map_batches(sample, count, "y int, h long, terms array<int>, counts array<float>").toPandas().sort_values("h", kind="stable")
-    if found.empty:
+    # Term counts, not texts, come to the driver: at most MAX_SAMPLE rows of at most TERMS entries, as arrays and not as objects.
+    found = map_batches(sample, count, "y int, h long, terms array<int>, counts array<float>").toArrow()
+    model = _fitted(found)
+    del found
+    release()
+    return model
+
+
+def _fitted(found: pa.Table) -> QualityModel:
+    """Model of rows (y, h, terms, counts), in the order of h."""
+    if not found.num_rows:
         return QualityModel(np.ones(TERMS, np.float32), np.zeros((TERMS, 1), np.float32), np.zeros((0, 1), np.float32), np.zeros(0))
-    matrix = np.zeros((len(found), TERMS), np.float32)
-    for i, (terms, counts) in enumerate(zip(found["terms"], found["counts"], strict=True)):
-        terms, counts = np.asarray(terms, np.int64), np.asarray(counts)
-        if len(terms):
-            whole = counts[terms < _TRIGRAMS].sum() or counts.sum()
-            matrix[i, terms] = np.sqrt(counts / whole)
-    present = (matrix > 0).sum(0)
-    rarity = np.log((1 + len(matrix)) / (1 + present)).astype(np.float32) + 1
-    matrix *= rarity
-    axes = _axes(matrix, min(DIMENSIONS, len(matrix)))
-    vectors = matrix @ axes
+    found = found.take(pa.array(np.argsort(found["h"].to_numpy(), kind="stable")))
+    each = pc.list_value_length(found["terms"]).to_numpy().astype(np.int64)
+    terms, values = pc.list_flatten(found["terms"]).to_numpy(), np.array(pc.list_flatten(found["counts"]).to_numpy())
+    for end, n in zip(np.cumsum(each).tolist(), each.tolist(), strict=True):
+        if n:
+            counts = values[end - n : end]
+            whole = counts[terms[end - n : end] < _TRIGRAMS].sum() or counts.sum()
+            values[end - n : end] = np.sqrt(counts / whole)
+    present = np.bincount(terms, minlength=TERMS)
+    rarity = np.log((1 + found.num_rows) / (1 + present)).astype(np.float32) + 1
+    values *= rarity[terms]
+    matrix = _Sparse(np.repeat(np.arange(found.num_rows, dtype=np.int32), each), terms, values, (found.num_rows, TERMS))
+    axes = _axes(matrix, min(DIMENSIONS, found.num_rows))
+    vectors = matrix.times(axes)
     norm = np.linalg.norm(vectors, axis=1, keepdims=True)
-    return QualityModel(rarity, axes, (vectors / np.where(norm > 0, norm, 1)).astype(np.float32), found["y"].to_numpy(float))
+    return QualityModel(rarity, axes, (vectors / np.where(norm > 0, norm, 1)).astype(np.float32), found["y"].to_numpy().astype(float))
+
+
+class _Sparse:
+    """A matrix most of which is zero. Products are taken over dense blocks of its rows or columns, so it never stands in memory as a whole;
+    every sum runs over all of its terms in one block."""
+
+    def __init__(self, rows: np.ndarray, terms: np.ndarray, values: np.ndarray, shape: tuple[int, int]):
+        order = np.argsort(terms, kind="stable")
+        self.shape = shape
+        self._by_row, self._by_term = (rows, terms, values), (terms[order], rows[order], values[order])
+
+    @staticmethod
+    def _product(entries: tuple[np.ndarray, ...], size: int, x: np.ndarray) -> np.ndarray:
+        line, at, value = entries
+        out = np.empty((size, x.shape[1]), np.float32)
+        for low in range(0, size, BLOCK):
+            first, last = np.searchsorted(line, [low, low + BLOCK])
+            block = np.zeros((min(BLOCK, size - low), len(x)), np.float32)
+            block[line[first:last] - low, at[first:last]] = value[first:last]
+            out[low : low + BLOCK] = block @ x
+        return out
+
+    def times(self, x: np.ndarray) -> np.ndarray:
+        return self._product(self._by_row, self.shape[0], x)
+
+    def turned_times(self, x: np.ndarray) -> np.ndarray:
+        return self._product(self._by_term, self.shape[1], x)
 
 
-def _axes(matrix: np.ndarray, k: int) -> np.ndarray:
+def _axes(matrix: _Sparse, k: int) -> np.ndarray:
     """Leading right singular vectors by randomised subspace iteration with a fixed seed."""
-    q = np.linalg.qr(matrix @ np.random.default_rng(0).standard_normal((matrix.shape[1], k + 8)).astype(np.float32))[0]
+    q = np.linalg.qr(matrix.times(np.random.default_rng(0).standard_normal((matrix.shape[1], k + 8)).astype(np.float32)))[0]
     for _ in range(4):
-        q = np.linalg.qr(matrix @ np.linalg.qr(matrix.T @ q)[0])[0]
-    _, _, v = np.linalg.svd(q.T @ matrix, full_matrices=False)
+        q = np.linalg.qr(matrix.times(np.linalg.qr(matrix.turned_times(q))[0]))[0]
+    _, _, v = np.linalg.svd(matrix.turned_times(q).T, full_matrices=False)
     return np.ascontiguousarray(v[:k].T, dtype=np.float32)
 
 

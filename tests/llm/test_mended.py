@@ -1,6 +1,7 @@
 """Cases that went wrong before."""
 
 import time
+import tracemalloc
 
 import numpy as np
 import public_tokenizers
@@ -112,3 +113,28 @@ def test_stages_of_odd_rows(spark):
         kept = stage(spark, odd, "/root/testdata/sf0.001")
         assert kept.columns == odd.columns, name
         assert kept.count() <= odd.count()
+
+
+def test_quality_fit_holds_no_whole_matrix():
+    """The sample's terms stay sparse on the driver, and blocks give the products of the whole matrix."""
+    rng = np.random.default_rng(1)
+    terms = [np.sort(rng.choice(quality.TERMS, 200, replace=False)).astype(np.int32) for _ in range(3000)]
+    terms[7] = terms[7][:0]
+    counts = [rng.integers(1, 9, len(t)).astype(np.float32) for t in terms]
+    found = pa.table({"y": pa.array(rng.integers(0, 2, 3000), pa.int32()), "h": rng.permutation(3000), "terms": pa.array(terms, pa.list_(pa.int32())), "counts": pa.array(counts, pa.list_(pa.float32()))})
+    tracemalloc.start()
+    model = quality._fitted(found)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 3000 * quality.TERMS * 4 * 0.8, peak
+    order = np.argsort(found["h"].to_numpy())
+    dense = np.zeros((3000, quality.TERMS), np.float32)
+    for i, j in enumerate(order):
+        if len(terms[j]):
+            dense[i, terms[j]] = np.sqrt(counts[j] / counts[j][terms[j] < quality._TRIGRAMS].sum()) * model.rarity[terms[j]]
+    plain = dense @ model.axes
+    norm = np.linalg.norm(plain, axis=1, keepdims=True)
+    np.testing.assert_allclose(model.vectors, plain / np.where(norm > 0, norm, 1), atol=1e-5)
+    assert not model.vectors[np.flatnonzero(order == 7)].any()
+    np.testing.assert_allclose(model.axes.T @ model.axes, np.eye(quality.DIMENSIONS), atol=1e-4)
+    assert model.labels.tolist() == found["y"].to_numpy()[order].tolist()
