@@ -18,9 +18,11 @@ from gapweave.functions.scalars import quoted
 from gapweave.session import scratch_path
 
 #: Characters handled at once by vectorised code; one longer text makes a slice of its own.
-SLICE_CHARS = 1 << 20
+SLICE_CHARS = 1 << 19
 #: Bytes of a batch that a function is given; a longer row makes one of its own.
 BATCH_BYTES = 4 << 20
+#: Tables of powers grow by so many entries.
+_TABLE_STEP = 1 << 16
 _BATCH_SETTING = "spark.sql.execution.arrow.maxBytesPerBatch"
 _ODD = np.uint64(0x9E3779B97F4A7C15)
 
@@ -73,6 +75,7 @@ def bounded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def release() -> None:
+    SpanHash.forget()
     gc.collect()
     pa.default_memory_pool().release_unused()
     try:
@@ -120,11 +123,11 @@ def mix(x: np.ndarray) -> np.ndarray:
 
 
 def _power_table(base: int, prime: int, size: int) -> np.ndarray:
-    """Powers of ``base`` modulo a prime under 2**31, put together by doubling."""
+    """Powers of ``base`` modulo a prime under 2**31, in 32 bits, put together by doubling."""
     out = np.ones(1, np.uint64)
     while len(out) < size:
-        out = np.concatenate([out, out * np.uint64(pow(base, len(out), prime)) % np.uint64(prime)])
-    return out[:size]
+        out = np.concatenate([out, out[: size - len(out)] * np.uint64(pow(base, len(out), prime)) % np.uint64(prime)])
+    return out.astype(np.uint32)
 
 
 class SpanHash:
@@ -138,16 +141,25 @@ class SpanHash:
 
     @classmethod
     def _tables(cls, n: int) -> tuple[np.ndarray, ...]:
-        """Powers and inverse powers of both bases; those of one slice are kept."""
+        """Powers and inverse powers of both bases; those of one slice are kept until the task ends."""
         if cls._powers and len(cls._powers[0]) >= n:
             return cls._powers
-        size = 1 << max(n - 1, 1).bit_length()
-        own = [np.cumprod(np.concatenate([np.ones(1, np.uint64), np.full(size - 1, np.uint64(b))]), dtype=np.uint64) for b in (cls._base, pow(cls._base, -1, 1 << 64))]
+        size = -(-n // _TABLE_STEP) * _TABLE_STEP
+        own = []
+        for b in (cls._base, pow(cls._base, -1, 1 << 64)):
+            table = np.full(size, np.uint64(b))
+            table[0] = 1
+            own.append(np.cumprod(table, dtype=np.uint64, out=table))
         own += [_power_table(b, cls._prime, size) for b in (cls._second, pow(cls._second, -1, cls._prime))]
         if size <= 2 * SLICE_CHARS:
             cls._powers = tuple(own)
         return tuple(own)
 
+    @classmethod
+    def forget(cls) -> None:
+        """Drops the tables; the next slice makes them again."""
+        cls._powers = ()
+
     def __init__(self, codes: np.ndarray):
         n = len(codes) + 1
         up, self._down, second, self._second_down = self._tables(n)

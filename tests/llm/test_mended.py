@@ -138,3 +138,14 @@ def test_quality_fit_holds_no_whole_matrix():
     assert not model.vectors[np.flatnonzero(order == 7)].any()
     np.testing.assert_allclose(model.axes.T @ model.axes, np.eye(quality.DIMENSIONS), atol=1e-4)
     assert model.labels.tolist() == found["y"].to_numpy()[order].tolist()
+
+
+def test_tables_of_one_slice_are_small_and_end_with_the_task():
+    codes = np.tile(np.frombuffer(b"some words of a long slice ", np.uint8), common.SLICE_CHARS // 27 + 5)
+    common.SpanHash.forget()
+    spans = common.SpanHash(codes)
+    assert sum(len(t) * t.itemsize for t in common.SpanHash._powers) < 24 << 20
+    far = len(codes) // 27 * 27 - 27
+    assert spans.of(np.array([0]), np.array([10]))[0] == spans.of(np.array([far]), np.array([far + 10]))[0]
+    assert spans.of(np.array([0]), np.array([far + 27]))[0] == common.SpanHash(codes[: far + 27]).of(np.array([0]), np.array([far + 27]))[0]
+    assert list(common.bounded(iter([]))) == [] and not common.SpanHash._powers
