@@ -263,6 +263,30 @@ def test_iterative_labels_note_their_confidence(products):
     assert {r.confidence for r in notes.select("confidence").distinct().collect()} <= {0.9, 0.75, 0.3}
 
 
+def test_label_passes_end_once_no_label_is_missing(products, monkeypatch):
+    seen = []
+    plain = impute.KnnLabelImputer.fit
+    monkeypatch.setattr(impute.KnnLabelImputer, "fit", lambda self, df: (seen.append(self.min_samples), plain(self, df))[1])
+    whole = impute.fill_constants(products, {c: 1.0 for c in COLUMNS})
+    filled, notes = impute.iterative_labels(whole, ["grp"], "code", COLUMNS)
+    # Every row knows all features, so the first pass fills all labels.
+    assert seen == [20] and filled.where("grp is null").count() == 0
+    assert notes.count() == products.where("grp is null").count() > 0
+    assert {r.stage for r in notes.select("stage").distinct().collect()} == {"labels-1"}
+    again, none = impute.iterative_labels(filled, ["grp"], "code", COLUMNS)
+    assert seen == [20] and none.count() == 0 and again.exceptAll(filled).count() == 0 and again.columns == filled.columns
+    # The rows that know too little wait for the last pass; the second picks the same rows as the first.
+    del seen[:]
+    k = F.col("id")
+    few = products.sparkSession.range(200).select(
+        k.alias("code"), F.when(k % 9 != 1, F.when(k % 3 == 0, "a").otherwise("b")).alias("grp"), (k * 7 % 30).cast("double").alias("x"), F.when(k % 4 != 2, k.cast("double")).alias("y")
+    )
+    filled, notes = impute.iterative_labels(few, ["grp"], "code", ["x", "y"])
+    assert seen == [20, 5] and filled.where("grp is null").count() == 0 and filled.count() == 200
+    got = {r.code: r.stage for r in notes.collect()}
+    assert got == {i: "labels-last" if i % 4 == 2 else "labels-1" for i in range(200) if i % 9 == 1}
+
+
 def test_full_run_fills_everything_and_notes_every_gap(products):
     run = imputation.ImputationRun("code", PRODUCT_ROLES, levels=(("high", 0.8),), max_iterations=2, stratified=False)
     out = run.fit_transform(products)
@@ -275,6 +299,16 @@ def test_full_run_fills_everything_and_notes_every_gap(products):
     assert report["salt"].mean_confidence >= 0.8 - 1e-9
 
 
+def test_a_run_leaves_out_steps_that_cannot_fill_anything(products):
+    run = imputation.ImputationRun("code", PRODUCT_ROLES, stratified=False, numeric="zero")
+    out = run.fit_transform(products)
+    stages = [stage for stage, *_ in run.store.written]
+    # Grades are filled before the text step begins, and only the other score has gaps after the first round.
+    assert [s for s in stages if s.endswith(("-score", "-text"))] == ["high-score"]
+    assert "medium-constraints" in stages
+    assert run.missing_cells(out).count() == 0
+
+
 def test_single_level_run_stops_when_little_changes(products):
     run = imputation.single_level_run("code", PRODUCT_ROLES, max_iterations=3, numeric="zero")
     out = run.fit_transform(products)
