@@ -90,3 +90,27 @@ def test_encoding_is_alphabetical_with_nan(spark):
 def test_predictions_for_every_row(products):
     out = models.predict_labels(products, "grp", COLUMNS, trees=3)
     assert out.count() == 600 and out.where("predicted is null").count() == 0
+
+
+def test_comparison_scores_as_cross_validation_does(spark, products, monkeypatch):
+    from pyspark.ml.evaluation import MulticlassClassificationEvaluator
+    from pyspark.ml.tuning import CrossValidator, ParamGridBuilder
+
+    from gapweave.operators import kernels
+
+    rows = products.where("grade is not null").select("code", "energy", "grade").na.drop()
+    ready = models.Pipeline(stages=[models.StringIndexer(inputCol="grade", outputCol="label"), models.VectorAssembler(inputCols=["energy"], outputCol="features")]).fit(rows).transform(rows)
+    ready = ready.withColumn("__fold", (F.col("code") % 3).cast("int")).persist()
+    forest, machine = RandomForestClassifier(numTrees=3, seed=1), kernels.SupportVectorMachine(True, components=8)
+    choices = {
+        "forest": (forest, ParamGridBuilder().addGrid(forest.maxDepth, [1, 3]).build()),
+        "machine": (machine, ParamGridBuilder().addGrid(machine.kernel, ["linear", "rbf"]).build()),
+    }
+    scored = MulticlassClassificationEvaluator(metricName="f1")
+    got = models._validated(ready, choices, scored, "__fold", 3, 4)
+    for name, (estimator, grid) in choices.items():
+        search = CrossValidator(estimator=estimator, estimatorParamMaps=grid, evaluator=scored, numFolds=3, foldCol="__fold", seed=42)
+        assert list(got[name]) == pytest.approx(search.fit(ready).avgMetrics, abs=1e-9)
+    with pytest.raises(ValueError):
+        models._validated(ready, choices, scored, "__fold", 4, 4)
+    ready.unpersist()
