@@ -309,6 +309,36 @@ def test_a_run_leaves_out_steps_that_cannot_fill_anything(products):
     assert run.missing_cells(out).count() == 0
 
 
+def test_a_run_counts_the_gaps_of_each_state_once(products, monkeypatch):
+    alone, counted = [], []
+    plain = imputation.ImputationRun._counts
+    fills = imputation.fill_percentages
+
+    def counts(self):
+        known = self._counted
+        got = plain(self)
+        counted.extend([self.store.step] if self._counted is not known else [])
+        return got
+
+    monkeypatch.setattr(imputation.ImputationRun, "_counts", counts)
+    monkeypatch.setattr(imputation, "fill_percentages", lambda *a: alone.append(1) or fills(*a))
+    run = imputation.ImputationRun("code", PRODUCT_ROLES, stratified=False, numeric="zero")
+    out = run.fit_transform(products)
+    assert not alone and counted == list(range(len(run.store.written)))
+    # What was counted is what each state lacks.
+    known = fills(products)
+    assert run.history[0][2] == sum(round(products.count() * (1 - p / 100)) for p in known.values()) and run.missing_cells(out).count() == 0
+    report = {r.column: r.mean_confidence for r in run.report().collect()}
+    assert report["energy"] == pytest.approx(min(0.95, max(run.levels[0][1], known["energy"] / 100)))
+
+
+def test_relations_are_learned_beside_the_run_and_their_failure_ends_it(products, monkeypatch):
+    monkeypatch.setattr(imputation.models, "feature_relations", lambda *a, **b: 1 / 0)
+    run = imputation.ImputationRun("code", PRODUCT_ROLES, levels=(("high", 0.8),), max_iterations=1, stratified=False, numeric="zero", relations=True)
+    with pytest.raises(ZeroDivisionError):
+        run.fit_transform(products)
+
+
 def test_single_level_run_stops_when_little_changes(products):
     run = imputation.single_level_run("code", PRODUCT_ROLES, max_iterations=3, numeric="zero")
     out = run.fit_transform(products)
