@@ -332,7 +332,7 @@ def test_a_run_counts_the_gaps_of_each_state_once(products, monkeypatch):
     assert report["energy"] == pytest.approx(min(0.95, max(run.levels[0][1], known["energy"] / 100)))
 
 
-def test_relations_are_learned_beside_the_run_and_their_failure_ends_it(products, monkeypatch):
+def test_a_failure_of_the_relations_ends_the_run(products, monkeypatch):
     monkeypatch.setattr(imputation.models, "feature_relations", lambda *a, **b: 1 / 0)
     run = imputation.ImputationRun("code", PRODUCT_ROLES, levels=(("high", 0.8),), max_iterations=1, stratified=False, numeric="zero", relations=True)
     with pytest.raises(ZeroDivisionError):

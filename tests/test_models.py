@@ -121,12 +121,12 @@ def test_relations_prepare_their_rows_once_and_large_ones_grow_one_by_one(spark,
 
     beside, encoded = [], []
     plain, encode = models.side_by_side, models.encode_labels
-    monkeypatch.setattr(models, "side_by_side", lambda s, works, at_once=4: beside.append(at_once) or plain(s, works, at_once))
+    monkeypatch.setattr(models, "side_by_side", lambda *a: beside.append(len(a[1])) or plain(*a))
     monkeypatch.setattr(models, "encode_labels", lambda *a: encoded.append(1) or encode(*a))
     kept = spark.sparkContext._jsc.getPersistentRDDs().size()
     found = [sorted(map(tuple, models.feature_relations(products, ["code"], ["grp", "fr_score", "energy"], trees=5).collect()))]
     monkeypatch.setattr(models, "ROWS_AT_ONCE", 10)
     found.append(sorted(map(tuple, models.feature_relations(products, ["code"], ["grp", "fr_score", "energy"], trees=5).collect())))
-    assert beside == [4, 1] and encoded == [1, 1] and found[0] == found[1] and found[0]
+    assert beside == [3] and encoded == [1, 1] and found[0] == found[1] and found[0]
     assert spark.sparkContext._jsc.getPersistentRDDs().size() <= kept
     assert selection.threshold_of({3: 2, 1: 1, 5: 1}, 50) == 3 and selection.threshold_of({}, 50) == 0.0 and selection.threshold_of({0: 1, 1: 1}, 65) == 0.65
